@@ -117,6 +117,7 @@ def global_ranks(
     max_buckets: int = 2048,
     sample_per_bucket: int = 64,
     seed: int = 17,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Add global rank columns ordered by ``keys`` then the unique ``tie`` columns.
 
@@ -127,7 +128,8 @@ def global_ranks(
 
     ``method``: ``"window"`` (one partition), ``"scaled"`` (bucketed), or
     ``"auto"`` (scaled only above ``rows_per_bucket`` rows). The scaled method
-    runs two small actions: a count and a bounded sample.
+    runs two small actions: a count (skipped when ``n_rows`` is given) and a
+    bounded sample.
     """
     for kind, *_ in outputs.values():
         if kind not in KINDS:
@@ -137,7 +139,7 @@ def global_ranks(
     if method == "window":
         return _plain(df, keys, tie, outputs).withColumns(casts)
 
-    n_rows = df.count()
+    n_rows = df.count() if n_rows is None else n_rows
     n_buckets = min(max_buckets, math.ceil(n_rows / rows_per_bucket)) if n_rows else 1
     if method == "auto" and n_buckets <= 1:
         return _plain(df, keys, tie, outputs).withColumns(casts)

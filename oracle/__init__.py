@@ -4,4 +4,7 @@ Used only to check the Spark results: the driver tables are pre-registered as
 views; each query is one ``WITH ... SELECT`` over them.
 """
 
-from oracle.sql import ORACLE_SQL  # noqa: F401
+from oracle.sql import ORACLE_SQL as _CORE
+from oracle.sql_ops import OPS_SQL
+
+ORACLE_SQL = {**_CORE, **OPS_SQL}

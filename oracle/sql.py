@@ -14,8 +14,10 @@ AS_OF = "2002-01-01"
 
 
 def ic(x: str) -> str:
-    """Spark ``initcap``: lower-case, then upper-case the first letter after each space."""
-    return f"array_to_string(list_transform(string_split(lower({x}), ' '), lambda w: upper(w[1]) || w[2:]), ' ')"
+    """Spark ``initcap``: lower-case, then title-case the first letter after each space
+    (Java title-cases a leading sharp s as "Ss"; DuckDB's upper gives the capital sharp s)."""
+    first = "CASE WHEN w[1] = 'ß' THEN 'Ss' ELSE upper(w[1]) END"
+    return f"array_to_string(list_transform(string_split(lower({x}), ' '), lambda w: {first} || w[2:]), ' ')"
 
 
 def std(x: str) -> str:

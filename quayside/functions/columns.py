@@ -95,7 +95,7 @@ def row_hash(cols: Sequence[ColumnOrName], sep: str = "||") -> Column:
     return F.sha2(F.concat_ws(sep, *[_c(c) for c in cols]), 256)
 
 
-def null_safe_row_hash(cols: Sequence[ColumnOrName], sep: str = "||", null_token: str = "\u0000") -> Column:
+def null_safe_row_hash(cols: Sequence[ColumnOrName], sep: str = "||", null_token: str = "\\N") -> Column:
     """Row hash where NULL is replaced by a sentinel, so (a,NULL,b) != (a,b,NULL)."""
     return F.sha2(F.concat_ws(sep, *[F.coalesce(_c(c).cast("string"), F.lit(null_token)) for c in cols]), 256)
 

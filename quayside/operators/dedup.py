@@ -38,3 +38,14 @@ def dedup_latest(
     order = [F.col(c).desc_nulls_last() for c in [*order_cols, *tie_break]]
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+
+
+def first_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
+                  tie_break: Sequence[str] | None = None) -> DataFrame:
+    """Keep the *oldest* row per key by ``order_cols`` (ascending, NULLs last);
+    ties broken by the other columns, ascending."""
+    if tie_break is None:
+        tie_break = tie_break_columns(df, keys, order_cols)
+    order = [F.col(c).asc_nulls_last() for c in [*order_cols, *tie_break]]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")

@@ -129,3 +129,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "churn_risk": _q(lambda c: D.churn_risk(c.gold["dim_customers"])),
     "churn_count": _q(lambda c: D.churn_count(c.gold["dim_customers"])),
 }
+
+
+def _all_queries():
+    from quayside.registry_ops import OP_QUERIES
+    out = dict(QUERIES)
+    out.update(OP_QUERIES)
+    return out
+
+
+ALL_QUERIES = _all_queries()

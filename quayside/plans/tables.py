@@ -192,7 +192,7 @@ def catalog_inventory(spark: SparkSession, databases: Sequence[str]) -> DataFram
     rows = []
     for db in databases:
         for t in spark.catalog.listTables(db):
-            for c in spark.catalog.listColumns(t.name, db):
+            for c in spark.catalog.listColumns(f"{db}.{t.name}"):
                 rows.append((db, t.name, c.name, c.dataType, t.tableType))
     return spark.createDataFrame(rows, "database string, table string, column string, data_type string, "
                                        "table_type string")

@@ -11,7 +11,10 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from quayside.session import local_session
-    s = local_session(cores="*", shuffle_partitions=8, app="quayside-tests")
+    s = local_session(cores="*", shuffle_partitions=8, app="quayside-tests",
+                      extra_conf={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="quayside-wh-")})
     yield s
     s.stop()

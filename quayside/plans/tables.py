@@ -77,7 +77,7 @@ class SnapshotTable:
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm
 
-    def versions(self) -> list[int]:
+    def _listed(self, complete_only: bool) -> list[int]:
         fs, jvm = self._fs()
         root = jvm.org.apache.hadoop.fs.Path(self.root)
         if not fs.exists(root):
@@ -85,10 +85,17 @@ class SnapshotTable:
         out = []
         for st in fs.listStatus(root):
             name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
+            if not name.startswith("v="):
+                continue
+            if complete_only and not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                continue
+            out.append(int(name[2:]))
         return sorted(out)
 
+    def versions(self) -> list[int]:
+        """Complete snapshots (a failed write leaves a directory without ``_SUCCESS``)."""
+        return self._listed(True)
+
     def _dir(self, v: int) -> str:
         return f"{self.root}/v={v:08d}"
 
@@ -103,8 +110,8 @@ class SnapshotTable:
 
     def commit(self, df: DataFrame, partition_by: Sequence[str] | None = None) -> DataFrame:
         """Write ``df`` as the next snapshot (it may read the current one) and return it."""
-        vs = self.versions()
-        target = self._dir((vs[-1] + 1) if vs else 1)
+        every = self._listed(False)   # numbering skips failed attempts too
+        target = self._dir((every[-1] + 1) if every else 1)
         w = df.write.format(self.fmt).mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)

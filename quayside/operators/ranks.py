@@ -114,7 +114,7 @@ def global_ranks(
     *,
     method: str = "auto",
     rows_per_bucket: int = 2_000_000,
-    max_buckets: int = 2048,
+    max_buckets: int = 512,
     sample_per_bucket: int = 64,
     seed: int = 17,
     n_rows: int | None = None,
@@ -126,6 +126,11 @@ def global_ranks(
     outputs treat rows with equal ``keys`` as peers, as Spark's window functions
     do. Ranks come back as bigint, percent_rank as double.
 
+    The bucket of a row is found by a CASE binary search over the cut points
+    (depth log2 B, compiled into the stage); up to 512 cut points stay within
+    the JVM method-size limit of whole-stage codegen, so ``max_buckets`` is
+    capped there and buckets grow past ``rows_per_bucket`` only above ~1e9 rows.
+
     ``method``: ``"window"`` (one partition), ``"scaled"`` (bucketed), or
     ``"auto"`` (scaled only above ``rows_per_bucket`` rows). The scaled method
     runs two small actions: a count (skipped when ``n_rows`` is given) and a

@@ -179,6 +179,10 @@ OPS_SQL: dict[str, str] = {
                  extra_ctes=DQ),
     "layer_counts": q("SELECT * FROM lc UNION ALL SELECT 'all', 'total', sum(row_count) FROM lc",
                       bigint=["row_count"], extra_ctes=f"lc AS ({_counts(LAYERS)})"),
+    "run_metrics": q("\nUNION ALL ".join(
+        f"SELECT '{layer}' AS layer, '{('transform_' if layer == 'silver' else 'build_') + name}' AS task, "
+        f"'{name}' AS table_name, 'SUCCESS' AS status, (SELECT count(*) FROM {src}) AS total_records"
+        for layer, name, src in LAYERS if layer != "bronze")),
     "filter_regex": q("SELECT customer_id, email, _reject_reason FROM s_customers_all WHERE _reject_reason = 'invalid_email'"),
     "filter_isin": q("""SELECT order_status, is_delivered, is_cancelled, count(*) AS orders FROM s_orders
                         GROUP BY order_status, is_delivered, is_cancelled"""),

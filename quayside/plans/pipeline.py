@@ -175,6 +175,29 @@ def run_pipeline(spark: SparkSession, bronze: dict[str, DataFrame], root: str |
     return run
 
 
+def audit_frame(run: Run) -> DataFrame:
+    """The run's audit rows (layer, task, table, status, load date, seconds) with
+    ``total_records`` counted from each written table (one aggregate per table)."""
+    parts = []
+    for a in run.audit:
+        key = f"{a['layer']}.{a['table']}"
+        base = run.tables.get(key)
+        if base is not None and a["status"] == "SUCCESS":
+            cnt = base.agg(F.count(F.lit(1)).alias("total_records"))
+        else:
+            cnt = run.spark.range(1).select(F.lit(None).cast("bigint").alias("total_records"))
+        parts.append(cnt.select(F.lit(a["layer"]).alias("layer"), F.lit(a["task"]).alias("task"),
+                                F.lit(a["table"]).alias("table_name"), "total_records",
+                                F.lit(a["status"]).alias("status"),
+                                F.lit(a["load_date"]).cast("timestamp").alias("load_date"),
+                                F.lit(float(a["run_seconds"])).alias("run_seconds"),
+                                F.lit(a.get("error")).cast("string").alias("error")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def silver_quality_report(run: Run) -> DataFrame:
     """dq metrics of all silver tables with their PASS / WARN / FAIL status."""
     frames = [run.metrics[n] for n in ENTITIES if n in run.metrics]

@@ -297,14 +297,23 @@ def dq_gate_q(spark, sf_dir):
 
 
 def layer_counts_q(spark, sf_dir):
-    """Row counts of the adapter (bronze), silver and gold frames, plus their total."""
+    """Row counts of the bronze frames and of the silver and gold tables written by a
+    layer run, plus their total."""
     c = _chain(spark, sf_dir)
+    run = P.run_pipeline(spark, c.bronze, _scratch(spark, "pipeline"), as_of=tpch_as_of())
     tables = {f"bronze.{k}": v for k, v in c.bronze.items()}
-    tables.update({f"silver.{k}": v for k, v in c.silver.items()})
-    tables.update({f"gold.{k}": v for k, v in c.gold.items()})
+    tables.update({k: v for k, v in run.tables.items() if k.split(".")[0] in ("silver", "gold")})
     return P.layer_counts(spark, tables)
 
 
+def run_metrics_q(spark, sf_dir):
+    """Full layer run (silver + quarantine, gold tables written under the checkpoint
+    folder); audit rows per task with status and the written record count."""
+    c = _chain(spark, sf_dir)
+    run = P.run_pipeline(spark, c.bronze, _scratch(spark, "pipeline"), as_of=tpch_as_of())
+    return P.audit_frame(run).select("layer", "task", "table_name", "status", "total_records")
+
+
 # ---------------------------------------------------------- filters, scalars
 
 def filter_regex_q(spark, sf_dir):
@@ -482,6 +491,7 @@ OP_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _q(v) for
     "dq_status": dq_status_q,
     "dq_gate": dq_gate_q,
     "layer_counts": layer_counts_q,
+    "run_metrics": run_metrics_q,
     "filter_regex": filter_regex_q,
     "filter_isin": filter_isin_q,
     "filter_between": filter_between_q,

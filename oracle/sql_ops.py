@@ -134,6 +134,8 @@ OPS_SQL: dict[str, str] = {
     "bronze_run_status": q("\nUNION ALL ".join(
         f"SELECT '{n}' AS \"table\", 'SUCCESS' AS status, (SELECT count(*) FROM a_{n}) AS records"
         for n in ["customers", "restaurants", "orders", "deliveries", "reviews"])),
+    "load_routing": q("""SELECT 'full' AS first_mode, 'incremental' AS second_mode, count(*) AS first_records,
+                            count(*) AS records, count(DISTINCT order_id) AS distinct_keys FROM a_orders"""),
     "merge_upsert": q("SELECT * FROM a_lines", text=["l_shipdate"], bigint=["l_linenumber"]),
     "change_classes": q(f"""
         SELECT coalesce(p.l_orderkey, c.l_orderkey) AS l_orderkey, coalesce(p.l_linenumber, c.l_linenumber) AS l_linenumber,

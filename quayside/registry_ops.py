@@ -18,6 +18,7 @@ from quayside.functions.columns import (bucket, clamp_negative, money, null_safe
 from quayside.operators import quality as Q
 from quayside.operators.dedup import dedup_latest, first_per_key
 from quayside.operators.upsert import change_classes, merge_upsert
+from quayside.plans import bronze as B
 from quayside.plans import pipeline as P
 from quayside.plans import silver as S
 from quayside.plans import tables as TB
@@ -122,23 +123,35 @@ def full_load_q(spark, sf_dir):
     return bronze.drop("_source_file", "_row_hash", "_bronze_loaded_at")
 
 
+def _landings(spark, sf_dir, root) -> dict[str, str]:
+    c = _chain(spark, sf_dir)
+    out = {}
+    for entity, df in c.bronze.items():
+        out[entity] = f"{root}/landing/{entity}"
+        L.write_landing(_contract_cast(df, entity), out[entity], K.SCHEMAS[entity])
+    return out
+
+
 def bronze_run_status_q(spark, sf_dir):
     """Bronze run over the five entities: one status row per table with its record count."""
     root = _scratch(spark, "bronze_run")
-    parts = []
-    for entity in K.SCHEMAS:
-        try:
-            t = _bronze_table(spark, sf_dir, entity, root)
-            Q.assert_non_empty(t, entity)
-            parts.append(t.agg(F.count(F.lit(1)).alias("records")).select(
-                F.lit(entity).alias("table"), F.lit("SUCCESS").alias("status"), "records"))
-        except Exception:  # noqa: BLE001 - one failure does not stop the others
-            parts.append(spark.range(1).select(F.lit(entity).alias("table"), F.lit("FAILED").alias("status"),
-                                               F.lit(None).cast("bigint").alias("records")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    _, status = B.run_bronze(spark, _landings(spark, sf_dir, root), f"{root}/bronze",
+                             loaded_at=F.lit(tpch_as_of()).cast("timestamp"))
+    return status.select("table", "status", "records")
+
+
+def load_routing_q(spark, sf_dir):
+    """Orders ingested twice with load type 'incremental': the first run finds no
+    target and loads fully, the second upserts on order_id; the table is unchanged."""
+    root = _scratch(spark, "routing")
+    landing = _landings(spark, sf_dir, root)["orders"]
+    target = f"{root}/bronze/orders"
+    first, mode1 = B.ingest_to_bronze(spark, landing, "orders", target, load_type="incremental")
+    n1 = first.count()
+    second, mode2 = B.ingest_to_bronze(spark, landing, "orders", target, load_type="incremental")
+    return second.agg(F.count(F.lit(1)).alias("records"), F.count_distinct("order_id").alias("distinct_keys")) \
+        .select(F.lit(mode1).alias("first_mode"), F.lit(mode2).alias("second_mode"),
+                F.lit(n1).cast("bigint").alias("first_records"), "records", "distinct_keys")
 
 
 def merge_upsert_q(spark, sf_dir):
@@ -476,6 +489,7 @@ OP_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _q(v) for
     "landing_counts": landing_counts_q,
     "full_load": full_load_q,
     "bronze_run_status": bronze_run_status_q,
+    "load_routing": load_routing_q,
     "merge_upsert": merge_upsert_q,
     "change_classes": change_classes_q,
     "insert_rows": insert_rows_q,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from quayside.plans import dashboard as D
 from quayside.plans import gold as G
 from quayside.plans import silver as S
-from quayside.plans.present import present
+from quayside.plans.present import present, typed_output
 from quayside.sources import tpch
 
 # Fixed report date of the registered queries (after the last order date), so
@@ -131,11 +131,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _typed(name: str, fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return typed_output(name, fn(spark, sf_dir))
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def _all_queries():
     from quayside.registry_ops import OP_QUERIES
     out = dict(QUERIES)
     out.update(OP_QUERIES)
-    return out
+    return {name: _typed(name, fn) for name, fn in out.items()}
 
 
 ALL_QUERIES = _all_queries()

@@ -164,6 +164,16 @@ OPS_SQL: dict[str, str] = {
           {xavg('total_amount', 2, 6)} AS avg_order_value, max(order_date) AS last_order_date
         FROM g_join WHERE status = 'COMPLETED' GROUP BY customer_id, customer_name, country""",
                         text=["last_order_date"], extra_ctes=GUIDE),
+    "quarantine_report": q("""
+        SELECT _reject_reason AS reason, count(*) AS rows, 'customers' AS "table" FROM s_customers_all
+          WHERE _reject_reason IS NOT NULL GROUP BY _reject_reason
+        UNION ALL SELECT _reject_reason, count(*), 'orders' FROM s_orders_rejected GROUP BY _reject_reason
+        UNION ALL SELECT 'unknown_order_id', count(*), 'deliveries' FROM s_deliveries_conformed d
+          WHERE NOT EXISTS (SELECT 1 FROM s_orders o WHERE o.order_id = d.order_id) HAVING count(*) > 0
+        UNION ALL SELECT CASE WHEN review_id IS NULL THEN 'null_review_id' ELSE 'invalid_rating' END, count(*),
+          'reviews' FROM s_rev_1 WHERE review_id IS NULL OR rating IS NULL GROUP BY 1
+        UNION ALL SELECT CASE WHEN restaurant_id IS NULL THEN 'null_restaurant_id' ELSE 'null_name' END, count(*),
+          'restaurants' FROM s_rest_0 WHERE restaurant_id IS NULL OR name IS NULL GROUP BY 1"""),
     "dq_metrics": q("SELECT * FROM dq", extra_ctes=DQ),
     "dq_status": q("""SELECT "table", pass_rate_pct, CASE WHEN pass_rate_pct >= 95 THEN 'PASS'
                         WHEN pass_rate_pct >= 80 THEN 'WARN' ELSE 'FAIL' END AS status FROM dq""", extra_ctes=DQ),

@@ -287,6 +287,18 @@ def _metrics(spark, sf_dir) -> DataFrame:
     return out
 
 
+def quarantine_report_q(spark, sf_dir):
+    """Quarantined rows per silver table and reject reason."""
+    c = _chain(spark, sf_dir)
+    out = None
+    for name, checked in _checked(c).items():
+        part = (checked.where(F.col("_reject_reason").isNotNull())
+                .groupBy(F.col("_reject_reason").alias("reason")).agg(F.count(F.lit(1)).alias("rows"))
+                .withColumn("table", F.lit(name)))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def dq_metrics_q(spark, sf_dir):
     """Input, output, duplicates removed, nulls filled, quarantined and pass rate per silver table."""
     return _metrics(spark, sf_dir)
@@ -501,6 +513,7 @@ OP_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _q(v) for
     "external_table": external_table_q,
     "ctas_join": ctas_join_q,
     "ctas_aggregate": ctas_aggregate_q,
+    "quarantine_report": quarantine_report_q,
     "dq_metrics": dq_metrics_q,
     "dq_status": dq_status_q,
     "dq_gate": dq_gate_q,

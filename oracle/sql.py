@@ -3,8 +3,8 @@
 Conventions that make two engines agree value by value:
 
 * money is summed as DECIMAL(18,2) and averaged from that sum;
-* rounding of a double goes through DECIMAL(38,10) (Spark rounds the decimal
-  text of a double, DuckDB the binary value);
+* a double is rounded half-up on its shortest decimal text, as Spark does
+  (DuckDB's own round works on the binary value);
 * timestamps, dates and lists are returned as text, integers as BIGINT.
 """
 
@@ -25,7 +25,8 @@ def std(x: str) -> str:
 
 
 def rnd(x: str, s: int) -> str:
-    return f"CAST(round(CAST({x} AS DECIMAL(38,10)), {s}) AS DOUBLE)"
+    """Spark's ``round`` of a double: half-up on the double's shortest decimal text."""
+    return f"CAST(round(CAST(CAST(CAST({x} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,16)), {s}) AS DOUBLE)"
 
 
 def msum(x: str) -> str:

@@ -64,7 +64,7 @@ LAYERS = ([("bronze", n, f"a_{n}") for n in ["customers", "restaurants", "orders
               ("agg_customer_cohorts", "g_cohorts"), ("agg_delivery_sla_report", "g_sla"),
               ("agg_revenue_summary", "g_revenue")]])
 
-DQ = """
+DQ = f"""
 dq_raw AS (
   SELECT 'customers' AS t,
     (SELECT count(*) FROM a_customers) AS input_rows, (SELECT count(*) FROM s_customers_all) AS deduped,
@@ -84,7 +84,7 @@ dq_raw AS (
 dq AS (
   SELECT t AS "table", input_rows, output_rows, input_rows - deduped AS duplicates_removed,
     CAST(nulls_filled AS BIGINT) AS nulls_filled, deduped - output_rows AS quarantined,
-    CAST(round(CAST(output_rows / greatest(input_rows, 1) * 100 AS DECIMAL(38,10)), 2) AS DOUBLE) AS pass_rate_pct
+    {rnd('output_rows / greatest(input_rows, 1) * 100', 2)} AS pass_rate_pct
   FROM dq_raw)"""
 
 BUCKETS = [("s_customers", "customer_segment"), ("s_restaurants", "price_tier"), ("s_restaurants", "rating_tier"),
@@ -177,13 +177,13 @@ OPS_SQL: dict[str, str] = {
     "dq_metrics": q("SELECT * FROM dq", extra_ctes=DQ),
     "dq_status": q("""SELECT "table", pass_rate_pct, CASE WHEN pass_rate_pct >= 95 THEN 'PASS'
                         WHEN pass_rate_pct >= 80 THEN 'WARN' ELSE 'FAIL' END AS status FROM dq""", extra_ctes=DQ),
-    "dq_gate": q("""
+    "dq_gate": q(f"""
         SELECT "table", chk AS "check", value, "limit",
           coalesce(CASE WHEN op = '>=' THEN value >= "limit" ELSE value <= "limit" END, false) AS passed
         FROM (
           SELECT "table", 'min_pass_rate_pct' AS chk, CAST(pass_rate_pct AS DOUBLE) AS value, 95.0::DOUBLE AS "limit", '>=' AS op FROM dq
           UNION ALL SELECT "table", 'max_null_pct', 0.0::DOUBLE, 5.0::DOUBLE, '<=' FROM dq
-          UNION ALL SELECT "table", 'max_duplicate_pct', CAST(round(CAST(duplicates_removed / greatest(input_rows, 1) * 100 AS DECIMAL(38,10)), 2) AS DOUBLE),
+          UNION ALL SELECT "table", 'max_duplicate_pct', {rnd('duplicates_removed / greatest(input_rows, 1) * 100', 2)},
                            1.0::DOUBLE, '<=' FROM dq
           UNION ALL SELECT "table", 'min_row_count', CAST(output_rows AS DOUBLE),
                            CASE "table" WHEN 'customers' THEN 1000 WHEN 'restaurants' THEN 100 WHEN 'orders' THEN 10000

@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.functions.columns import row_hash
 from quayside.operators import quality as Q
 from quayside.plans import dashboard as D
 from quayside.plans import gold as G
@@ -66,6 +67,35 @@ def _loaded_at(as_of):
     return F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
 
 
+def run_bronze_frames(run: Run, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Write landing-shaped frames as the bronze tables (audit columns added) and
+    return them read back, so silver starts from stored data."""
+    loaded = _loaded_at(run.as_of)
+    out: dict[str, DataFrame] = {}
+    for name in ENTITIES:
+        def build(name=name):
+            enriched = frames[name].withColumns({
+                "_bronze_loaded_at": loaded, "_source_file": F.lit(None).cast("string"),
+                "_row_hash": row_hash([c for c in frames[name].columns])})
+            t = write_table(enriched, run.path("bronze", name), fmt=run.fmt)
+            run.tables[f"bronze.{name}"] = t
+            return t
+        out[name] = run._timed("bronze", f"ingest_{name}", name, build)
+    return out
+
+
+def tpch_bronze(run: Run, sf_dir: str) -> dict[str, DataFrame]:
+    """Bronze layer from the driver tables: the newest copy of each line item is
+    written once as a staging table and shared by the order and delivery frames."""
+    from quayside.sources import tpch
+    t = tpch.Tables(run.spark, sf_dir)
+    lines = run._timed("bronze", "stage_lines", "lines",
+                       lambda: write_table(tpch.lines(t), run.path("staging", "lines"), fmt=run.fmt))
+    frames = {"customers": tpch.customers(t), "restaurants": tpch.restaurants(t),
+              "orders": tpch.orders(t, lines), "deliveries": tpch.deliveries(t, lines), "reviews": tpch.reviews(t)}
+    return run_bronze_frames(run, frames)
+
+
 def run_silver(run: Run, bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
     loaded = _loaded_at(run.as_of)
     silver: dict[str, DataFrame] = {}

@@ -1,0 +1,32 @@
+import uuid
+
+from pyspark.sql import functions as F
+
+from conftest import SF001
+from quayside.plans import pipeline as P
+from quayside.session import scratch_path
+
+
+def test_layer_run_end_to_end(spark):
+    run = P.Run(spark, scratch_path(spark, "test-run", uuid.uuid4().hex), as_of="2002-01-01")
+    bronze = P.tpch_bronze(run, SF001)
+    silver = P.run_silver(run, bronze)
+    gold = P.run_gold(run, silver)
+    assert set(gold) == {"fact_orders", "dim_customers", "dim_restaurants", "agg_daily_city_metrics",
+                         "agg_restaurant_performance", "agg_customer_cohorts", "agg_delivery_sla_report",
+                         "agg_revenue_summary"}
+    # input = output + duplicates removed + quarantined, per silver table
+    for r in P.silver_quality_report(run).collect():
+        assert r["input_rows"] == r["output_rows"] + r["duplicates_removed"] + r["quarantined"]
+        assert r["status"] in ("PASS", "WARN", "FAIL")
+    # quarantine partitions hold exactly the rejected rows
+    q = run.tables["quarantine.orders"]
+    assert q.where(F.col("_reject_reason").isNull()).count() == 0
+    assert q.count() + silver["orders"].count() == bronze["orders"].count()
+    audit = P.audit_frame(run).collect()
+    assert all(a["status"] == "SUCCESS" for a in audit)
+    assert {a["layer"] for a in audit} == {"bronze", "silver", "gold"}
+    counts = {(r["layer"], r["table_name"]): r["row_count"] for r in P.layer_counts(spark, run.tables).collect()}
+    assert counts[("all", "total")] == sum(v for k, v in counts.items() if k[0] != "all")
+    dash = P.dashboard_queries(gold)
+    assert dash["headline_kpis"].first()["total_orders"] == gold["fact_orders"].count()

@@ -68,3 +68,15 @@ def test_histogram_ranks_match_window(spark):
     a = sorted(tuple(r) for r in got.select("id", "cr", "dr", "rk", "pr").collect())
     b = sorted(tuple(r) for r in exp.collect())
     assert a == b
+
+
+@pytest.mark.parametrize("rows_", [[], [("a", 1)], [("a", None), ("b", None), ("c", None)]])
+def test_scaled_edge_cases(spark, rows_):
+    df = spark.createDataFrame(rows_, "id string, k int")
+    out = {"rn": ("row_number",), "rk": ("rank",), "dr": ("dense_rank",), "pr": ("percent_rank",),
+           "nt": ("ntile", 5)}
+    plain = global_ranks(df, [SortKey.asc("k", nulls_last=True)], ["id"], out, method="window")
+    scaled = global_ranks(df, [SortKey.asc("k", nulls_last=True)], ["id"], out, method="scaled", rows_per_bucket=1)
+    key = lambda r: r["id"]
+    assert sorted(map(lambda r: r.asDict(), plain.collect()), key=key) == \
+        sorted(map(lambda r: r.asDict(), scaled.collect()), key=key)

@@ -19,6 +19,11 @@ def test_layer_run_end_to_end(spark):
     for r in P.silver_quality_report(run).collect():
         assert r["input_rows"] == r["output_rows"] + r["duplicates_removed"] + r["quarantined"]
         assert r["status"] in ("PASS", "WARN", "FAIL")
+    # counts observed during the write equal an aggregate over the stored table
+    from quayside.operators import quality as Q
+    for name in ["customers", "orders"]:
+        stored = spark.read.parquet(run.path("silver", name))
+        assert run.metrics[name].first().asDict() == Q.dq_metrics(name, bronze[name], stored).first().asDict()
     # quarantine partitions hold exactly the rejected rows
     q = run.tables["quarantine.orders"]
     assert q.where(F.col("_reject_reason").isNull()).count() == 0

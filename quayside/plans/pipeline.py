@@ -169,8 +169,12 @@ def run_gold(run: Run, silver: dict[str, DataFrame], rank_method: str = "auto")
     return gold
 
 
-def dashboard_queries(gold: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    g = gold
+def dashboard_queries(gold: dict[str, DataFrame], report_date: str | None = None) -> dict[str, DataFrame]:
+    """The 19 dashboard frames. ``report_date`` (optional, off by default) limits
+    the order-level queries to orders placed on or before that date."""
+    g = dict(gold)
+    if report_date is not None:
+        g["fact_orders"] = g["fact_orders"].where(F.col("order_date") <= F.lit(report_date).cast("date"))
     return {
         "headline_kpis": D.headline_kpis(g["fact_orders"], g["dim_customers"], g["dim_restaurants"]),
         "revenue_trend": D.revenue_trend(g["agg_revenue_summary"]),

@@ -35,3 +35,6 @@ def test_layer_run_end_to_end(spark):
     assert counts[("all", "total")] == sum(v for k, v in counts.items() if k[0] != "all")
     dash = P.dashboard_queries(gold)
     assert dash["headline_kpis"].first()["total_orders"] == gold["fact_orders"].count()
+    cut = P.dashboard_queries(gold, report_date="1996-12-31")
+    n_cut = gold["fact_orders"].where("order_date <= DATE'1996-12-31'").count()
+    assert cut["headline_kpis"].first()["total_orders"] == n_cut < gold["fact_orders"].count()

@@ -103,40 +103,34 @@ def landing_counts_q(spark, sf_dir):
     return L.landing_counts(spark, paths)
 
 
-def _bronze_table(spark, sf_dir, entity, root):
-    c = _chain(spark, sf_dir)
-    landing = f"{root}/landing/{entity}"
-    L.write_landing(_contract_cast(c.bronze[entity], entity), landing, K.SCHEMAS[entity])
-    enriched = L.bronze_enrich(L.scan_contract(spark, landing, entity),
-                               loaded_at=F.lit(tpch_as_of()).cast("timestamp"))
-    return P.write_table(enriched, f"{root}/bronze/{entity}")
-
-
-def tpch_as_of():
+def _as_of():
     from quayside.registry import AS_OF
     return AS_OF
 
 
+def _landing(spark, sf_dir, entity, root) -> str:
+    path = f"{root}/landing/{entity}"
+    L.write_landing(_contract_cast(_chain(spark, sf_dir).bronze[entity], entity), path, K.SCHEMAS[entity])
+    return path
+
+
 def full_load_q(spark, sf_dir):
-    """Bronze orders, full load: landing scan + audit columns, overwrite, read back."""
-    bronze = _bronze_table(spark, sf_dir, "orders", _scratch(spark, "full_load"))
-    return bronze.drop("_source_file", "_row_hash", "_bronze_loaded_at")
+    """Bronze orders, full load: landing scan + audit columns, written, read back."""
+    root = _scratch(spark, "full_load")
+    out, _ = B.ingest_to_bronze(spark, _landing(spark, sf_dir, "orders", root), "orders", f"{root}/bronze/orders",
+                                load_type="full", loaded_at=F.lit(_as_of()).cast("timestamp"))
+    return out.drop("_source_file", "_row_hash", "_bronze_loaded_at")
 
 
 def _landings(spark, sf_dir, root) -> dict[str, str]:
-    c = _chain(spark, sf_dir)
-    out = {}
-    for entity, df in c.bronze.items():
-        out[entity] = f"{root}/landing/{entity}"
-        L.write_landing(_contract_cast(df, entity), out[entity], K.SCHEMAS[entity])
-    return out
+    return {entity: _landing(spark, sf_dir, entity, root) for entity in K.SCHEMAS}
 
 
 def bronze_run_status_q(spark, sf_dir):
     """Bronze run over the five entities: one status row per table with its record count."""
     root = _scratch(spark, "bronze_run")
     _, status = B.run_bronze(spark, _landings(spark, sf_dir, root), f"{root}/bronze",
-                             loaded_at=F.lit(tpch_as_of()).cast("timestamp"))
+                             loaded_at=F.lit(_as_of()).cast("timestamp"))
     return status.select("table", "status", "records")
 
 
@@ -325,7 +319,7 @@ def layer_counts_q(spark, sf_dir):
     """Row counts of the bronze frames and of the silver and gold tables written by a
     layer run, plus their total."""
     c = _chain(spark, sf_dir)
-    run = P.run_pipeline(spark, c.bronze, _scratch(spark, "pipeline"), as_of=tpch_as_of())
+    run = P.run_pipeline(spark, c.bronze, _scratch(spark, "pipeline"), as_of=_as_of())
     tables = {f"bronze.{k}": v for k, v in c.bronze.items()}
     tables.update({k: v for k, v in run.tables.items() if k.split(".")[0] in ("silver", "gold")})
     return P.layer_counts(spark, tables)
@@ -335,7 +329,7 @@ def run_metrics_q(spark, sf_dir):
     """Full layer run (silver + quarantine, gold tables written under the checkpoint
     folder); audit rows per task with status and the written record count."""
     c = _chain(spark, sf_dir)
-    run = P.run_pipeline(spark, c.bronze, _scratch(spark, "pipeline"), as_of=tpch_as_of())
+    run = P.run_pipeline(spark, c.bronze, _scratch(spark, "pipeline"), as_of=_as_of())
     return P.audit_frame(run).select("layer", "task", "table_name", "status", "total_records")
 
 

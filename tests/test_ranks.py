@@ -80,3 +80,16 @@ def test_scaled_edge_cases(spark, rows_):
     key = lambda r: r["id"]
     assert sorted(map(lambda r: r.asDict(), plain.collect()), key=key) == \
         sorted(map(lambda r: r.asDict(), scaled.collect()), key=key)
+
+
+def test_rfm_scaled_equals_window_on_driver_data(spark):
+    from quayside.plans import gold as G
+    from quayside.registry import Chain
+    c = Chain(spark, "/root/testdata/sf0.01")
+    s = c.silver
+    cols = ["customer_id", "recency_score", "frequency_score", "monetary_score", "rfm_segment"]
+    plain = G.dim_customers(s["customers"], s["orders"], s["reviews"], as_of="2002-01-01",
+                            rank_method="window").select(*cols)
+    scaled = G.dim_customers(s["customers"], s["orders"], s["reviews"], as_of="2002-01-01",
+                             rank_method="scaled", rows_per_bucket=100).select(*cols)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, scaled.collect()))

@@ -12,6 +12,9 @@ task. ``global_ranks`` instead
    turns them into offsets with a window over that small table and
    broadcasts them back (size bounded by ``max_buckets``).
 
+Very large inputs (more buckets than a CASE search can hold in generated
+code) use Spark's range partitioning instead, frozen by a checkpoint.
+
 The sort key always ends with a unique tie-break column, so hot tie groups (one
 key value on a third of the rows) are split over many buckets like any other
 rows; rank and dense_rank of a tie group that crosses bucket borders are
@@ -114,7 +117,8 @@ def global_ranks(
     *,
     method: str = "auto",
     rows_per_bucket: int = 2_000_000,
-    max_buckets: int = 512,
+    max_buckets: int = 65536,
+    case_limit: int = 512,
     sample_per_bucket: int = 64,
     seed: int = 17,
     n_rows: int | None = None,
@@ -126,10 +130,14 @@ def global_ranks(
     outputs treat rows with equal ``keys`` as peers, as Spark's window functions
     do. Ranks come back as bigint, percent_rank as double.
 
-    The bucket of a row is found by a CASE binary search over the cut points
-    (depth log2 B, compiled into the stage); up to 512 cut points stay within
-    the JVM method-size limit of whole-stage codegen, so ``max_buckets`` is
-    capped there and buckets grow past ``rows_per_bucket`` only above ~1e9 rows.
+    Up to ``case_limit`` buckets, the bucket of a row is found by a CASE
+    binary search over sampled cut points (depth log2 B, compiled into the
+    stage; 512 cut points stay within the JVM method-size limit of
+    whole-stage codegen). Beyond that (above ~1e9 rows at the default bucket
+    size) the rows are range-partitioned on the full sort key by Spark itself
+    and the partition id is frozen as the bucket by a reliable checkpoint in
+    ``spark.checkpoint.dir``, so a retried task cannot move a row to another
+    bucket.
 
     ``method``: ``"window"`` (one partition), ``"scaled"`` (bucketed), or
     ``"auto"`` (scaled only above ``rows_per_bucket`` rows). The scaled method
@@ -157,18 +165,24 @@ def global_ranks(
     key = F.struct(*kfields)
     peer = F.struct(*pfields)
 
-    # Bounded sample of sort keys -> cut points (driver holds at most ~sample rows).
-    target = sample_per_bucket * n_buckets
-    frac = min(1.0, target / max(n_rows, 1))
-    sample = [tuple(r) for r in work.select(*kfields).sample(False, frac, seed).collect()]
-    sample.sort()
-    cuts = []
-    if sample:
-        step = len(sample) / n_buckets
-        cuts = sorted({sample[min(len(sample) - 1, int(step * i))] for i in range(1, n_buckets)})
-    key_types = [work.schema[n].dataType for n, _ in enc] + [work.schema[t].dataType for t in tie]
-    cut_cols = [F.struct(*[F.lit(v).cast(dt) for v, dt in zip(c, key_types)]) for c in cuts]
-    work = work.withColumn("_b", _bucket_expr(key, cut_cols, 0, len(cut_cols)))
+    if n_buckets > case_limit:
+        # Spark's range partitioner (its own bounded sample, binary search per row);
+        # the checkpoint freezes partition id -> bucket for every later use.
+        work = (work.repartitionByRange(n_buckets, *kfields)
+                .withColumn("_b", F.spark_partition_id()).checkpoint(eager=True))
+    else:
+        # Bounded sample of sort keys -> cut points (driver holds at most ~sample rows).
+        target = sample_per_bucket * n_buckets
+        frac = min(1.0, target / max(n_rows, 1))
+        sample = [tuple(r) for r in work.select(*kfields).sample(False, frac, seed).collect()]
+        sample.sort()
+        cuts = []
+        if sample:
+            step = len(sample) / n_buckets
+            cuts = sorted({sample[min(len(sample) - 1, int(step * i))] for i in range(1, n_buckets)})
+        key_types = [work.schema[n].dataType for n, _ in enc] + [work.schema[t].dataType for t in tie]
+        cut_cols = [F.struct(*[F.lit(v).cast(dt) for v, dt in zip(c, key_types)]) for c in cuts]
+        work = work.withColumn("_b", _bucket_expr(key, cut_cols, 0, len(cut_cols)))
 
     in_bucket = Window.partitionBy("_b").orderBy(*kfields)
     peers_in_bucket = Window.partitionBy("_b").orderBy(*pfields)

@@ -93,3 +93,12 @@ def test_rfm_scaled_equals_window_on_driver_data(spark):
     scaled = G.dim_customers(s["customers"], s["orders"], s["reviews"], as_of="2002-01-01",
                              rank_method="scaled", rows_per_bucket=100).select(*cols)
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, scaled.collect()))
+
+
+def test_range_partitioned_buckets_equal_window(spark):
+    # force more buckets than the CASE search holds: Spark's range partitioner takes over
+    df = _frame(spark, 3000, 40, 0.05, seed=7)
+    for key in [SortKey.desc("k"), SortKey.asc("d", nulls_last=True)]:
+        plain = global_ranks(df, [key], ["id"], OUTPUTS, method="window")
+        scaled = global_ranks(df, [key], ["id"], OUTPUTS, method="scaled", rows_per_bucket=10, case_limit=16)
+        assert _collect(plain) == _collect(scaled)

@@ -94,8 +94,10 @@ a_customers AS (
   LEFT JOIN a_first_order f ON c.c_custkey = f.c_custkey),
 a_cuisines AS (
   SELECT l_suppkey AS s_suppkey, list_sort(list(DISTINCT p_type)) AS cuisines
-  FROM lineitem JOIN part ON l_partkey = p_partkey
-  WHERE l_quantity = 50 AND l_linenumber = 1
+  FROM (SELECT l_suppkey, p_type, sum(l_quantity) AS qty,
+               avg(sum(l_quantity)) OVER (PARTITION BY l_suppkey) AS avg_qty
+        FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_suppkey, p_type)
+  WHERE qty >= avg_qty
   GROUP BY l_suppkey),
 a_restaurants AS (
   SELECT s.s_suppkey AS restaurant_id, lower(s_name) AS name, n_name AS city, r_name AS locality,

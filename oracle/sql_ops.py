@@ -208,12 +208,13 @@ OPS_SQL: dict[str, str] = {
     "clamp_negative": q("""SELECT c_custkey, c_acctbal, CASE WHEN c_acctbal < 0 THEN 0.0 ELSE c_acctbal END
                              AS balance_clamped FROM customer"""),
     "safe_pct": q(f"""
-        SELECT c.customer_id, coalesce(o.orders_1995, 0) AS orders_1995,
-          {rnd('coalesce(o.cancelled_1995, 0) / CASE WHEN o.orders_1995 > 0 THEN o.orders_1995 ELSE 1 END * 100', 2)}
-            AS cancel_pct
+        SELECT c.customer_id, coalesce(o.delivered_orders, 0) AS delivered_orders,
+          {rnd('coalesce(o.discounted_delivered, 0) / CASE WHEN o.delivered_orders > 0 THEN o.delivered_orders ELSE 1 END * 100', 2)}
+            AS discounted_pct
         FROM s_customers c LEFT JOIN (
-          SELECT customer_id, count(*) AS orders_1995, count(*) FILTER (WHERE is_cancelled) AS cancelled_1995
-          FROM s_orders WHERE order_year = 1995 GROUP BY customer_id) o ON c.customer_id = o.customer_id"""),
+          SELECT customer_id, count(*) FILTER (WHERE is_delivered) AS delivered_orders,
+            count(*) FILTER (WHERE is_delivered AND has_discount) AS discounted_delivered
+          FROM s_orders GROUP BY customer_id) o ON c.customer_id = o.customer_id"""),
     "bucket_battery": q("\nUNION ALL ".join(
         f"SELECT {col} AS label, count(*) AS rows, '{col}' AS bucket FROM {src} GROUP BY {col}"
         for src, col in BUCKETS)),

@@ -371,14 +371,16 @@ def clamp_negative_q(spark, sf_dir):
 
 
 def safe_pct_q(spark, sf_dir):
-    """Per customer, cancelled share of 1995 orders; customers without such orders get 0."""
+    """Per customer, the discounted share of delivered orders; a customer without a
+    delivered order has a zero denominator, which counts as 1."""
     c = _chain(spark, sf_dir)
-    o = c.silver["orders"].where(F.col("order_year") == 1995).groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("orders_1995"),
-        F.count_if(F.col("is_cancelled")).alias("cancelled_1995"))
+    o = c.silver["orders"].groupBy("customer_id").agg(
+        F.count_if(F.col("is_delivered")).alias("delivered_orders"),
+        F.count_if(F.col("is_delivered") & F.col("has_discount")).alias("discounted_delivered"))
     base = c.silver["customers"].select("customer_id").join(o, "customer_id", "left")
-    return base.select("customer_id", F.coalesce("orders_1995", F.lit(0)).alias("orders_1995"),
-                       safe_pct(F.coalesce("cancelled_1995", F.lit(0)), F.col("orders_1995")).alias("cancel_pct"))
+    return base.select("customer_id", F.coalesce("delivered_orders", F.lit(0)).alias("delivered_orders"),
+                       safe_pct(F.coalesce("discounted_delivered", F.lit(0)), F.col("delivered_orders"))
+                       .alias("discounted_pct"))
 
 
 def bucket_battery_q(spark, sf_dir):

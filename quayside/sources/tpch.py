@@ -8,8 +8,8 @@ Mapping (fixed choices of this adapter):
 
 * lines       lineitem, newest copy per (l_orderkey, l_linenumber)
 * customers   customer + nation + region; first order date as signup date
-* restaurants supplier + nation + region; cuisines = part types of full-size
-              first lines (l_quantity = 50, l_linenumber = 1)
+* restaurants supplier + nation + region; cuisines = part types sold at or
+              above the supplier's average quantity per type
 * orders      orders + line totals (decimal sums) + customer segment
 * deliveries  one per line: minutes = quantity, km = discount x 150
 * reviews     events: rating = floor(value) mod 7 (0 and 6 are invalid)
@@ -17,7 +17,7 @@ Mapping (fixed choices of this adapter):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.operators.dedup import dedup_latest
@@ -89,12 +89,15 @@ def customers(t: Tables) -> DataFrame:
 
 
 def restaurants(t: Tables) -> DataFrame:
-    full_lines = (t.lineitem
-                  .where((F.col("l_quantity") == 50) & (F.col("l_linenumber") == 1))
-                  .join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey")))
-    # collect_set over a small domain (part types), bounded per restaurant
-    cuisines = full_lines.groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(
-        F.array_sort(F.collect_set("p_type")).alias("cuisines"))
+    # cuisines: the part types a supplier sells at or above its own average
+    # quantity per type (over all line items); the window runs on the
+    # per-(supplier, type) aggregate, at most one row per part type
+    per_type = (t.lineitem.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+                .groupBy("l_suppkey", "p_type").agg(F.sum("l_quantity").alias("qty")))
+    avg_qty = F.avg("qty").over(Window.partitionBy("l_suppkey"))
+    cuisines = (per_type.withColumn("_avg", avg_qty).where(F.col("qty") >= F.col("_avg"))
+                .groupBy(F.col("l_suppkey").alias("s_suppkey"))
+                .agg(F.array_sort(F.collect_set("p_type")).alias("cuisines")))
     s = (t.supplier
          .join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
          .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left")

@@ -118,6 +118,9 @@ TAX_RATE = 0.05
 # Orders in these statuses get a delivery record.
 DELIVERABLE_STATUSES = ["Out for Delivery", "Delivered"]
 
+# Day names by Spark's dayofweek (1 = Sunday).
+DAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
+
 DELIVERED_STATUSES = ["DELIVERED"]
 CANCELLED_STATUSES = ["CANCELLED", "REFUNDED"]
 CHURN_SEGMENTS = ["At Risk", "Churned"]

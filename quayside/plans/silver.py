@@ -112,7 +112,9 @@ def conform_orders(df: DataFrame, loaded_at: Column | None = None) -> DataFrame:
                           "order_month": F.month("order_placed_at"),
                           "order_day_of_week": F.dayofweek("order_placed_at"),
                           "order_hour": F.hour("order_placed_at"),
-                          "order_day_name": F.date_format("order_placed_at", "EEEE"),
+                          # day name from dayofweek: no session time-zone conversion
+                          "order_day_name": F.element_at(F.array(*[F.lit(d) for d in K.DAY_NAMES]),
+                                                         F.dayofweek("order_placed_at")),
                           "is_delivered": flag(F.col("order_status").isin(*K.DELIVERED_STATUSES)),
                           "is_cancelled": flag(F.col("order_status").isin(*K.CANCELLED_STATUSES)),
                           "has_discount": flag(F.col("discount_pct") > 0),

@@ -25,11 +25,16 @@ from quayside.operators.dedup import dedup_latest
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
-ISO = "yyyy-MM-dd'T'HH:mm:ss"
-ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 SOURCE_SYSTEM = "tpch"
 
 
+def iso_text(c) -> "F.Column":
+    """ISO-8601 text of a ``timestamp_ntz`` that does not pass through the session
+    time zone (formatting functions do, and shift wall-clock times in a DST gap)."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.regexp_replace(c.cast("timestamp_ntz").cast("string"), " ", "T")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -78,7 +83,7 @@ def customers(t: Tables) -> DataFrame:
         F.col("c_nationkey").cast("string").alias("pincode"),
         F.lit(None).cast("double").alias("latitude"),
         F.lit(None).cast("double").alias("longitude"),
-        F.date_format("first_order_date", ISO).alias("signup_date"),
+        iso_text("first_order_date").alias("signup_date"),
         F.col("r_name").alias("subscription_tier"),
         (F.col("c_acctbal") >= 0).alias("is_active"),
         F.lit(None).cast("string").alias("preferred_payment"),
@@ -160,7 +165,7 @@ def orders(t: Tables, lines_df: DataFrame | None = None) -> DataFrame:
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("restaurant_id"),
-        F.date_format(placed, ISO).alias("order_placed_at"),
+        iso_text(placed).alias("order_placed_at"),
         status.alias("order_status"),
         F.col("o_orderpriority").alias("payment_method"),
         pay_status.alias("payment_status"),
@@ -188,8 +193,8 @@ def deliveries(t: Tables, lines_df: DataFrame | None = None) -> DataFrame:
         F.lit(None).cast("string").alias("delivery_partner_name"),
         F.lit(None).cast("string").alias("partner_phone"),
         F.lower(F.col("l_returnflag")).alias("vehicle_type"),
-        F.date_format("l_shipdate", ISO).alias("pickup_timestamp"),
-        F.date_format(delivered, ISO).alias("delivered_timestamp"),
+        iso_text("l_shipdate").alias("pickup_timestamp"),
+        iso_text(delivered).alias("delivered_timestamp"),
         minutes.alias("delivery_time_mins"),
         F.col("l_linestatus").alias("delivery_status"),
         (F.col("l_discount").cast("decimal(4,2)") * 150).cast("double").alias("delivery_distance_km"),
@@ -210,7 +215,7 @@ def reviews(t: Tables) -> DataFrame:
         F.pmod(F.col("event_id"), n_restaurants).alias("restaurant_id"),
         raw_rating.alias("rating"),
         F.concat(F.lit(" "), F.col("event_type"), F.lit(" "), F.col("props"), F.lit(" ")).alias("review_text"),
-        F.date_format("ts", ISO_MICROS).alias("review_timestamp"),
+        iso_text("ts").alias("review_timestamp"),
         sentiment.alias("sentiment_label"),
         (F.col("event_type") == "purchase").alias("is_verified_order"),
         F.lit(None).cast("int").alias("upvotes"),

@@ -101,14 +101,16 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray,
+               sep: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word, and each row's first word index (n+1 values).
+    ``sep`` marks the separator bytes.
 
     ``offsets`` index ``data``; only the bytes from offsets[0] to offsets[-1] are read.
     """
     lo, hi = int(offsets[0]), int(offsets[-1])
     part = data[lo:hi]
-    word = ~SPACE[part]
+    word = ~sep[part]
     edge = np.zeros(len(part) + 1, dtype=bool)
     edge[offsets - lo] = True
     first, last = word.copy(), word.copy()
@@ -120,10 +122,10 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False,
-                base: int = BASE_A) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False, base: int = BASE_A,
+                sep: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of every word of the rows, and each row's first word index."""
-    starts, ends, rows = word_spans(data, offsets)
+    starts, ends, rows = word_spans(data, offsets, sep)
     lo, hi = int(offsets[0]), int(offsets[-1])
     pw, inv = powers(base, hi - lo + 1)
     part = data[lo:hi]

@@ -4,34 +4,34 @@ single-partition window.
 A window with an ``orderBy`` and no ``partitionBy`` moves every row into one
 task. ``global_ranks`` instead
 
-1. samples the sort key (bounded sample, like Spark's range partitioner) and
-   picks ``B - 1`` cut points, so the bucket of a row is a pure function of its
-   key: a retried task puts every row in the same bucket again;
-2. ranks inside each bucket with a window partitioned by bucket;
-3. aggregates per-bucket counts and boundary values (one row per bucket),
-   turns them into offsets with a window over that small table and
-   broadcasts them back (size bounded by ``max_buckets``).
-
-Very large inputs (more buckets than a CASE search can hold in generated
-code) use Spark's range partitioning instead, frozen by a checkpoint.
-
-The sort key always ends with a unique tie-break column, so hot tie groups (one
-key value on a third of the rows) are split over many buckets like any other
-rows; rank and dense_rank of a tie group that crosses bucket borders are
-repaired from the boundary statistics. Below ``rows_per_bucket`` rows the plain
-window is used: same order, same results.
+1. takes the rows with the smallest key hashes as a sample (a fixed number of rows,
+   and the same rows however the input is laid out or retried) and cuts the
+   sorted sample into buckets;
+2. finds each row's bucket by binary search in the cut points and ranks inside the
+   bucket with a window partitioned by bucket;
+3. aggregates per-bucket counts and boundary rows (one row per bucket), turns
+   them into offsets with a window over that small table and broadcasts them
+   back (``buckets`` rows).
+
+There is one path for every input size and every orderable type: rows are compared
+by Spark's own ordering (NULL placement, NaN, dates, text). Nothing runs before
+the caller's action. ``buckets`` sets the parallelism, by default four times
+``spark.sql.shuffle.partitions``; the window spills like any other.
+
+The sort key always ends with a unique tie-break, so a hot key value (on a third of the
+rows) is split over many buckets like any other rows; rank and dense_rank of a
+tie group that crosses bucket borders are repaired from the boundary rows.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+SAMPLE_PER_BUCKET = 16
 
 @dataclass(frozen=True)
 class SortKey:
@@ -62,51 +62,49 @@ def _window_order(keys: Sequence[SortKey], tie: Sequence[str]) -> list[Column]:
     return out + [F.col(t).asc() for t in tie]
 
 
-def _plain(df: DataFrame, keys, tie, outputs) -> DataFrame:
-    ordered = Window.orderBy(*_window_order(keys, tie))
-    peers = Window.orderBy(*_window_order(keys, []))
-    cols = {}
-    for name, (kind, *arg) in outputs.items():
-        if kind == "row_number":
-            cols[name] = F.row_number().over(ordered)
-        elif kind == "rank":
-            cols[name] = F.rank().over(peers)
-        elif kind == "dense_rank":
-            cols[name] = F.dense_rank().over(peers)
-        elif kind == "percent_rank":
-            cols[name] = F.percent_rank().over(peers)
-        elif kind == "ntile":
-            cols[name] = F.ntile(arg[0]).over(ordered)
-        else:
-            raise ValueError(kind)
-    return df.withColumns(cols)
+def _side(col: Column, key: SortKey) -> Column:
+    """A struct that compares ascending like the column with its NULL placement
+    (for descending keys the comparison is turned round)."""
+    nulls_high = key.nulls_last == key.ascending
+    return F.struct(col.isNull() if nulls_high else col.isNotNull(), col)
 
 
-def _encoded(df: DataFrame, keys: Sequence[SortKey]) -> list[tuple[str, Column]]:
-    """Ascending-comparable, NULL-free fields for each sort key: (null flag, value)."""
-    fields = []
-    for i, k in enumerate(keys):
-        dt = df.schema[k.column].dataType
-        c = F.col(k.column)
+def _before(left: dict[str, Column], right: dict[str, Column], keys: Sequence[SortKey]) -> Column:
+    """Does ``left`` sort strictly before ``right``?"""
+    out = F.lit(False)
+    for k in reversed(keys):
+        a, b = _side(left[k.column], k), _side(right[k.column], k)
         if not k.ascending:
-            if not isinstance(dt, T.NumericType):
-                raise TypeError(f"descending scaled rank needs a numeric key, got {dt} for {k.column}")
-            c = -c
-        isnull = F.col(k.column).isNull()
-        flag = F.when(isnull, 1 if k.nulls_last else 0).otherwise(0 if k.nulls_last else 1)
-        zero = F.lit("") if isinstance(dt, T.StringType) else F.lit(0).cast(dt)
-        fields.append((f"_f{i}", flag))
-        fields.append((f"_v{i}", F.when(isnull, zero).otherwise(c)))
-    return fields
-
-
-def _bucket_expr(key: Column, cuts: list[Column], lo: int, hi: int) -> Column:
-    """Number of cut points strictly below ``key`` by binary search (depth log2 B)."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(key <= cuts[mid], _bucket_expr(key, cuts, lo, mid)).otherwise(
-        _bucket_expr(key, cuts, mid + 1, hi))
+            a, b = b, a
+        out = (a < b) | ((a == b) & out)
+    return out
+
+
+def _cuts(df: DataFrame, keys: Sequence[SortKey], order: list[Column], buckets: int) -> DataFrame:
+    """One row: the sorted cut points, at most ``buckets``, as an array of structs."""
+    cols = [F.col(k.column).alias(f"k{i}") for i, k in enumerate(keys)]
+    sample = (df.select(*[k.column for k in keys], F.xxhash64(*[k.column for k in keys]).alias("_rank_hash"))
+              .orderBy("_rank_hash", *order).limit(buckets * SAMPLE_PER_BUCKET))
+    picked = (sample.withColumn("_n", F.row_number().over(Window.orderBy(*order)))
+              .where(F.col("_n") % SAMPLE_PER_BUCKET == 0))
+    return picked.agg(F.array_sort(F.collect_list(F.struct("_n", *cols))).alias("cuts"))
+
+
+def _bucket(cuts: Column, keys: Sequence[SortKey], buckets: int) -> Column:
+    """Number of cut points at or before the row, by binary search."""
+    me = {k.column: F.col(k.column) for k in keys}
+    steps, s = [], 1
+    while s <= buckets:
+        steps.insert(0, s)
+        s *= 2
+
+    def step(acc: Column, width: Column) -> Column:
+        cut = F.get(cuts, acc + width - 1)
+        at = {k.column: cut.getField(f"k{i}") for i, k in enumerate(keys)}
+        inside = acc + width <= F.size(cuts)
+        return F.when(inside & ~_before(me, at, keys), acc + width).otherwise(acc)
+
+    return F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0), step)
 
 
 def global_ranks(
@@ -115,88 +113,38 @@ def global_ranks(
     tie: Sequence[str],
     outputs: dict[str, tuple],
     *,
-    method: str = "auto",
-    rows_per_bucket: int = 2_000_000,
-    max_buckets: int = 65536,
-    case_limit: int = 512,
-    sample_per_bucket: int = 64,
-    seed: int = 17,
-    n_rows: int | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """Add global rank columns ordered by ``keys`` then the unique ``tie`` columns.
-
-    ``outputs`` maps a new column name to ``("row_number",)``, ``("rank",)``,
-    ``("dense_rank",)``, ``("percent_rank",)`` or ``("ntile", n)``. Rank-type
-    outputs treat rows with equal ``keys`` as peers, as Spark's window functions
-    do. Ranks come back as bigint, percent_rank as double.
-
-    Up to ``case_limit`` buckets, the bucket of a row is found by a CASE
-    binary search over sampled cut points (depth log2 B, compiled into the
-    stage; 512 cut points stay within the JVM method-size limit of
-    whole-stage codegen). Beyond that (above ~1e9 rows at the default bucket
-    size) the rows are range-partitioned on the full sort key by Spark itself
-    and the partition id is frozen as the bucket by a reliable checkpoint in
-    ``spark.checkpoint.dir``, so a retried task cannot move a row to another
-    bucket.
-
-    ``method``: ``"window"`` (one partition), ``"scaled"`` (bucketed), or
-    ``"auto"`` (scaled only above ``rows_per_bucket`` rows). The scaled method
-    runs two small actions: a count (skipped when ``n_rows`` is given) and a
-    bounded sample.
+    """Add rank columns over the whole of ``df`` ordered by ``keys`` then ``tie``.
+
+    ``outputs`` maps a column name to ``("row_number",)``, ``("rank",)``,
+    ``("dense_rank",)``, ``("percent_rank",)`` or ``("ntile", n)``. ``tie`` must
+    make the order total; rank, dense_rank and percent_rank look at ``keys`` only.
+    The input is read three times (sample, boundaries, rows): pass a narrow frame.
     """
     for kind, *_ in outputs.values():
         if kind not in KINDS:
-            raise ValueError(f"unknown rank kind {kind!r}")
-    casts = {n: (F.col(n).cast("double") if k[0] == "percent_rank" else F.col(n).cast("bigint"))
-             for n, k in outputs.items()}
-    if method == "window":
-        return _plain(df, keys, tie, outputs).withColumns(casts)
-
-    n_rows = df.count() if n_rows is None else n_rows
-    n_buckets = min(max_buckets, math.ceil(n_rows / rows_per_bucket)) if n_rows else 1
-    if method == "auto" and n_buckets <= 1:
-        return _plain(df, keys, tie, outputs).withColumns(casts)
-    n_buckets = max(n_buckets, 2)
-
-    enc = _encoded(df, keys)
-    pfields = [F.col(n) for n, _ in enc]
-    kfields = pfields + [F.col(t) for t in tie]
-    work = df.withColumns(dict(enc))
-    key = F.struct(*kfields)
-    peer = F.struct(*pfields)
-
-    if n_buckets > case_limit:
-        # Spark's range partitioner (its own bounded sample, binary search per row);
-        # the checkpoint freezes partition id -> bucket for every later use.
-        work = (work.repartitionByRange(n_buckets, *kfields)
-                .withColumn("_b", F.spark_partition_id()).checkpoint(eager=True))
-    else:
-        # Bounded sample of sort keys -> cut points (driver holds at most ~sample rows).
-        target = sample_per_bucket * n_buckets
-        frac = min(1.0, target / max(n_rows, 1))
-        sample = [tuple(r) for r in work.select(*kfields).sample(False, frac, seed).collect()]
-        sample.sort()
-        cuts = []
-        if sample:
-            step = len(sample) / n_buckets
-            cuts = sorted({sample[min(len(sample) - 1, int(step * i))] for i in range(1, n_buckets)})
-        key_types = [work.schema[n].dataType for n, _ in enc] + [work.schema[t].dataType for t in tie]
-        cut_cols = [F.struct(*[F.lit(v).cast(dt) for v, dt in zip(c, key_types)]) for c in cuts]
-        work = work.withColumn("_b", _bucket_expr(key, cut_cols, 0, len(cut_cols)))
-
-    in_bucket = Window.partitionBy("_b").orderBy(*kfields)
-    peers_in_bucket = Window.partitionBy("_b").orderBy(*pfields)
+            raise ValueError(kind)
+    if buckets is None:
+        buckets = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    all_keys = [*keys, *[SortKey.asc(t) for t in tie]]
+    order, peers = _window_order(keys, tie), _window_order(keys, [])
+    cuts = _cuts(df, all_keys, order, buckets)
+    work = df.withColumn("_cuts", cuts.scalar()).withColumn("_b", _bucket(F.col("_cuts"), all_keys, buckets)).drop("_cuts")
+
+    in_bucket = Window.partitionBy("_b").orderBy(*order)
+    peers_in_bucket = Window.partitionBy("_b").orderBy(*peers)
     work = work.withColumns({
         "_lrn": F.row_number().over(in_bucket),
         "_lrk": F.rank().over(peers_in_bucket),
         "_ldr": F.dense_rank().over(peers_in_bucket),
-        "_peer": peer,
+        "_peer": F.struct(*[k.column for k in keys]),
     })
 
     stats = work.groupBy("_b").agg(
         F.count(F.lit(1)).alias("_n"),
-        F.min("_peer").alias("_pmin"),
-        F.max("_peer").alias("_pmax"),
+        F.min_by("_peer", "_lrn").alias("_pmin"),
+        F.max_by("_peer", "_lrn").alias("_pmax"),
         F.max("_ldr").alias("_nd"),
         (F.count(F.lit(1)) - F.max("_lrk") + 1).alias("_nlast"),
     )
@@ -235,9 +183,9 @@ def global_ranks(
             cols[name] = F.when(total > 1, (rk - 1).cast("double") / (total - 1)).otherwise(F.lit(0.0))
         else:
             cols[name] = ntile_from_row_number(rn, total, arg[0])
-    drop = [n for n, _ in enc] + ["_b", "_lrn", "_lrk", "_ldr", "_peer", "_row_off", "_total",
-                                  "_same_prev", "_carry", "_dense_off"]
-    return out.withColumns(cols).drop(*drop).withColumns(casts)
+    cols = {n: c.cast("double" if outputs[n][0] == "percent_rank" else "bigint") for n, c in cols.items()}
+    return out.withColumns(cols).drop("_b", "_lrn", "_lrk", "_ldr", "_peer", "_row_off", "_total",
+                                      "_same_prev", "_carry", "_dense_off")
 
 
 def ntile_from_row_number(rn: Column, total: Column, n: int) -> Column:

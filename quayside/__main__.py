@@ -4,7 +4,7 @@
 
 Tables are written under ``--root`` (default: a folder under the session's
 ``spark.checkpoint.dir``); the quality report, the layer counts and the
-headline KPIs are printed.
+headline KPIs are printed. Tables are registered in the environment's layer databases.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ import argparse
 import uuid
 
 from quayside.plans import pipeline as P
-from quayside.session import local_session, scratch_path
+from quayside.config import get_settings
+from quayside.session import current_session, scratch_path
 
 
 def main(argv=None) -> None:
@@ -21,16 +22,17 @@ def main(argv=None) -> None:
     ap.add_argument("--sf-dir", required=True)
     ap.add_argument("--as-of", default=None, help="report date used for recency and load times")
     ap.add_argument("--root", default=None)
-    ap.add_argument("--cores", default="*")
+    ap.add_argument("--env", default="dev", help="environment whose layer databases hold the tables")
     args = ap.parse_args(argv)
-    spark = local_session(cores=args.cores)
-    run = P.Run(spark, args.root or scratch_path(spark, "run", uuid.uuid4().hex), args.as_of)
+    spark = current_session()
+    root = args.root or scratch_path(spark, "run", uuid.uuid4().hex)
+    run = P.Run(spark, root, args.as_of, settings=get_settings(spark, args.env, root=root))
     silver = P.run_silver(run, P.tpch_bronze(run, args.sf_dir))
     gold = P.run_gold(run, silver)
     P.silver_quality_report(run).show(truncate=False)
     P.layer_counts(spark, run.tables).show(50, truncate=False)
     P.dashboard_queries(gold)["headline_kpis"].show(truncate=False)
-    print(f"tables written under {run.root}")
+    print(f"tables written under {run.root}; registered as {run.settings.namespace}_<layer>.<table>")
 
 
 if __name__ == "__main__":

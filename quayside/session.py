@@ -43,11 +43,27 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         return None
 
 
+def current_session(app: str = "quayside") -> SparkSession:
+    """The active session, or one with the settings of the submit command (no
+    master is set here, so the same command line runs on a cluster)."""
+    builder = SparkSession.builder.appName(app)
+    for k, v in SQL_CONF.items():
+        builder = builder.config(k, v)
+    return SparkSession.getActiveSession() or builder.getOrCreate()
+
+
+def is_local(master: str) -> bool:
+    """One JVM: executors share the driver's folders (``local-cluster`` doesn't count)."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) create a private one."""
+    """Use the cluster's ``spark.checkpoint.dir``. Only a local session without it
+    gets a private folder; on a cluster executors could not see one."""
     d = checkpoint_dir(spark)
     if not d:
+        if not is_local(spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="quayside-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)

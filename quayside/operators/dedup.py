@@ -23,15 +23,20 @@ def dedup_latest(
     keys: Sequence[str],
     order_cols: Sequence[str] = ("_bronze_loaded_at",),
     tie_break: Sequence[str] | None = None,
+    optional: Sequence[str] = (),
 ) -> DataFrame:
     """Keep one row per key: the newest by ``order_cols`` (descending, NULLs last).
 
+    An order column that the frame lacks raises, unless it is named in ``optional``.
     Ties are broken by ``tie_break`` (default: all other orderable columns, also
     descending), so the kept row does not depend on partitioning or retries.
     ``row_number() = 1`` lets Spark insert a partial ``WindowGroupLimit`` before
     the shuffle, so a key with very many copies is cut down map-side instead of
     being sorted whole in one task.
     """
+    missing = [c for c in order_cols if c not in df.columns and c not in optional]
+    if missing:
+        raise ValueError(f"order columns {missing} are not in the frame")
     order_cols = [c for c in order_cols if c in df.columns]
     if tie_break is None:
         tie_break = tie_break_columns(df, keys, order_cols)

@@ -10,11 +10,12 @@ the target side is handled by AQE skew splitting of the anti join.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions.columns import null_safe_row_hash
 from quayside.operators.dedup import dedup_latest
 
 
@@ -26,23 +27,29 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str
     other target rows stay. A source with duplicate keys is reduced to its
     newest row per key first (a MERGE would fail on it). ``target=None`` is
     the empty-target case. Columns are aligned by name; a column missing on
-    one side is NULL.
+    one side is NULL. NULL keys match each other, so replaying a batch changes
+    nothing.
     """
     src = dedup_latest(source, keys, order_cols)
     if target is None:
         return src
-    kept = target.join(src.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(src, allowMissingColumns=True)
+    new = src.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    same = reduce(and_, [target[k].eqNullSafe(new[f"_k_{k}"]) for k in keys])
+    return target.join(new, same, "left_anti").unionByName(src, allowMissingColumns=True)
 
 
 def table_exists(spark: SparkSession, name_or_path: str) -> bool:
-    """A catalog table name, or a path that holds data files."""
+    """A catalog table name, or a path with a complete write: ``_SUCCESS`` in it or in
+    one of its snapshots (a failed first write leaves a directory without it)."""
     if "/" not in name_or_path:
         return spark.catalog.tableExists(name_or_path)
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(name_or_path)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(path) and len(fs.listStatus(path)) > 0
+    if not fs.exists(path):
+        return False
+    found = [path, *[st.getPath() for st in fs.listStatus(path) if st.getPath().getName().startswith("v=")]]
+    return any(fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")) for p in found)
 
 
 def load_routing(spark: SparkSession, table: str, load_type: str = "full",
@@ -64,16 +71,15 @@ def change_classes(previous: DataFrame, current: DataFrame, keys: Sequence[str],
                    compare: Sequence[str]) -> DataFrame:
     """Classify keys as ``new``, ``changed``, ``unchanged`` or ``missing``.
 
-    Rows are compared by a NULL-safe SHA-256 of ``compare`` (so (a,NULL,b) and
-    (a,b,NULL) differ). One full outer join on the key; each side contributes
-    only its key and hash.
+    The ``compare`` columns are compared value by value, NULL-safe; no hash, so no
+    collision. One full outer join on the key (NULL keys match each other).
     """
-    h = null_safe_row_hash(list(compare))
-    prev = previous.select(*keys, h.alias("_h_prev"))
-    cur = current.select(*keys, h.alias("_h_cur"))
-    j = prev.join(cur, list(keys), "full_outer")
-    cls = (F.when(F.col("_h_prev").isNull(), "new")
-           .when(F.col("_h_cur").isNull(), "missing")
-           .when(F.col("_h_prev") == F.col("_h_cur"), "unchanged")
+    prev = previous.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.struct(*compare).alias("_prev"))
+    cur = current.select(*keys, F.struct(*compare).alias("_cur"))
+    j = prev.join(cur, reduce(and_, [prev[f"_k_{k}"].eqNullSafe(cur[k]) for k in keys]), "full_outer")
+    cls = (F.when(F.col("_prev").isNull(), "new")
+           .when(F.col("_cur").isNull(), "missing")
+           .when(F.col("_prev").eqNullSafe(F.col("_cur")), "unchanged")
            .otherwise("changed"))
-    return j.select(*keys, cls.alias("change_class"))
+    return j.select(*[F.when(F.col("_cur").isNull(), F.col(f"_k_{k}")).otherwise(F.col(k)).alias(k) for k in keys],
+                    cls.alias("change_class"))

@@ -20,12 +20,27 @@ from quayside.functions.columns import bucket, clamp_negative, flag, nullify_out
 from quayside.operators.dedup import dedup_latest
 from quayside.operators.integrity import ri_filter, ri_split
 
+# Newest load first where the frame carries a load time (bronze tables do; frames
+# straight from an adapter don't).
 LOAD_ORDER = ["_bronze_loaded_at"]
 
 
-def parse_ts(c: str | Column) -> Column:
+# A time of day followed by Z or an offset such as +05:30, +0530 or -08.
+OFFSET_TIME = r"\d{1,2}:\d{2}.*(?:Z|[+-]\d{1,2}(?::?\d{2})?)\s*$"
+
+
+def parse_ts(c: str | Column, zone: str = "UTC") -> Column:
+    """Text to wall-clock time (``timestamp_ntz``); bad text gives NULL.
+
+    Text with a UTC offset names an instant and becomes the wall clock of ``zone``;
+    text without one is taken as it stands. Neither depends on the session zone.
+    """
     c = F.col(c) if isinstance(c, str) else c
-    return c.try_cast("timestamp_ntz")
+    instant = F.unix_micros(c.try_cast("timestamp")).cast("decimal(18,0)") / F.lit(1_000_000).cast("decimal(7,0)")
+    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), instant.cast("decimal(18,6)"))
+    there = utc if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+    return F.when(F.rlike(c.cast("string"), F.lit(OFFSET_TIME)), there).otherwise(c.try_cast("timestamp_ntz"))
 
 
 def _loaded(loaded_at: Column | None) -> Column:
@@ -51,7 +66,7 @@ def _score(n_defaults: int) -> Column:
 
 def silver_customers(df: DataFrame, *, loaded_at: Column | None = None,
                      with_rejects: bool = False) -> DataFrame:
-    df = dedup_latest(df, K.PRIMARY_KEYS["customers"], LOAD_ORDER)
+    df = dedup_latest(df, K.PRIMARY_KEYS["customers"], LOAD_ORDER, optional=LOAD_ORDER)
     defaults = {"subscription_tier": "Free", "is_active": True, "total_orders_lifetime": 0,
                 "avg_order_value": 0.0}
     filled_cols, filled = _fill(defaults)
@@ -77,7 +92,7 @@ def silver_customers(df: DataFrame, *, loaded_at: Column | None = None,
 
 def silver_restaurants(df: DataFrame, *, loaded_at: Column | None = None,
                        with_rejects: bool = False) -> DataFrame:
-    df = dedup_latest(df, K.PRIMARY_KEYS["restaurants"], LOAD_ORDER)
+    df = dedup_latest(df, K.PRIMARY_KEYS["restaurants"], LOAD_ORDER, optional=LOAD_ORDER)
     defaults = {"is_delivering_now": False, "has_online_delivery": False,
                 "has_table_booking": False, "is_premium_partner": False}
     filled_cols, filled = _fill(defaults)
@@ -101,7 +116,7 @@ def silver_restaurants(df: DataFrame, *, loaded_at: Column | None = None,
 
 def conform_orders(df: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     """Dedup + derived columns of orders, before the referential checks."""
-    df = dedup_latest(df, K.PRIMARY_KEYS["orders"], LOAD_ORDER)
+    df = dedup_latest(df, K.PRIMARY_KEYS["orders"], LOAD_ORDER, optional=LOAD_ORDER)
     return (df
             .withColumns({"order_placed_at": parse_ts("order_placed_at"),
                           "order_status": F.upper(F.trim("order_status")),
@@ -139,7 +154,7 @@ def silver_orders(df: DataFrame, customers: DataFrame, restaurants: DataFrame, *
 
 
 def conform_deliveries(df: DataFrame, loaded_at: Column | None = None) -> DataFrame:
-    df = dedup_latest(df, K.PRIMARY_KEYS["deliveries"], LOAD_ORDER)
+    df = dedup_latest(df, K.PRIMARY_KEYS["deliveries"], LOAD_ORDER, optional=LOAD_ORDER)
     return (df
             .withColumns({"pickup_timestamp": parse_ts("pickup_timestamp"),
                           "delivered_timestamp": parse_ts("delivered_timestamp"),
@@ -165,7 +180,7 @@ def silver_deliveries(df: DataFrame, orders: DataFrame, *, loaded_at: Column | N
 
 def silver_reviews(df: DataFrame, *, loaded_at: Column | None = None,
                    with_rejects: bool = False) -> DataFrame:
-    df = dedup_latest(df, K.PRIMARY_KEYS["reviews"], LOAD_ORDER)
+    df = dedup_latest(df, K.PRIMARY_KEYS["reviews"], LOAD_ORDER, optional=LOAD_ORDER)
     df = (df
           .withColumns({"review_timestamp": parse_ts("review_timestamp"),
                         "rating": nullify_outside("rating", 1, 5),

@@ -200,40 +200,36 @@ def ntile_from_row_number(rn: Column, total: Column, n: int) -> Column:
 def histogram_ranks(
     df: DataFrame,
     key: str,
+    within: str,
     *,
-    partition_by: Sequence[str] = (),
-    ascending: bool = False,
-    outputs: dict[str, str],
+    low: float,
+    high: float,
+    decimals: int,
+    city_rank: str,
+    overall_rank: str,
+    overall_pct: str,
 ) -> DataFrame:
-    """rank / dense_rank / percent_rank of ``key`` (within ``partition_by``) for a
-    key with a bounded number of distinct values, such as a score rounded to
-    one decimal in 0..100.
-
-    Rows are first counted per (partition, key) with a partial aggregate; the
-    windows then run over that histogram (one row per distinct value, so a hot
-    partition is no bigger than the key domain) and the ranks join back on the
-    key. NULL keys sort last (descending) or first (ascending), as in Spark,
-    and join back null-safely.
+    """Dense rank of ``key`` (largest first) within ``within``, and its dense and percent
+    rank over everything, for a key rounded to ``decimals`` within ``low``..``high``.
+
+    One histogram (one row per group and distinct value) carries all windows; the
+    overall histogram is its sum. The domain bounds the overall window's rows to
+    ``(high - low) * 10**decimals + 2``; a value outside it raises. The ranks join
+    back once, null-safe, so a hot group is never sorted whole. NULL keys sort last.
     """
-    parts = list(partition_by)
-    hist = df.groupBy(*parts, key).agg(F.count(F.lit(1)).alias("_hn"))
-    order = F.col(key).desc_nulls_last() if not ascending else F.col(key).asc_nulls_first()
-    w = Window.partitionBy(*parts).orderBy(order)
-    cols = {}
-    for name, kind in outputs.items():
-        if kind == "dense_rank":
-            cols[name] = F.dense_rank().over(w).cast("bigint")
-        elif kind == "rank":
-            cols[name] = (F.coalesce(F.sum("_hn").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                                     F.lit(0)) + 1).cast("bigint")
-        elif kind == "percent_rank":
-            before = F.coalesce(F.sum("_hn").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-            total = F.sum("_hn").over(Window.partitionBy(*parts))
-            cols[name] = F.when(total > 1, before.cast("double") / (total - 1)).otherwise(F.lit(0.0))
-        else:
-            raise ValueError(f"histogram_ranks does not compute {kind!r}")
-    hist = hist.withColumns(cols).drop("_hn")
-    renamed = {c: f"_h_{c}" for c in [*parts, key]}
-    hist = hist.withColumnsRenamed(renamed)
-    cond = [df[c].eqNullSafe(hist[renamed[c]]) for c in [*parts, key]]
-    return df.join(hist, cond, "left").drop(*renamed.values())
+    value = F.col(key)
+    inside = value.isNull() | (value.between(low, high) & (F.round(value, decimals) == value))
+    checked = F.when(inside, value).otherwise(F.raise_error(F.concat(F.lit(f"{key} outside its domain: "), value.cast("string"))))
+    hist = df.groupBy(F.col(within).alias("_g"), checked.cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    best = F.col("_v").desc_nulls_last()
+    total = hist.groupBy("_v").agg(F.sum("_n").alias("_n"))
+    everything = Window.orderBy(best)
+    before = F.coalesce(F.sum("_n").over(everything.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = F.sum("_n").over(Window.partitionBy())
+    overall = total.select(
+        F.col("_v").alias("_ov"), F.dense_rank().over(everything).cast("bigint").alias(overall_rank),
+        F.when(rows > 1, before.cast("double") / (rows - 1)).otherwise(F.lit(0.0)).alias(overall_pct))
+    ranks = (hist.withColumn(city_rank, F.dense_rank().over(Window.partitionBy("_g").orderBy(best)).cast("bigint"))
+             .join(overall, F.col("_v").eqNullSafe(F.col("_ov"))).drop("_n", "_ov"))
+    return (df.join(ranks, df[within].eqNullSafe(ranks["_g"]) & df[key].cast("double").eqNullSafe(ranks["_v"]), "left")
+            .drop("_g", "_v"))

@@ -36,7 +36,7 @@ def test_bucket_bounds(spark, name):
 
 def test_all_tied_ntile_sizes_differ_by_at_most_one(spark):
     df = spark.range(23).select(F.col("id").cast("string").alias("id"), F.lit(7).alias("k"))
-    for method in ("window", "scaled"):
-        out = global_ranks(df, [SortKey.desc("k")], ["id"], {"nt": ("ntile", 5)}, method=method, rows_per_bucket=4)
+    for buckets in (1, 6):
+        out = global_ranks(df, [SortKey.desc("k")], ["id"], {"nt": ("ntile", 5)}, buckets=buckets)
         sizes = sorted(r["count"] for r in out.groupBy("nt").count().collect())
         assert sizes == [4, 4, 5, 5, 5]

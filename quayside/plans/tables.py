@@ -1,15 +1,23 @@
 """Table statements over plain Parquet: DDL, CTAS, DML as DataFrame rewrites.
 
-Parquet has no row-level UPDATE / DELETE / MERGE and Spark cannot overwrite a
-path it is reading. So a rewrite is a DataFrame transform (``update_where``,
-``delete_where``, ``merge_upsert``, ``evolve_schema``) committed by
-:class:`SnapshotTable` as a new numbered snapshot directory; readers always
-take the newest complete snapshot. Appends go into the current snapshot.
+Parquet has no row-level UPDATE / DELETE / MERGE, so a statement is a DataFrame
+transform (``update_where``, ``delete_where``, ``merge_upsert``, ``evolve_schema``).
+:class:`SnapshotTable` applies it
+
+* to a partitioned table by rewriting only the partitions that hold touched rows
+  (Spark's dynamic partition overwrite); the files of all others stay;
+* to an unpartitioned table as a new numbered snapshot directory. Readers take the
+  newest complete snapshot; the last ``keep`` snapshots stay, older ones go.
+
+Appends add files to the current snapshot.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,10 +75,13 @@ def apply_defaults(df: DataFrame, defaults: dict[str, object], not_null: Sequenc
 # -------------------------------------------------------- snapshot table
 
 class SnapshotTable:
-    """A path-based table: ``root/v=<n>`` snapshot directories, newest wins."""
+    """A path-based table: ``root/v=<n>`` snapshot directories, newest wins.
+
+    ``keep``: snapshots that stay after a commit (readers of older ones must be done).
+    """
 
-    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
-        self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
+    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet", keep: int = 2):
+        self.spark, self.root, self.fmt, self.keep = spark, root.rstrip("/"), fmt, max(keep, 1)
 
     def _fs(self):
         jvm = self.spark._jvm
@@ -108,6 +119,52 @@ class SnapshotTable:
             raise FileNotFoundError(f"no snapshot under {self.root}")
         return self.spark.read.format(self.fmt).load(self._dir(vs[-1]))
 
+    def path(self) -> str:
+        """Directory of the newest snapshot."""
+        vs = self.versions()
+        if not vs:
+            raise FileNotFoundError(f"no snapshot under {self.root}")
+        return self._dir(vs[-1])
+
+    def partition_columns(self) -> list[str]:
+        """Partition columns of the newest snapshot, from its directory names."""
+        fs, jvm = self._fs()
+        out, at = [], jvm.org.apache.hadoop.fs.Path(self.path())
+        while True:
+            below = [st.getPath() for st in fs.listStatus(at) if st.isDirectory() and "=" in st.getPath().getName()]
+            if not below:
+                return out
+            out.append(below[0].getName().split("=", 1)[0])
+            at = below[0]
+
+    def _retire(self) -> None:
+        fs, jvm = self._fs()
+        for v in self.versions()[:-self.keep]:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(self._dir(v)), True)
+
+    def _rewrite(self, change: Callable[[DataFrame], DataFrame], touched: DataFrame, parts: list[str]) -> DataFrame:
+        """Rewrite only the partitions named in ``touched``: ``change`` maps their rows to
+        the new rows (which may fall into other named partitions). The new rows are
+        staged first, so no file is read while it is replaced."""
+        fs, jvm = self._fs()
+        cur, path = self.read(), self.path()
+        t = touched.select(*[F.col(p).cast(cur.schema[p].dataType).alias(f"_p_{p}") for p in parts]).distinct()
+        mine = cur.join(t, reduce(and_, [F.col(p).eqNullSafe(F.col(f"_p_{p}")) for p in parts]), "left_semi")
+        # one row per touched partition and directory: metadata
+        dirs = mine.select(*parts, F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("_dir")).distinct().collect()
+        staged_at = f"{self.root}/_staged-{uuid.uuid4().hex}"
+        change(mine).select(*[F.col(f"`{c}`") for c in cur.columns]).write.format(self.fmt).save(staged_at)
+        staged = self.spark.read.schema(cur.schema).format(self.fmt).load(staged_at)
+        filled = {tuple(r) for r in staged.select(*parts).distinct().collect()}
+        (staged.write.format(self.fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*parts).save(path))
+        for r in dirs:
+            if tuple(r)[:-1] not in filled:  # every row of it is gone
+                fs.delete(jvm.org.apache.hadoop.fs.Path(r["_dir"]), True)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(staged_at), True)
+        self.spark.catalog.refreshByPath(path)
+        return self.read()
+
     def commit(self, df: DataFrame, partition_by: Sequence[str] | None = None) -> DataFrame:
         """Write ``df`` as the next snapshot (it may read the current one) and return it."""
         every = self._listed(False)   # numbering skips failed attempts too
@@ -116,6 +173,7 @@ class SnapshotTable:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.save(target)
+        self._retire()
         return self.spark.read.format(self.fmt).load(target)
 
     def insert(self, df: DataFrame) -> DataFrame:
@@ -124,22 +182,41 @@ class SnapshotTable:
         if not vs:
             return self.commit(df)
         cur = self.read()
-        df.select(*[F.col(c).cast(cur.schema[c].dataType) for c in cur.columns]).write.format(self.fmt) \
-            .mode("append").save(self._dir(vs[-1]))
+        w = df.select(*[F.col(c).cast(cur.schema[c].dataType) for c in cur.columns]).write.format(self.fmt).mode("append")
+        parts = self.partition_columns()
+        (w.partitionBy(*parts) if parts else w).save(self._dir(vs[-1]))
         return self.read()
 
     def update(self, assignments: dict, cond: Column) -> DataFrame:
-        return self.commit(update_where(self.read(), assignments, cond))
+        cur, parts = self.read(), self.partition_columns()
+        if not parts:
+            return self.commit(update_where(cur, assignments, cond))
+        hit = cur.where(cond)
+        touched = hit.select(*parts)
+        if set(parts) & set(assignments):  # rows move to other partitions, whose rows must stay
+            touched = touched.union(update_where(hit, assignments, F.lit(True)).select(*parts))
+        return self._rewrite(lambda df: update_where(df, assignments, cond), touched, parts)
 
     def delete(self, cond: Column) -> DataFrame:
-        return self.commit(delete_where(self.read(), cond))
+        cur, parts = self.read(), self.partition_columns()
+        if not parts:
+            return self.commit(delete_where(cur, cond))
+        return self._rewrite(lambda df: delete_where(df, cond), cur.where(cond).select(*parts), parts)
 
     def merge(self, source: DataFrame, keys: Sequence[str], order_cols: Sequence[str] = ()) -> DataFrame:
-        target = self.read() if self.exists() else None
-        return self.commit(merge_upsert(target, source, keys, order_cols))
+        if not self.exists():
+            return self.commit(merge_upsert(None, source, keys, order_cols))
+        cur, parts = self.read(), self.partition_columns()
+        if not parts:
+            return self.commit(merge_upsert(cur, source, keys, order_cols))
+        new = source.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+        touched = cur.join(new, same, "left_semi").select(*parts).union(
+            source.select(*[F.col(p).cast(cur.schema[p].dataType) for p in parts]))
+        return self._rewrite(lambda df: merge_upsert(df, source, keys, order_cols), touched, parts)
 
     def evolve(self, add=(), rename=None) -> DataFrame:
-        return self.commit(evolve_schema(self.read(), add, rename))
+        return self.commit(evolve_schema(self.read(), add, rename), self.partition_columns())
 
 
 # ------------------------------------------------------------ catalog DDL
@@ -151,19 +228,41 @@ def create_schemas(spark: SparkSession, names: Sequence[str], comments: dict[str
 
 
 def ddl_from_schema(table: str, schema, comment: str | None = None, fmt: str = "parquet",
-                    partitioned_by: Sequence[str] = (), location: str | None = None) -> str:
-    """``CREATE TABLE IF NOT EXISTS`` text for a StructType (idempotent)."""
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+                    partitioned_by: Sequence[str] = (), location: str | None = None,
+                    properties: dict[str, str] | None = None) -> str:
+    """``CREATE TABLE IF NOT EXISTS`` text for a StructType (idempotent): types, NOT NULL,
+    column comments (the field's ``comment`` metadata), table comment and properties."""
+    def column(f) -> str:
+        note = f.metadata.get("comment")
+        return (f"`{f.name}` {f.dataType.simpleString()}" + ("" if f.nullable else " NOT NULL")
+                + (f" COMMENT '{_text(note)}'" if note else ""))
+
+    cols = ", ".join(column(f) for f in schema.fields)
     sql = f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING {fmt}"
     if partitioned_by:
         sql += f" PARTITIONED BY ({', '.join(partitioned_by)})"
     if location:
         sql += f" LOCATION '{location}'"
     if comment:
-        sql += f" COMMENT '{comment}'"
+        sql += f" COMMENT '{_text(comment)}'"
+    if properties:
+        sql += f" TBLPROPERTIES ({_properties(properties)})"
     return sql
 
 
+def _text(s: str) -> str:
+    return s.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _properties(values: dict[str, str]) -> str:
+    return ", ".join(f"'{_text(k)}' = '{_text(v)}'" for k, v in values.items())
+
+
+def set_properties(spark: SparkSession, table: str, values: dict[str, str]) -> None:
+    """``ALTER TABLE ... SET TBLPROPERTIES``."""
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({_properties(values)})")
+
+
 def create_tables(spark: SparkSession, layer: str, schemas: dict, fmt: str = "parquet") -> list[str]:
     create_schemas(spark, [layer])
     out = []
@@ -187,19 +286,41 @@ def ctas(df: DataFrame, table: str, path: str | None = None, fmt: str = "parquet
 
 def register_external(spark: SparkSession, table: str, path: str, fmt: str = "parquet") -> DataFrame:
     """Register files already at ``path`` as an external table (dropping it keeps the files)."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING {fmt} LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING {fmt} LOCATION '{_text(path)}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
+        spark.catalog.recoverPartitions(table)
     return spark.table(table)
 
 
-def catalog_inventory(spark: SparkSession, databases: Sequence[str]) -> DataFrame:
-    """(database, table, column, data_type, table_type) of every table in ``databases``.
+def publish(spark: SparkSession, table: str, path: str, fmt: str = "parquet") -> DataFrame:
+    """Make the files at ``path`` the external table ``database.name`` (pointing an
+    existing one at them) and read it by name."""
+    create_schemas(spark, [table.split(".")[0]])
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return register_external(spark, table, path, fmt)
 
-    Metadata only: a handful of rows per table, gathered from the catalog API.
-    """
+
+def catalog_inventory(spark: SparkSession, databases: Sequence[str]) -> DataFrame:
+    """(database, table, column, data_type, nullable, comment, table_type) of every table in
+    ``databases``: metadata only, a handful of rows per table."""
     rows = []
     for db in databases:
         for t in spark.catalog.listTables(db):
+            if t.isTemporary:
+                continue
             for c in spark.catalog.listColumns(f"{db}.{t.name}"):
-                rows.append((db, t.name, c.name, c.dataType, t.tableType))
+                rows.append((db, t.name, c.name, c.dataType, c.nullable, c.description, t.tableType))
     return spark.createDataFrame(rows, "database string, table string, column string, data_type string, "
-                                       "table_type string")
+                                       "nullable boolean, comment string, table_type string")
+
+
+def schema_listing(spark: SparkSession, pattern: str = "*") -> DataFrame:
+    """(database, comment) of the databases whose name matches ``pattern``."""
+    rows = [(d.name, d.description) for d in spark.catalog.listDatabases(pattern)]
+    return spark.createDataFrame(rows, "database string, comment string")
+
+
+def table_details(spark: SparkSession, table: str) -> DataFrame:
+    """(name, value) lines of ``DESCRIBE TABLE EXTENDED``: location, provider, properties."""
+    return (spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+            .select(F.col("col_name").alias("name"), F.col("data_type").alias("value")).where("name <> ''"))

@@ -3,11 +3,13 @@ import tempfile
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from helpers import frame, rows
 from quayside import contracts as K
 from quayside.functions.columns import null_safe_row_hash, row_hash
 from quayside.operators import quality as Q
+from quayside.operators.dedup import dedup_latest
 from quayside.operators.upsert import change_classes, load_routing, merge_upsert
 from quayside.plans import tables as TB
 from quayside.sources import landing as L
@@ -98,7 +100,90 @@ def test_snapshot_table_dml(spark):
     final = t.read()
     assert final.columns == ["customer_id", "country", "loyalty_tier", "is_active", "phone_number"]
     assert [r["phone_number"] for r in rows(final, "customer_id", "phone_number")] == ["555", "556", "559", "560"]
-    assert t.versions() == [1, 2, 3, 4, 5]
+    assert t.versions() == [4, 5]                                   # the last two snapshots stay
+
+
+def _files(root):
+    return {os.path.relpath(os.path.join(d, f), root) for d, _, fs in os.walk(root) for f in fs if f.startswith("part-")}
+
+
+def test_partitioned_dml_rewrites_only_touched_partitions(spark):
+    root = os.path.join(_tmp(), "by_country")
+    t = TB.SnapshotTable(spark, root)
+    t.commit(spark.createDataFrame([(1, "US", 5), (2, "UK", 6), (3, "US", 7), (4, None, 8), (5, "FR", 9)],
+                                   "id bigint, country string, n int"), ["country"])
+    before = _files(root)
+
+    def content():
+        return sorted(((r["id"], r["country"], r["n"]) for r in t.read().collect()), key=str)
+
+    def untouched(*names):
+        return {f for f in _files(root) if f in before and any(f"country={n}/" in f for n in names)} == \
+            {f for f in before if any(f"country={n}/" in f for n in names)}
+
+    t.update({"n": 0}, F.col("id") == 3)
+    assert content() == [(1, "US", 5), (2, "UK", 6), (3, "US", 0), (4, None, 8), (5, "FR", 9)]
+    assert t.partition_columns() == ["country"] and untouched("UK", "FR")
+    t.delete(F.col("id") == 5)                                     # the last row of a partition
+    assert (5, "FR", 9) not in content() and len(content()) == 4 and untouched("UK")
+    assert not any("country=FR/" in f for f in _files(root))
+    src = spark.createDataFrame([(1, "DE", 50), (None, "DE", 1), (9, "UK", 2), (9, "UK", 3)], "id bigint, country string, n int")
+    for _ in range(3):                                             # replays change nothing; row 1 moves to another partition
+        t.merge(src, ["id"], ["n"])
+        assert sorted(content(), key=str) == sorted([(1, "DE", 50), (None, "DE", 1), (9, "UK", 3), (2, "UK", 6), (3, "US", 0), (4, None, 8)], key=str)
+    t.update({"country": "US"}, F.col("id") == 2)                  # moves into a partition whose rows must stay
+    assert (2, "US", 6) in content() and (3, "US", 0) in content() and len(content()) == 6
+    assert t.partition_columns() == ["country"] and t.versions() == [1]
+    t.evolve(add=[("note", "string", None)])
+    assert t.partition_columns() == ["country"] and "note" in t.read().columns
+
+
+def test_failed_first_write_is_no_table(spark):
+    root = os.path.join(_tmp(), "orders")
+    os.makedirs(f"{root}/v=00000001")
+    assert load_routing(spark, root, "incremental")["mode"] == "full"
+    TB.SnapshotTable(spark, root).commit(spark.range(2))
+    assert load_routing(spark, root, "incremental")["mode"] == "incremental"
+
+
+def test_null_key_replay_is_idempotent(spark):
+    src = spark.createDataFrame([(None, "a"), (1, "b")], "id int, v string")
+    out = None
+    for _ in range(3):
+        out = merge_upsert(out, src, ["id"], [])
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(None, "a"), (1, "b")], key=str)
+
+
+def test_change_classes_tell_shifted_separators_and_null_tokens_apart(spark):
+    a = spark.createDataFrame([(1, "x||y", "z"), (2, "\\N", "q"), (None, "u", "u")], "id int, p string, q string")
+    b = spark.createDataFrame([(1, "x", "y||z"), (2, None, "q"), (None, "u", "u")], "id int, p string, q string")
+    assert {r["id"]: r["change_class"] for r in change_classes(a, b, ["id"], ["p", "q"]).collect()} == \
+        {1: "changed", 2: "changed", None: "unchanged"}
+    assert a.select(null_safe_row_hash(["p", "q"])).intersect(b.select(null_safe_row_hash(["p", "q"]))).count() == 1
+
+
+def test_a_missing_order_column_raises(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, v string")
+    with pytest.raises(ValueError, match="_bronze_loaded_at"):
+        dedup_latest(df, ["id"])
+    assert dedup_latest(df, ["id"], optional=["_bronze_loaded_at"]).count() == 1
+
+
+def test_checkpoint_folder_must_be_shared_off_the_local_master():
+    from types import SimpleNamespace
+
+    from quayside import session
+
+    class Conf:
+        def get(self, key):
+            raise KeyError(key)
+
+    for master, ok in (("local[4]", True), ("local", True), ("local-cluster[2,1,1024]", False), ("yarn", False)):
+        assert session.is_local(master) == ok
+        if not ok:
+            fake = SimpleNamespace(sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None), conf=Conf())
+            with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+                session.scratch_path(fake, "x")
 
 
 def test_defaults_and_not_null(spark):
@@ -120,7 +205,16 @@ def test_catalog_ddl_ctas_external(spark):
     spark.sql(f"DROP TABLE {db}.ext_range")
     assert spark.read.parquet(path).count() == 5                     # external drop keeps the files
     TB.ctas(spark.range(3).withColumn("k", F.col("id") % 2), f"{db}.ctas_range", partition_by=["k"])
+    noted = T.StructType([T.StructField("id", T.LongType(), False, {"comment": "the key's id"}), T.StructField("v", T.StringType())])
+    sql = TB.ddl_from_schema(f"{db}.noted", noted, "a table", properties={"team": "ops"})
+    assert "`id` bigint NOT NULL COMMENT 'the key\\'s id'" in sql
+    spark.sql(sql)
+    TB.set_properties(spark, f"{db}.noted", {"quality": "silver"})
+    details = {r["name"]: r["value"] for r in TB.table_details(spark, f"{db}.noted").collect()}
+    assert "quality=silver" in details["Table Properties"] and "team=ops" in details["Table Properties"]
+    assert db in {r["database"] for r in TB.schema_listing(spark, "qs_test*").collect()}
     inv = TB.catalog_inventory(spark, [db])
+    assert ("noted", "id", "the key's id") in {(r["table"], r["column"], r["comment"]) for r in inv.collect()}
     assert {(r["table"], r["column"]) for r in inv.collect()} >= {("orders", "order_id"), ("ctas_range", "k")}
 
 
@@ -137,8 +231,7 @@ def test_quality_metrics_status_gate(spark):
     st = Q.dq_status(Q.dq_metrics("customers", raw, checked)).first()["status"]
     assert st == "FAIL"
     gate = {r["check"]: r["passed"] for r in
-            Q.dq_gate("customers", Q.dq_metrics("customers", raw, checked),
-                      checked.where("_reject_reason IS NULL"), ["customer_id"]).collect()}
+            Q.dq_gate("customers", raw, checked, ["customer_id"]).collect()}
     assert gate == {"min_pass_rate_pct": False, "max_null_pct": True, "max_duplicate_pct": False,
                     "min_row_count": False}
     with pytest.raises(ValueError):

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside import contracts as K
@@ -54,34 +54,33 @@ def dq_status(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("status", bucket("pass_rate_pct", *K.DQ_STATUS))
 
 
-def null_pct(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Long form (column, null_pct) for the given columns, from one aggregate."""
-    n = F.greatest(F.count(F.lit(1)), F.lit(1))
-    agg = df.agg(*[F.round(F.count_if(F.col(c).isNull()) / n * 100, 2).alias(c) for c in columns])
-    stack = ", ".join(f"'{c}', `{c}`" for c in columns)
-    return agg.selectExpr(f"stack({len(columns)}, {stack}) AS (column, null_pct)")
-
-
-def dq_gate(table: str, metrics: DataFrame, df: DataFrame, key_columns: Sequence[str],
+def dq_gate(table: str, raw: DataFrame, checked: DataFrame, key_columns: Sequence[str],
             thresholds: dict | None = None) -> DataFrame:
     """Threshold gate in long form: (table, check, value, limit, passed).
 
-    Checks: pass rate >= minimum, worst key-column null % <= maximum, duplicate
-    % <= maximum, output rows >= minimum row count of the table.
+    Checks: pass rate >= minimum, worst key-column null % of the valid rows <= maximum,
+    duplicate % <= maximum, output rows >= minimum row count of the table. One
+    aggregate over ``checked`` carries all of them; ``raw`` is only counted.
     """
     th = thresholds or K.THRESHOLDS
-    min_rows = th["min_row_count"].get(table, 0)
-    worst_null = null_pct(df, key_columns).agg(F.max("null_pct")).scalar()
-    m = metrics.select(
-        "pass_rate_pct",
-        F.round(F.col("duplicates_removed") / F.greatest(F.col("input_rows"), F.lit(1)) * 100, 2).alias("dup_pct"),
-        F.col("output_rows").cast("double").alias("rows"),
-    ).withColumn("null_pct", worst_null.cast("double"))
+    valid = F.col("_reject_reason").isNull()
+    m = checked.agg(F.count_if(valid).alias("rows"), F.count(F.lit(1)).alias("deduped"),
+                    *[F.count_if(valid & F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(key_columns)])
+    m = m.withColumn("seen", raw.agg(F.count(F.lit(1))).scalar())
+
+    def share(num: Column, den: Column) -> Column:
+        return F.round(num / F.greatest(den, F.lit(1)) * 100, 2)
+
+    nulls = [share(F.col(f"_null_{i}"), F.col("rows")) for i in range(len(key_columns))]
+    rows = F.col("rows")
+    m = m.select(share(rows, F.col("seen")).alias("pass_rate_pct"),
+                 (F.greatest(*nulls) if len(nulls) > 1 else nulls[0]).cast("double").alias("null_pct"),
+                 share(F.col("seen") - F.col("deduped"), F.col("seen")).alias("dup_pct"), rows.cast("double").alias("rows"))
     checks = [
         ("min_pass_rate_pct", "pass_rate_pct", float(th["min_pass_rate_pct"]), ">="),
         ("max_null_pct", "null_pct", float(th["max_null_pct"]), "<="),
         ("max_duplicate_pct", "dup_pct", float(th["max_duplicate_pct"]), "<="),
-        ("min_row_count", "rows", float(min_rows), ">="),
+        ("min_row_count", "rows", float(th["min_row_count"].get(table, 0)), ">="),
     ]
     stack = ", ".join(f"'{name}', `{col}`, CAST({limit} AS DOUBLE), '{op}'" for name, col, limit, op in checks)
     long = m.selectExpr(f"stack({len(checks)}, {stack}) AS (check, value, limit, op)")
@@ -95,12 +94,3 @@ def assert_non_empty(df: DataFrame, name: str) -> None:
     if df.isEmpty():
         raise ValueError(f"data quality check failed: {name} has 0 records")
 
-
-def run_metrics(spark, rows: Sequence[dict]) -> DataFrame:
-    """Audit rows (layer, task, table, total_records, status, load_date, run_seconds)
-    from the runner's own bookkeeping (a handful of rows per run)."""
-    schema = ("layer string, task string, table_name string, total_records bigint, status string, "
-              "load_date timestamp, run_seconds double, error string")
-    return spark.createDataFrame([(r.get("layer"), r.get("task"), r.get("table"), r.get("total_records"),
-                                   r.get("status"), r.get("load_date"), r.get("run_seconds"), r.get("error"))
-                                  for r in rows], schema)

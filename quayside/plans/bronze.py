@@ -52,7 +52,7 @@ def run_bronze(spark: SparkSession, landings: dict[str, str], target_root: str,
         except Exception as e:  # noqa: BLE001 - reported in the status row
             parts.append(spark.range(1).select(
                 F.lit(entity).alias("table"), F.lit("FAILED").alias("status"), F.lit(None).cast("string").alias("mode"),
-                F.lit(None).cast("bigint").alias("records"), F.lit(str(e)[:500]).alias("error")))
+                F.lit(None).cast("bigint").alias("records"), F.lit(str(e)).alias("error")))
     status = parts[0]
     for p in parts[1:]:
         status = status.unionByName(p)

@@ -11,24 +11,33 @@ from __future__ import annotations
 
 import datetime as _dt
 import time
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions.columns import row_hash
+from quayside import contracts as K
+from quayside.config import Settings
 from quayside.operators import quality as Q
+from quayside.plans import bronze as B
 from quayside.plans import dashboard as D
 from quayside.plans import gold as G
 from quayside.plans import silver as S
+from quayside.plans.tables import SnapshotTable, publish
 from quayside.session import scratch_path
+from quayside.sources import landing as L
 
 ENTITIES = ["customers", "restaurants", "orders", "deliveries", "reviews"]
+# Tables that are read by month are stored by month.
+MONTHS = {"orders": ("order_year", "order_month"), "fact_orders": ("order_year", "order_month")}
 
 
 def write_table(df: DataFrame, path: str, *, partition_by: list[str] | None = None,
                 fmt: str = "parquet", mode: str = "overwrite") -> DataFrame:
     """Write ``df`` to ``path`` and return a frame reading it back."""
+    if partition_by:  # few files per partition value; a large value is split by AQE
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     w = df.write.format(fmt).mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -46,9 +55,21 @@ class Run:
     audit: list[dict] = field(default_factory=list)
     metrics: dict[str, DataFrame] = field(default_factory=dict)
 
+    settings: Settings | None = None
+
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
+    def put(self, layer: str, name: str, path: str) -> DataFrame:
+        """The written table: read by name from its layer's database when the run has
+        settings, else by path."""
+        if self.settings is not None:
+            df = publish(self.spark, self.settings.table(layer, name), path, self.fmt)
+        else:
+            df = self.spark.read.format(self.fmt).load(path)
+        self.tables[f"{layer}.{name}"] = df
+        return df
+
     def _timed(self, layer: str, task: str, table: str, fn):
         t0 = time.time()
         try:
@@ -59,7 +80,7 @@ class Run:
         except Exception as e:  # record, then stop the run (no silent success)
             self.audit.append({"layer": layer, "task": task, "table": table, "status": "FAILED",
                                "load_date": _dt.datetime.now(), "run_seconds": time.time() - t0,
-                               "error": str(e)[:500]})
+                               "error": str(e)})
             raise
 
 
@@ -67,33 +88,40 @@ def _loaded_at(as_of):
     return F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
 
 
-def run_bronze_frames(run: Run, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Write landing-shaped frames as the bronze tables (audit columns added) and
-    return them read back, so silver starts from stored data."""
-    loaded = _loaded_at(run.as_of)
+def land_frames(run: Run, frames: Mapping[str, DataFrame]) -> dict[str, str]:
+    """Write landing-shaped frames as landing files with their contracts; entity -> path."""
+    paths = {}
+    for name in ENTITIES:
+        paths[name] = run.path("landing", name)
+        run._timed("landing", f"land_{name}", name, lambda name=name: L.write_landing(frames[name], paths[name], K.SCHEMAS[name], run.fmt))
+    return paths
+
+
+def run_bronze(run: Run, landings: Mapping[str, str], load_type: str = "full") -> dict[str, DataFrame]:
+    """Landing files to the bronze tables (contract scan, audit columns, routed load); an
+    empty table stops the run. Returns the tables by entity."""
     out: dict[str, DataFrame] = {}
     for name in ENTITIES:
         def build(name=name):
-            enriched = frames[name].withColumns({
-                "_bronze_loaded_at": loaded, "_source_file": F.lit(None).cast("string"),
-                "_row_hash": row_hash([c for c in frames[name].columns])})
-            t = write_table(enriched, run.path("bronze", name), fmt=run.fmt)
-            run.tables[f"bronze.{name}"] = t
-            return t
+            root = run.path("bronze", name)
+            df, _ = B.ingest_to_bronze(run.spark, landings[name], name, root, load_type=load_type,
+                                       merge_keys=K.PRIMARY_KEYS[name], fmt=run.fmt, loaded_at=_loaded_at(run.as_of))
+            Q.assert_non_empty(df, name)
+            return run.put("bronze", name, SnapshotTable(run.spark, root, run.fmt).path())
         out[name] = run._timed("bronze", f"ingest_{name}", name, build)
     return out
 
 
 def tpch_bronze(run: Run, sf_dir: str) -> dict[str, DataFrame]:
-    """Bronze layer from the driver tables: the newest copy of each line item is
-    written once as a staging table and shared by the order and delivery frames."""
+    """Driver tables landed as the five entities, then the bronze layer over the landing files.
+    The newest copy of each line item is staged once for the order and delivery frames."""
     from quayside.sources import tpch
     t = tpch.Tables(run.spark, sf_dir)
-    lines = run._timed("bronze", "stage_lines", "lines",
+    lines = run._timed("landing", "stage_lines", "lines",
                        lambda: write_table(tpch.lines(t), run.path("staging", "lines"), fmt=run.fmt))
     frames = {"customers": tpch.customers(t), "restaurants": tpch.restaurants(t),
               "orders": tpch.orders(t, lines), "deliveries": tpch.deliveries(t, lines), "reviews": tpch.reviews(t)}
-    return run_bronze_frames(run, frames)
+    return run_bronze(run, land_frames(run, frames))
 
 
 def _observed_metrics(spark: SparkSession, table: str, raw: DataFrame, seen: dict) -> DataFrame:
@@ -111,7 +139,7 @@ def _observed_metrics(spark: SparkSession, table: str, raw: DataFrame, seen: dic
     )
 
 
-def run_silver(run: Run, bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def run_silver(run: Run, bronze: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     loaded = _loaded_at(run.as_of)
     silver: dict[str, DataFrame] = {}
     for name in ENTITIES:
@@ -133,7 +161,8 @@ def run_silver(run: Run, bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
                 F.count_if(F.col("_reject_reason").isNull()).alias("output_rows"),
                 F.coalesce(F.sum(F.when(F.col("_reject_reason").isNull(), F.col("_nulls_filled"))),
                            F.lit(0)).cast("bigint").alias("nulls_filled"))
-            stored = write_table(observed, run.path("silver", name), partition_by=["_dq_status"], fmt=run.fmt)
+            write_table(observed, run.path("silver", name), partition_by=["_dq_status", *MONTHS.get(name, ())], fmt=run.fmt)
+            stored = run.put("silver", name, run.path("silver", name))
             run.metrics[name] = _observed_metrics(run.spark, name, b, obs.get)
             valid = stored.where(F.col("_dq_status") == "valid").drop("_dq_status", "_reject_reason",
                                                                       "_nulls_filled")
@@ -144,28 +173,33 @@ def run_silver(run: Run, bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return silver
 
 
-def run_gold(run: Run, silver: dict[str, DataFrame], rank_method: str = "auto") -> dict[str, DataFrame]:
-    as_of = run.as_of
-    gold: dict[str, DataFrame] = {}
-
-    def put(name, df):
-        gold[name] = run._timed("gold", f"build_{name}", name,
-                                lambda: write_table(df, run.path("gold", name), fmt=run.fmt))
-        run.tables[f"gold.{name}"] = gold[name]
-
-    s = silver
-    put("fact_orders", G.fact_orders(s["orders"], s["customers"], s["restaurants"],
-                                     G.first_delivery(s["deliveries"]), as_of=as_of))
-    put("dim_customers", G.dim_customers(s["customers"], s["orders"], s["reviews"], as_of=as_of,
-                                         rank_method=rank_method))
-    put("dim_restaurants", G.dim_restaurants(s["restaurants"], s["orders"], s["reviews"], s["deliveries"],
-                                             as_of=as_of))
-    put("agg_daily_city_metrics", G.daily_city_metrics(gold["fact_orders"], as_of=as_of))
-    put("agg_restaurant_performance", G.restaurant_performance(gold["dim_restaurants"], as_of=as_of))
-    put("agg_customer_cohorts", G.customer_cohorts(gold["fact_orders"], gold["dim_customers"], as_of=as_of))
-    put("agg_delivery_sla_report", G.delivery_sla_report(s["deliveries"], s["orders"], s["restaurants"],
-                                                         as_of=as_of))
-    put("agg_revenue_summary", G.revenue_summary(gold["fact_orders"], as_of=as_of))
+def run_gold(run: Run, silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The gold tables, each written once; later ones read earlier ones from storage."""
+    def build(name: str, make) -> DataFrame:
+        path = run.path("gold", name)
+
+        def write():
+            write_table(make(), path, partition_by=list(MONTHS.get(name, ())) or None, fmt=run.fmt)
+            return run.put("gold", name, path)
+        return run._timed("gold", f"build_{name}", name, write)
+
+    s, as_of, gold = silver, run.as_of, {}
+
+    def base(df: DataFrame) -> DataFrame:
+        return write_table(df, run.path("staging", "customer_base"), fmt=run.fmt)
+
+    makers = {
+        "fact_orders": lambda: G.fact_orders(s["orders"], s["customers"], s["restaurants"], G.first_delivery(s["deliveries"]), as_of=as_of),
+        "dim_customers": lambda: G.dim_customers(s["customers"], s["orders"], s["reviews"], as_of=as_of, store=base),
+        "dim_restaurants": lambda: G.dim_restaurants(s["restaurants"], s["orders"], s["reviews"], s["deliveries"], as_of=as_of),
+        "agg_daily_city_metrics": lambda: G.daily_city_metrics(gold["fact_orders"], as_of=as_of),
+        "agg_restaurant_performance": lambda: G.restaurant_performance(gold["dim_restaurants"], as_of=as_of),
+        "agg_customer_cohorts": lambda: G.customer_cohorts(gold["fact_orders"], gold["dim_customers"], as_of=as_of),
+        "agg_delivery_sla_report": lambda: G.delivery_sla_report(s["deliveries"], s["orders"], s["restaurants"], as_of=as_of),
+        "agg_revenue_summary": lambda: G.revenue_summary(gold["fact_orders"], as_of=as_of),
+    }
+    for name, make in makers.items():
+        gold[name] = build(name, make)
     return gold
 
 
@@ -198,36 +232,33 @@ def dashboard_queries(gold: dict[str, DataFrame], report_date: str | None = None
     }
 
 
-def layer_counts(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
-    """Row count of every table (``-1`` for one that cannot be read), plus a total row.
+def layer_counts(spark: SparkSession, tables: Mapping[str, DataFrame | str]) -> DataFrame:
+    """Row count of every table, and a total row. A table is a frame, a path or a catalog
+    name; one that cannot be opened or counted gives ``-1`` and doesn't stop the others.
 
-    One aggregate per table, unioned; the union is a handful of rows.
+    Runs one count per table (a number each); the result is a handful of rows.
     """
-    parts = []
-    for name, df in tables.items():
-        layer, _, table = name.partition(".")
+    rows = []
+    for name, table in tables.items():
+        layer, _, short = name.partition(".")
         try:
-            parts.append(df.agg(F.count(F.lit(1)).alias("row_count"))
-                         .select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "row_count"))
-        except Exception:  # noqa: BLE001 - unreadable table
-            parts.append(spark.range(1).select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"),
-                                               F.lit(-1).cast("bigint").alias("row_count")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    total = out.agg(F.sum(F.when(F.col("row_count") >= 0, F.col("row_count"))).alias("row_count")).select(
-        F.lit("all").alias("layer"), F.lit("total").alias("table_name"), "row_count")
-    return out.unionByName(total)
+            df = table if isinstance(table, DataFrame) else spark.read.load(table) if "/" in table else spark.table(table)
+            n = df.count()
+        except Exception:  # noqa: BLE001 - reported as -1
+            n = -1
+        rows.append((layer, short, n))
+    rows.append(("all", "total", sum(n for *_, n in rows if n >= 0)))
+    return spark.createDataFrame(rows, "layer string, table_name string, row_count bigint")
 
 
-def run_pipeline(spark: SparkSession, bronze: dict[str, DataFrame], root: str | None = None, *,
-                 as_of: str | None = None, fmt: str = "parquet", rank_method: str = "auto") -> Run:
+def run_pipeline(spark: SparkSession, bronze: Mapping[str, DataFrame], root: str | None = None, *,
+                 as_of: str | None = None, fmt: str = "parquet") -> Run:
     """Run silver and gold over ``bronze`` frames, writing under ``root``
     (default: a folder under the session's checkpoint directory)."""
     root = root or scratch_path(spark, "pipeline", _dt.datetime.now().strftime("%Y%m%dT%H%M%S%f"))
     run = Run(spark, root, as_of, fmt)
     silver = run_silver(run, bronze)
-    run_gold(run, silver, rank_method=rank_method)
+    run_gold(run, silver)
     return run
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from oracle.sql import CTES, LINE_COLS, ic, rnd, std, xavg
+from quayside.contracts import SCHEMAS
 
 CUTOFF = "1998-01-01"
 PREV_EXTRACT_BEFORE = "2000-01-01"
@@ -64,6 +65,12 @@ LAYERS = ([("bronze", n, f"a_{n}") for n in ["customers", "restaurants", "orders
               ("agg_customer_cohorts", "g_cohorts"), ("agg_delivery_sla_report", "g_sla"),
               ("agg_revenue_summary", "g_revenue")]])
 
+ENTITIES = ["customers", "restaurants", "orders", "deliveries", "reviews"]
+CUSTOMER_COLS = [f.name for f in SCHEMAS["customers"].fields]
+ORDER_COLS = [f.name for f in SCHEMAS["orders"].fields]
+# every other column in table order breaks ties
+REPLAY_TIES = [*LINE_COLS[:2], "l_linenumber", *LINE_COLS[2:]]
+
 DQ = f"""
 dq_raw AS (
   SELECT 'customers' AS t,
@@ -98,7 +105,7 @@ ch_prev AS (
   QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
     ORDER BY {', '.join(f'{c} ASC NULLS LAST' for c in ['l_shipdate'] + LINE_COLS)}) = 1),
 ch_cur AS (
-  SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '{CUR_EXTRACT_FROM}'
+  SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '{CUR_EXTRACT_FROM}' OR l_shipdate IS NULL
   QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
     ORDER BY {', '.join(f'{c} DESC NULLS LAST' for c in ['l_shipdate'] + LINE_COLS)}) = 1)"""
 
@@ -124,7 +131,7 @@ OPS_SQL: dict[str, str] = {
     "scan_lineage": q("""SELECT count(*) AS row_count, count(*) AS rows_with_source_file,
                            count(DISTINCT delivery_id) AS distinct_keys FROM a_deliveries"""),
     "row_hash": q("""SELECT l_orderkey, l_linenumber,
-        sha256(concat_ws('||', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus)) AS _row_hash
+        sha256(concat_ws('||', l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)) AS _row_hash
         FROM a_lines""", bigint=["l_linenumber"]),
     "sink_parquet_roundtrip": q("SELECT * FROM g_daily", text=["order_date"], bigint=["order_year", "order_month"]),
     "sink_csv_roundtrip": q("SELECT * FROM g_daily", text=["order_date"], bigint=["order_year", "order_month"]),
@@ -189,7 +196,7 @@ OPS_SQL: dict[str, str] = {
                            CASE "table" WHEN 'customers' THEN 1000 WHEN 'restaurants' THEN 100 WHEN 'orders' THEN 10000
                                         WHEN 'deliveries' THEN 5000 ELSE 5000 END::DOUBLE, '>=' FROM dq)""",
                  extra_ctes=DQ),
-    "layer_counts": q("SELECT * FROM lc UNION ALL SELECT 'all', 'total', sum(row_count) FROM lc",
+    "layer_counts": q("SELECT * FROM lc UNION ALL SELECT 'gold', 'never_written', -1 UNION ALL SELECT 'all', 'total', sum(row_count) FROM lc",
                       bigint=["row_count"], extra_ctes=f"lc AS ({_counts(LAYERS)})"),
     "run_metrics": q("\nUNION ALL ".join(
         f"SELECT '{layer}' AS layer, '{('transform_' if layer == 'silver' else 'build_') + name}' AS task, "
@@ -248,10 +255,38 @@ OPS_SQL: dict[str, str] = {
                            positive_reviews, negative_reviews, restaurant_health_score FROM g_dim_restaurants"""),
     "null_safe_hash": q("""
         SELECT customer_id,
-          sha256(concat_ws('||', coalesce(first_name, '\\N'), coalesce(last_name, '\\N'),
-            coalesce(preferred_payment, '\\N'), coalesce(email, '\\N'), coalesce(preferred_cuisine, '\\N'),
-            coalesce(locality, '\\N'))) AS _hash,
-          sha256(concat_ws('||', first_name, last_name, preferred_payment, email, preferred_cuisine, locality))
-            AS _row_hash
-        FROM a_customers"""),
+          sha256(concat_ws(',', """ + ", ".join(
+            f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in CUSTOMER_COLS) + """)) AS _hash,
+          sha256(concat_ws('||', """ + ", ".join(f"CAST({c} AS VARCHAR)" for c in CUSTOMER_COLS) + """)) AS _row_hash
+        FROM (SELECT * REPLACE (CAST(customer_id AS VARCHAR) AS customer_id) FROM a_customers)"""),
+    "merge_replay": q(f"""
+        SELECT * EXCLUDE (marker), marker FROM (
+          SELECT *, CASE WHEN l_linenumber < 3 THEN l_linenumber END AS marker FROM lineitem)
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey, marker
+          ORDER BY {', '.join(f'{c} DESC NULLS LAST' for c in ['l_shipdate', *REPLAY_TIES])}) = 1""",
+                      text=["l_shipdate"], bigint=["l_linenumber", "marker"]),
+    "bronze_ingest": q("SELECT order_id, sha256(concat_ws('||', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in ORDER_COLS)
+                       + f")) AS _row_hash, 'orders' AS source_folder, 'full' AS mode, true AS loaded_at_ok FROM ({ORDER_CONTRACT})"),
+    "assert_non_empty": q("\nUNION ALL ".join(
+        f"SELECT '{n}' AS \"table\", CASE WHEN (SELECT count(*) FROM a_{n}) = 0 THEN 'empty' END AS error UNION ALL "
+        f"SELECT '{n}_none', 'data quality check failed: {n}_none has 0 records'" for n in ENTITIES)),
+    "ri_filter": q("SELECT order_id, customer_id, restaurant_id FROM s_orders"),
+    "ddl_tables": q("\nUNION ALL ".join(
+        f"SELECT '{n}' AS \"table\", (SELECT count(*) FROM a_{n}) AS rows, 'parquet' AS provider, true AS has_property, "
+        f"{len(SCHEMAS[n].fields)} AS columns" for n in ENTITIES), bigint=["columns"]),
+    "catalog_inventory": q("\nUNION ALL ".join(
+        f"SELECT '{n}' AS \"table\", '{f.name}' AS \"column\", '{f.dataType.simpleString()}' AS data_type, "
+        f"(SELECT count({f.name}) FROM a_{n}) AS non_null_rows" for n in ENTITIES for f in SCHEMAS[n].fields)),
+    "global_ranks": f"""
+        WITH t AS (
+          SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority END AS word,
+            CASE WHEN o_orderkey % 11 = 0 THEN 'NaN'::DOUBLE WHEN o_orderkey % 13 <> 0 THEN o_totalprice END AS price,
+            CASE WHEN o_orderkey % 3 = 0 THEN -9223372036854775808 ELSE o_custkey END AS cust FROM orders)
+        SELECT o_orderkey, rank() OVER (ORDER BY day ASC NULLS FIRST) AS day_asc, rank() OVER (ORDER BY day DESC NULLS LAST) AS day_desc,
+          dense_rank() OVER (ORDER BY word ASC NULLS LAST) AS word_asc, dense_rank() OVER (ORDER BY word DESC NULLS LAST) AS word_desc,
+          row_number() OVER (ORDER BY price ASC NULLS FIRST, o_orderkey) AS price_asc,
+          row_number() OVER (ORDER BY price DESC NULLS FIRST, o_orderkey) AS price_desc,
+          ntile(5) OVER (ORDER BY cust ASC NULLS FIRST, o_orderkey) AS cust_asc, ntile(5) OVER (ORDER BY cust DESC NULLS LAST, o_orderkey) AS cust_desc
+        FROM t""",
 }
+OPS_SQL["ctas_managed"] = OPS_SQL["ctas_aggregate"]

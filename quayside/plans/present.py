@@ -61,6 +61,7 @@ NULLABLE_OUTPUT: dict[str, dict[str, list[str]]] = {
     "nullify_invalid": {"double": ["raw_rating", "delivery_rating"]},
     "sentiment_label": {"double": ["rating"]},
     "safe_pct": {"double": []},
+    "merge_replay": {"double": ["marker"]},
 }
 
 

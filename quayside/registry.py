@@ -1,14 +1,16 @@
 """Registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame.
 
-The chain is driver tables -> adapter entities -> silver -> gold -> report,
-all lazy. Every query reads the whole driver tables. Outputs go through
+The chain is driver tables -> adapter entities -> silver -> gold -> report. A frame
+that a query reads more than once is written once under the checkpoint folder;
+the rest is lazy. Every query reads the whole driver tables. Outputs go through
 :func:`quayside.plans.present.present` (text timestamps, bigint integers,
 double numbers) so they can be compared with the SQL oracle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,53 +19,75 @@ from quayside.plans import dashboard as D
 from quayside.plans import gold as G
 from quayside.plans import silver as S
 from quayside.plans.present import present, typed_output
+from quayside.session import scratch_path
 from quayside.sources import tpch
 
 # Fixed report date of the registered queries (after the last order date), so
 # recency is reproducible.
 AS_OF = "2002-01-01"
+SILVER_ORDER = ("customers", "restaurants", "orders", "deliveries", "reviews")
+
+
+class Frames(Mapping):
+    """Named frames, each built when it is first asked for."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders, self._built = builders, {}
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
 
 
 class Chain:
-    """Lazily wired frames of one dataset directory."""
+    """The frames of one dataset directory, built on demand.
+
+    Frames that later ones read more than once (deduplicated lines, silver tables, the
+    bases of ranks and reports) are written once under the shared checkpoint folder
+    and read back, so no query derives them again; everything else is lazy.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = AS_OF):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
         self.t = tpch.Tables(spark, sf_dir)
-        self._memo: dict[str, DataFrame] = {}
-
-    def _get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        if name not in self._memo:
-            self._memo[name] = build()
-        return self._memo[name]
-
-    # adapters ("bronze")
-    @property
-    def lines(self):
-        return self._get("lines", lambda: tpch.lines(self.t))
-
-    @property
-    def bronze(self) -> dict[str, DataFrame]:
-        return self._get_dict("bronze", lambda: {
-            "customers": tpch.customers(self.t),
-            "restaurants": tpch.restaurants(self.t),
-            "orders": tpch.orders(self.t, self.lines),
-            "deliveries": tpch.deliveries(self.t, self.lines),
-            "reviews": tpch.reviews(self.t),
+        self._root = scratch_path(spark, "queries", "chain", uuid.uuid4().hex)
+        self._stored: dict[str, DataFrame] = {}
+        b = self.bronze = Frames({
+            "customers": lambda: tpch.customers(self.t),
+            "restaurants": lambda: tpch.restaurants(self.t),
+            "orders": lambda: tpch.orders(self.t, self.stored("lines", self.lines)),
+            "deliveries": lambda: tpch.deliveries(self.t, self.stored("lines", self.lines)),
+            "reviews": lambda: tpch.reviews(self.t),
         })
-
-    def _get_dict(self, name, build):
-        if name not in self._memo:
-            self._memo[name] = build()
-        return self._memo[name]
+        kept = Frames({name: lambda name=name: self.stored(f"silver_{name}", self.silver[name]) for name in SILVER_ORDER})
+        self.kept = kept
+        self.silver = Frames({
+            "customers": lambda: S.silver_customers(b["customers"]),
+            "restaurants": lambda: S.silver_restaurants(b["restaurants"]),
+            "orders": lambda: S.silver_orders(b["orders"], kept["customers"], kept["restaurants"]),
+            "deliveries": lambda: S.silver_deliveries(b["deliveries"], kept["orders"]),
+            "reviews": lambda: S.silver_reviews(b["reviews"]),
+        })
+        self.gold = G.GoldFrames(kept, as_of=as_of, store=self.stored)
 
     @property
-    def silver(self) -> dict[str, DataFrame]:
-        return self._get_dict("silver", lambda: S.silver_all(self.bronze))
+    def lines(self) -> DataFrame:
+        return tpch.lines(self.t)
 
-    @property
-    def gold(self) -> dict[str, DataFrame]:
-        return self._get_dict("gold", lambda: G.gold_all(self.silver, as_of=self.as_of))
+    def stored(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` written once under ``name`` and read back."""
+        if name not in self._stored:
+            path = f"{self._root}/{name}"
+            df.write.parquet(path)
+            self._stored[name] = self.spark.read.schema(df.schema).parquet(path)
+        return self._stored[name]
 
 
 def _q(build: Callable[[Chain], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -74,7 +98,7 @@ def _q(build: Callable[[Chain], DataFrame]) -> Callable[[SparkSession, str], Dat
 
 
 def _silver_rejects(c: Chain, name: str) -> DataFrame:
-    b, s = c.bronze, c.silver
+    b, s = c.bronze, c.kept
     if name == "orders":
         return S.silver_orders(b["orders"], s["customers"], s["restaurants"], with_rejects=True)
     if name == "deliveries":
@@ -96,7 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ri_quarantine": _q(lambda c: _silver_rejects(c, "orders").where(F.col("_reject_reason").isNotNull())
                         .select("order_id", "customer_id", "restaurant_id", "_reject_reason")),
     # gold
-    "customer_order_metrics": _q(lambda c: G.customer_order_metrics(c.silver["orders"])),
+    "customer_order_metrics": _q(lambda c: G.customer_order_metrics(c.kept["orders"])),
     "dim_customers": _q(lambda c: c.gold["dim_customers"]),
     "rfm_scores": _q(lambda c: c.gold["dim_customers"].select(
         "customer_id", "days_since_last_order", "total_orders", "lifetime_revenue", "recency_score",
@@ -108,8 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "customer_cohorts": _q(lambda c: c.gold["agg_customer_cohorts"]),
     "delivery_sla_report": _q(lambda c: c.gold["agg_delivery_sla_report"]),
     # dashboard
-    "headline_kpis": _q(lambda c: D.headline_kpis(c.gold["fact_orders"], c.gold["dim_customers"],
-                                                  c.gold["dim_restaurants"])),
+    "headline_kpis": _q(lambda c: D.headline_kpis(c.gold["fact_orders"], c.kept["customers"], c.kept["restaurants"])),
     "revenue_trend": _q(lambda c: D.revenue_trend(c.gold["agg_revenue_summary"])),
     "payment_breakdown": _q(lambda c: D.payment_breakdown(c.gold["fact_orders"])),
     "platform_breakdown": _q(lambda c: D.platform_breakdown(c.gold["fact_orders"])),

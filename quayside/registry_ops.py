@@ -17,6 +17,8 @@ from quayside.functions.columns import (bucket, clamp_negative, money, null_safe
                                         standardize_text_columns, surrogate_key)
 from quayside.operators import quality as Q
 from quayside.operators.dedup import dedup_latest, first_per_key
+from quayside.operators.integrity import ri_filter
+from quayside.operators.ranks import SortKey, global_ranks
 from quayside.operators.upsert import change_classes, merge_upsert
 from quayside.plans import bronze as B
 from quayside.plans import pipeline as P
@@ -76,10 +78,9 @@ def scan_lineage_q(spark, sf_dir):
 
 
 def row_hash_q(spark, sf_dir):
-    """SHA-256 of ``||``-joined key and text columns of each deduplicated line."""
-    c = _chain(spark, sf_dir)
-    cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"]
-    return c.lines.select("l_orderkey", "l_linenumber", row_hash(cols).alias("_row_hash"))
+    """SHA-256 of all ``||``-joined columns of each deduplicated line."""
+    lines = _chain(spark, sf_dir).lines
+    return lines.select("l_orderkey", "l_linenumber", row_hash(lines.columns).alias("_row_hash"))
 
 
 def _roundtrip(fmt):
@@ -156,7 +157,25 @@ def merge_upsert_q(spark, sf_dir):
     table = TB.SnapshotTable(spark, _scratch(spark, "merge_lines"))
     table.commit(dedup_latest(t.lineitem.where(F.col("l_shipdate") < F.lit(CUTOFF).cast("timestamp_ntz")),
                               keys, order))
-    increment = t.lineitem.where(F.col("l_shipdate") >= F.lit(OVERLAP_FROM).cast("timestamp_ntz"))
+    return table.merge(_from(t.lineitem, "l_shipdate", OVERLAP_FROM), keys, order)
+
+
+def _from(df: DataFrame, col: str, day: str) -> DataFrame:
+    """Rows from a day on; rows without a date belong here, so that no row is in neither part."""
+    when = F.col(col)
+    return df.where((when >= F.lit(day).cast(df.schema[col].dataType)) | when.isNull())
+
+
+def merge_replay_q(spark, sf_dir):
+    """A table partitioned by return flag: history, then the same increment merged twice. Its
+    key (order, marker) is NULL in part and repeats in the increment. Equals one merge."""
+    t = tpch.Tables(spark, sf_dir)
+    keys, order = ["l_orderkey", "marker"], ["l_shipdate"]
+    rows = t.lineitem.withColumn("marker", F.when(F.col("l_linenumber") < 3, F.col("l_linenumber")))
+    table = TB.SnapshotTable(spark, _scratch(spark, "merge_replay"))
+    table.commit(dedup_latest(rows.where(F.col("l_shipdate") < F.lit(CUTOFF).cast("timestamp_ntz")), keys, order), ["l_returnflag"])
+    increment = _from(rows, "l_shipdate", OVERLAP_FROM)
+    table.merge(increment, keys, order)
     return table.merge(increment, keys, order)
 
 
@@ -168,8 +187,7 @@ def change_classes_q(spark, sf_dir):
     keys = ["l_orderkey", "l_linenumber"]
     prev = first_per_key(t.lineitem.where(F.col("l_shipdate") < F.lit(PREV_EXTRACT_BEFORE).cast("timestamp_ntz")),
                          keys, ["l_shipdate"])
-    cur = dedup_latest(t.lineitem.where(F.col("l_shipdate") >= F.lit(CUR_EXTRACT_FROM).cast("timestamp_ntz")),
-                       keys, ["l_shipdate"])
+    cur = dedup_latest(_from(t.lineitem, "l_shipdate", CUR_EXTRACT_FROM), keys, ["l_shipdate"])
     compare = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
                "l_returnflag", "l_linestatus", "l_shipdate"]
     return change_classes(prev, cur, keys, compare)
@@ -188,7 +206,7 @@ def insert_rows_q(spark, sf_dir):
     _, _, so = _guide(spark, sf_dir)
     table = TB.SnapshotTable(spark, _scratch(spark, "sales_orders"))
     table.commit(so.where(F.col("order_date") < F.lit(CUTOFF).cast("date")))
-    return table.insert(so.where(~(F.col("order_date") < F.lit(CUTOFF).cast("date"))))
+    return table.insert(_from(so, "order_date", CUTOFF))
 
 
 def _update_cond():
@@ -229,10 +247,11 @@ def apply_defaults_q(spark, sf_dir):
 
 
 def partitioned_write_q(spark, sf_dir):
-    """Sales orders written partitioned by order_date (one file per date), read back."""
+    """Sales orders written partitioned by order_date (rows of a date together, a large
+    date split), read back."""
     _, _, so = _guide(spark, sf_dir)
     path = _scratch(spark, "sales_orders_by_date")
-    so.repartition("order_date").write.mode("overwrite").partitionBy("order_date").parquet(path)
+    P.write_table(so, path, partition_by=["order_date"])
     return spark.read.schema(so.schema).parquet(path)
 
 
@@ -245,24 +264,132 @@ def external_table_q(spark, sf_dir):
     return TB.register_external(spark, name, path)
 
 
-def ctas_join_q(spark, sf_dir):
-    """CTAS at a path: active customers joined to their orders."""
+def _unique(name: str) -> str:
+    return f"{name}_{uuid.uuid4().hex[:12]}"
+
+
+def _customer_orders(spark, sf_dir):
     _, cust, so = _guide(spark, sf_dir)
-    path = _scratch(spark, "customer_orders")
-    return P.write_table(GD.customer_orders(cust, so), path)
+    return TB.ctas(GD.customer_orders(cust, so), _unique("customer_orders"), path=_scratch(spark, "customer_orders"))
+
+
+def ctas_join_q(spark, sf_dir):
+    """External CTAS: active customers joined to their orders, read by name."""
+    return _customer_orders(spark, sf_dir)
 
 
 def ctas_aggregate_q(spark, sf_dir):
-    """CTAS at a path: completed revenue per customer over the joined table."""
-    _, cust, so = _guide(spark, sf_dir)
-    joined = P.write_table(GD.customer_orders(cust, so), _scratch(spark, "customer_orders"))
-    return P.write_table(GD.customer_revenue_summary(joined), _scratch(spark, "customer_revenue_summary"))
+    """External CTAS: completed revenue per customer over the joined table."""
+    return TB.ctas(GD.customer_revenue_summary(_customer_orders(spark, sf_dir)), _unique("revenue_summary"),
+                   path=_scratch(spark, "customer_revenue_summary"))
+
+
+def ctas_managed_q(spark, sf_dir):
+    """Managed CTAS of the same summary, overwritten once and read by name."""
+    name = _unique("revenue_managed")
+    summary = GD.customer_revenue_summary(_customer_orders(spark, sf_dir))
+    TB.ctas(summary.limit(0), name)
+    return TB.ctas(summary, name)
+
+
+def _ddl_database(spark, sf_dir) -> str:
+    """The five entity tables created twice by DDL from their contracts, then filled by name."""
+    db = _unique("qs_ddl")
+    TB.create_tables(spark, db, K.SCHEMAS)
+    TB.create_tables(spark, db, K.SCHEMAS)
+    bronze = _chain(spark, sf_dir).bronze
+    for name in K.SCHEMAS:
+        _contract_cast(bronze[name], name).write.insertInto(f"{db}.{name}", overwrite=True)
+        TB.set_properties(spark, f"{db}.{name}", {"quality": "bronze"})
+    return db
+
+
+def ddl_tables_q(spark, sf_dir):
+    """Tables made by DDL: columns, first comment, property and rows of each."""
+    db = _ddl_database(spark, sf_dir)
+    listed = TB.catalog_inventory(spark, [db]).groupBy("table").agg(F.count(F.lit(1)).alias("columns"))
+    out = None
+    for name in K.SCHEMAS:
+        lines = TB.table_details(spark, f"{db}.{name}").where("name in ('Provider', 'Table Properties')")
+        part = (spark.table(f"{db}.{name}").agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit(name))
+                .withColumn("provider", lines.where("name = 'Provider'").select("value").scalar())
+                .withColumn("has_property", lines.where("name = 'Table Properties'").select("value").scalar().contains("quality=bronze")))
+        out = part if out is None else out.unionByName(part)
+    return out.join(listed, "table")
+
+
+def catalog_inventory_q(spark, sf_dir):
+    """Every column of the tables made by DDL: type, NOT NULL, and its non-NULL rows."""
+    db = _ddl_database(spark, sf_dir)
+    inv = TB.catalog_inventory(spark, [db]).select("table", "column", "data_type", "comment")
+    counts = None
+    for name, schema in K.SCHEMAS.items():
+        cols = [f.name for f in schema.fields]
+        stack = ", ".join(f"'{c}', `{c}`" for c in cols)
+        part = (spark.table(f"{db}.{name}").agg(*[F.count(c).alias(c) for c in cols])
+                .selectExpr(f"'{name}' AS table", f"stack({len(cols)}, {stack}) AS (column, non_null_rows)"))
+        counts = part if counts is None else counts.unionByName(part)
+    return inv.drop("comment").join(counts, ["table", "column"])
+
+
+def bronze_ingest_q(spark, sf_dir):
+    """Bronze orders from landing files: hash over all columns, load time and the folder of
+    the source file of every row."""
+    root = _scratch(spark, "bronze_ingest")
+    out, mode = B.ingest_to_bronze(spark, _landing(spark, sf_dir, "orders", root), "orders", f"{root}/bronze/orders",
+                                   load_type="full", loaded_at=F.lit(_as_of()).cast("timestamp"))
+    folder = F.regexp_extract("_source_file", "/landing/([^/]+)/[^/]+$", 1)
+    return out.select("order_id", "_row_hash", folder.alias("source_folder"), F.lit(mode).alias("mode"),
+                      (F.col("_bronze_loaded_at") == F.lit(_as_of()).cast("timestamp")).alias("loaded_at_ok"))
+
+
+def assert_non_empty_q(spark, sf_dir):
+    """The non-empty check of the bronze frames, and of each cut down to no row: rows and the
+    error text."""
+    rows = []
+    for name, df in _chain(spark, sf_dir).bronze.items():
+        for label, frame in ((name, df), (f"{name}_none", df.where(F.lit(False)))):
+            try:
+                Q.assert_non_empty(frame, label)
+                rows.append((label, None))
+            except ValueError as e:
+                rows.append((label, str(e)))
+    return spark.createDataFrame(rows, "table string, error string")
+
+
+def ri_filter_q(spark, sf_dir):
+    """Order keys whose customer and restaurant exist in the silver tables."""
+    c = _chain(spark, sf_dir)
+    kept = ri_filter(S.conform_orders(c.bronze["orders"]), [(c.kept["customers"], "customer_id"), (c.kept["restaurants"], "restaurant_id")])
+    return kept.select("order_id", "customer_id", "restaurant_id")
+
+
+def global_ranks_q(spark, sf_dir):
+    """Ranks over all orders without a one-task window: dates, text with NULLs and hot ties,
+    doubles with NaN and NULL, the smallest bigint; both directions."""
+    key = F.col("o_orderkey")
+    t = tpch.Tables(spark, sf_dir).orders.select(
+        "o_orderkey", F.col("o_orderdate").cast("date").alias("day"),
+        F.when(key % 7 != 0, F.col("o_orderpriority")).alias("word"),
+        F.when(key % 11 == 0, F.lit(float("nan"))).when(key % 13 != 0, F.col("o_totalprice")).alias("price"),
+        F.when(key % 3 == 0, F.lit(-2 ** 63)).otherwise(F.col("o_custkey")).alias("cust"))
+    kinds = {
+        "day": (SortKey.asc("day"), SortKey.desc("day"), ("rank",)), "word": (SortKey.asc("word", nulls_last=True), SortKey.desc("word"), ("dense_rank",)),
+        "price": (SortKey.asc("price"), SortKey.desc("price", nulls_last=False), ("row_number",)),
+        "cust": (SortKey.asc("cust"), SortKey.desc("cust"), ("ntile", 5)),
+    }
+    out = t.select("o_orderkey")
+    for name, (up, down, kind) in kinds.items():
+        for k, end in ((up, "asc"), (down, "desc")):
+            r = global_ranks(t.select("o_orderkey", name), [k], ["o_orderkey"], {f"{name}_{end}": kind})
+            out = out.join(r.drop(name), "o_orderkey")
+    return out
 
 
 # ------------------------------------------------------------------ quality
 
 def _checked(c) -> dict[str, DataFrame]:
-    b, s = c.bronze, c.silver
+    b, s = c.bronze, c.kept
     return {
         "customers": S.silver_customers(b["customers"], with_rejects=True),
         "restaurants": S.silver_restaurants(b["restaurants"], with_rejects=True),
@@ -308,20 +435,19 @@ def dq_gate_q(spark, sf_dir):
     c = _chain(spark, sf_dir)
     out = None
     for name, checked in _checked(c).items():
-        m = Q.dq_metrics(name, c.bronze[name], checked)
-        valid = checked.where(F.col("_reject_reason").isNull())
-        g = Q.dq_gate(name, m, valid, K.PRIMARY_KEYS[name])
+        g = Q.dq_gate(name, c.bronze[name], checked, K.PRIMARY_KEYS[name])
         out = g if out is None else out.unionByName(g)
     return out
 
 
 def layer_counts_q(spark, sf_dir):
     """Row counts of the bronze frames and of the silver and gold tables written by a
-    layer run, plus their total."""
+    layer run, of one that was never written (-1), and their total."""
     c = _chain(spark, sf_dir)
     run = P.run_pipeline(spark, c.bronze, _scratch(spark, "pipeline"), as_of=_as_of())
     tables = {f"bronze.{k}": v for k, v in c.bronze.items()}
     tables.update({k: v for k, v in run.tables.items() if k.split(".")[0] in ("silver", "gold")})
+    tables["gold.never_written"] = run.path("gold", "never_written")
     return P.layer_counts(spark, tables)
 
 
@@ -374,10 +500,10 @@ def safe_pct_q(spark, sf_dir):
     """Per customer, the discounted share of delivered orders; a customer without a
     delivered order has a zero denominator, which counts as 1."""
     c = _chain(spark, sf_dir)
-    o = c.silver["orders"].groupBy("customer_id").agg(
+    o = c.kept["orders"].groupBy("customer_id").agg(
         F.count_if(F.col("is_delivered")).alias("delivered_orders"),
         F.count_if(F.col("is_delivered") & F.col("has_discount")).alias("discounted_delivered"))
-    base = c.silver["customers"].select("customer_id").join(o, "customer_id", "left")
+    base = c.kept["customers"].select("customer_id").join(o, "customer_id", "left")
     return base.select("customer_id", F.coalesce("delivered_orders", F.lit(0)).alias("delivered_orders"),
                        safe_pct(F.coalesce("discounted_delivered", F.lit(0)), F.col("delivered_orders"))
                        .alias("discounted_pct"))
@@ -386,7 +512,7 @@ def safe_pct_q(spark, sf_dir):
 def bucket_battery_q(spark, sf_dir):
     """Row counts per label of every CASE bucket used by the pipeline (long form)."""
     c = _chain(spark, sf_dir)
-    s, g = c.silver, c.gold
+    s, g = c.kept, c.gold
     parts = [
         (s["customers"], "customer_segment"), (s["restaurants"], "price_tier"), (s["restaurants"], "rating_tier"),
         (s["orders"], "order_time_slot"), (s["deliveries"], "delivery_sla_status"),
@@ -459,7 +585,7 @@ def order_pricing_q(spark, sf_dir):
 def delivery_timeline_q(spark, sf_dir):
     """Deliveries of delivered orders: pickup, delivered = pickup + minutes, and the check."""
     c = _chain(spark, sf_dir)
-    d = c.silver["deliveries"].join(c.silver["orders"].where(F.col("is_delivered")).select("order_id"), "order_id",
+    d = c.kept["deliveries"].join(c.kept["orders"].where(F.col("is_delivered")).select("order_id"), "order_id",
                                     "left_semi")
     mins = F.timestamp_diff("MINUTE", F.col("pickup_timestamp"), F.col("delivered_timestamp"))
     return d.select("delivery_id", "order_id", "pickup_timestamp", "delivered_timestamp", "delivery_time_mins",
@@ -480,9 +606,9 @@ def health_score_q(spark, sf_dir):
 
 
 def null_safe_hash_q(spark, sf_dir):
-    """Row hash with a NULL sentinel over the customer contract text columns."""
-    b = _chain(spark, sf_dir).bronze["customers"]
-    cols = ["first_name", "last_name", "preferred_payment", "email", "preferred_cuisine", "locality"]
+    """Collision-free and plain row hash over all customer contract columns."""
+    b = _contract_cast(_chain(spark, sf_dir).bronze["customers"], "customers")
+    cols = [f.name for f in K.CUSTOMERS.fields]
     return b.select("customer_id", null_safe_row_hash(cols).alias("_hash"),
                     row_hash(cols).alias("_row_hash"))
 
@@ -499,6 +625,14 @@ OP_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _q(v) for
     "bronze_run_status": bronze_run_status_q,
     "load_routing": load_routing_q,
     "merge_upsert": merge_upsert_q,
+    "merge_replay": merge_replay_q,
+    "bronze_ingest": bronze_ingest_q,
+    "assert_non_empty": assert_non_empty_q,
+    "ri_filter": ri_filter_q,
+    "ddl_tables": ddl_tables_q,
+    "catalog_inventory": catalog_inventory_q,
+    "ctas_managed": ctas_managed_q,
+    "global_ranks": global_ranks_q,
     "change_classes": change_classes_q,
     "insert_rows": insert_rows_q,
     "update_where": update_where_q,

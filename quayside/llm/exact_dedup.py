@@ -287,6 +287,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     per = W.partitionBy("digest", "home")
     total = (total.withColumn("home", home)
              .select("digest", "part", F.min("keep").over(per).alias("keep_id"), F.sum("copies").over(per).alias("group_size")))
+    total = s.save(total, "kept")  # a stored side lets Spark split a hot text of the join
     return (keyed.join(total, ["digest", "part"])
             .select(F.col("id").alias("doc_id"), "keep_id", "group_size",
                     (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("twin") == 1)).alias("kept"),

@@ -10,17 +10,18 @@ Method, every step exact:
 2. A set can miss at most ``n - ceil(t * n)`` of its shingles in a partner. A
    fixed part of the hash space is counted over all documents: classes with
    more shingles there that no other class holds have no partner and stop.
-3. Shingles are ordered by document frequency, rarest first (frequencies of
-   one half of the hash space, counted over those classes; the rest follows by hash).
-   Linked sets share a shingle among the first ``n - ceil(t * n) + 1`` of each.
+3. The shingles of the remaining classes are ordered by document frequency, rarest
+   first. Linked sets share a shingle among the first ``n - ceil(t * n) + 1`` of each;
+   shingles that one class alone holds take places there but no postings.
 4. Classes with identical (shared) prefixes and size are collapsed into one
-   *group*. Groups that share a prefix shingle are paired and filtered by size and
+   *group*; the posting lists hold groups. Pairs of groups are filtered by size and
    by the position of the shared shingle.
-5. Group pairs are expanded and members verified on the whole sets. Members are
-   first verified against one representative; then only pairs not yet known to
-   be connected are expanded. Every pair of classes that is not verified is either ruled
-   out by a filter or already connected, so the components are exact and a
-   group of thousands of near copies never becomes all its pairs.
+5. Pairs are expanded and members verified on the whole sets, in an order that
+   keeps a large group of near copies linear: first members against the lead of
+   their group, and each group against the group with the fewest lone shingles
+   in its posting lists; then leads of groups that aren't yet connected; then all
+   members of groups that still aren't. Every pair of classes is verified, ruled out
+   by a filter, or already connected, so the components are exact.
 
 Defined results: null or wordless texts have an empty set and no link; a text of
 fewer than ``k`` words is one shingle; rows with a null id get a set size and a
@@ -30,6 +31,7 @@ null component; repeated rows fall in one class; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -102,31 +104,30 @@ def _scan(k: int, share: float | None, only: np.ndarray | None = None):
 
 
 def _prefixes(num: int, den: int):
-    """Arrow task: (c, n, region list of {df, token}, rest) to prefix postings and the group key."""
+    """Arrow task: (c, n, lone, shared {df, token}) to the shared prefix and the group key."""
     def run(batches):
         for b in batches:
-            ns = b.column(1).to_numpy(zero_copy_only=False)
-            keys, toks, poss, lens = [], [], [], []
+            ns, lones = b.column(1).to_numpy(), b.column(2).to_numpy()
+            flat, offs = b.column(3).flatten(), b.column(3).offsets.to_numpy()
+            offs = offs - offs[0]
+            dfs = flat.field("df").to_numpy(zero_copy_only=False)
+            toks = flat.field("token").to_numpy(zero_copy_only=False)
+            keys, lines, places, lens = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], []
             for r in range(b.num_rows):
-                n = int(ns[r])
-                p = n - _need(n, num, den) + 1
-                lone = int(b.column(2)[r].as_py())
-                got = b.column(3)[r].values
-                df, tok = (got.field("df").to_numpy(zero_copy_only=False), got.field("token").to_numpy(zero_copy_only=False)) \
-                    if len(got) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-                rest = b.column(4)[r].values.to_numpy(zero_copy_only=False)
-                order = np.lexsort((tok, df))
-                line = np.concatenate([tok[order], np.sort(rest)])[:max(p - lone, 0)]
-                pos = np.arange(lone, lone + len(line))
-                keys.append(hashlib.blake2b(b"".join((n.to_bytes(8, "little"), line.tobytes(), pos.tobytes())), digest_size=16).digest())
-                toks.append(line)
-                poss.append(pos)
+                n, lone = int(ns[r]), int(lones[r])
+                df, tok = dfs[offs[r]:offs[r + 1]], toks[offs[r]:offs[r + 1]]
+                line = tok[np.lexsort((tok, df))][:n - _need(n, num, den) + 1 - lone]
+                place = np.arange(lone, lone + len(line), dtype=np.int32)
+                keys.append(hashlib.blake2b(b"".join((n.to_bytes(8, "little"), lone.to_bytes(8, "little"), line.tobytes())),
+                                            digest_size=16).digest())
+                lines.append(line)
+                places.append(place)
                 lens.append(len(line))
+            lens = np.array(lens, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(keys, pa.binary()),
-                 U.list_column(np.concatenate(toks) if toks else np.zeros(0, np.int64), np.array(lens, np.int64), pa.int64()),
-                 U.list_column(np.concatenate(poss).astype(np.int32) if poss else np.zeros(0, np.int32), np.array(lens, np.int64), pa.int32())],
-                names=["c", "n", "g", "line", "pos"])
+                [b.column(0), b.column(1), b.column(2), pa.array(keys, pa.binary()),
+                 U.list_column(np.concatenate(lines), lens, pa.int64()), U.list_column(np.concatenate(places), lens, pa.int32())],
+                names=["c", "n", "lone", "g", "line", "pos"])
     return run
 
 
@@ -197,72 +198,84 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = 5, num: in
     sets = s.save(src.mapInArrow(_scan(k, None, only), SETS).withColumn("c", c)
                   .join(alive.select("c", F.col("rep").alias("id")), ["c", "id"], "left_semi")
                   .withColumn("rn", F.row_number().over(same)).where("rn = 1").select("c", "n", "tokens"), "sets")
-    # the counted half of the hash space: tokens that are not negative as signed numbers
-    tokens = sets.select("c", F.explode("tokens").alias("token")).where("token >= 0")
+    tokens = sets.select("c", F.explode("tokens").alias("token"))
     freq = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    freq = s.save(freq, "frequencies")  # a stored side lets Spark split a hot key of the join
     shared = tokens.join(freq, "token").groupBy("c").agg(
-        F.collect_list(F.struct("df", "token")).alias("region"), F.count(F.lit(1)).alias("known"))
-    plain = sets.select("c", "n", F.size(F.filter("tokens", lambda t: t >= 0)).alias("inside"),
-                        F.slice(F.filter("tokens", lambda t: t < 0), F.lit(1), (missing + 1).cast("int")).alias("rest"))
-    none = F.array().cast("array<struct<df:bigint,token:bigint>>")
-    ready = (plain.join(shared, "c", "left")
-             .withColumn("lone", F.col("inside") - F.coalesce("known", F.lit(0)))
-             .where(F.col("lone") <= missing)
-             .select("c", "n", F.col("lone").cast("long").alias("lone"), F.coalesce("region", none).alias("region"), "rest"))
-    members = s.save(ready.mapInArrow(_prefixes(num, den), "c bigint, n bigint, g binary, line array<bigint>, pos array<int>"), "members")
-
-    # 4. groups and group pairs
-    first = members.groupBy("g").agg(F.min("c").alias("lead"))
-    groups = s.save(members.join(first.select("g", F.col("lead").alias("c")), ["g", "c"], "left_semi"), "groups")
-    post = groups.select("g", "n", F.explode(F.arrays_zip("line", "pos")).alias("e")).select("g", "n", "e.line", "e.pos")
-    one = post.select("line", *[F.col(x).alias(f"{x}1") for x in ("g", "n", "pos")])
-    two = post.select("line", *[F.col(x).alias(f"{x}2") for x in ("g", "n", "pos")])
-    overlap = F.floor((num * (F.col("n1") + F.col("n2")) + num + den - 1) / (num + den))
-    pairs = s.save(one.join(two, "line")
-                   .where((F.col("g1") < F.col("g2"))
-                          & (F.col("n1") * num <= F.col("n2") * den) & (F.col("n2") * num <= F.col("n1") * den)
-                          & (F.least(F.col("n1") - F.col("pos1"), F.col("n2") - F.col("pos2")) >= overlap))
-                   .select("g1", "g2").distinct(), "group-pairs")
-
-    # 5a. members against their group's first member, groups against their least neighbour
-    lead = groups.select("g", F.col("c").alias("lead"))
-    both = pairs.union(pairs.select("g2", "g1")).toDF("g", "other")
-    low = both.groupBy("g").agg(F.min("other").alias("other")).where("other < g")
-    stars = (members.join(lead, "g").where("c <> lead").select(F.col("lead").alias("u"), F.col("c").alias("v"))
-             .union(low.join(lead, "g").join(lead.toDF("other", "to"), "other")
-                    .select(F.col("to").alias("u"), F.col("lead").alias("v"))))
-    stars = s.save(stars.distinct(), "stars")
+        F.collect_list(F.struct("df", "token")).alias("shared"), F.count(F.lit(1)).alias("known"))
+    ready = (sets.select("c", "n").join(shared, "c").withColumn("lone", F.col("n") - F.col("known"))
+             .where(F.col("lone") <= missing).select("c", "n", "lone", "shared"))
+    members = s.save(ready.mapInArrow(_prefixes(num, den), "c bigint, n bigint, lone bigint, g binary, line array<bigint>, pos array<int>"), "members")
+
+    # 4. groups, and the posting lists of their prefixes
+    lead = members.groupBy("g").agg(F.min("c").alias("lead"), F.count(F.lit(1)).alias("size"))
+    groups = s.save(members.join(lead.withColumnRenamed("lead", "c"), ["g", "c"])
+                    .select("g", F.col("c").alias("lead"), "size", "n", "lone", "line", "pos"), "groups")
+    post = (groups.select("g", "lead", "size", "n", "lone", F.explode(F.arrays_zip("line", "pos")).alias("e"))
+            .select("g", "lead", "size", "n", "lone", F.col("e.line").alias("line"), F.col("e.pos").alias("pos")))
+
+    def fits(a: str, b: str):
+        """Size and position filters of two postings (column suffixes)."""
+        n1, n2 = F.col(f"n{a}"), F.col(f"n{b}")
+        overlap = F.floor((num * (n1 + n2) + num + den - 1) / (num + den))
+        return ((n1 * num <= n2 * den) & (n2 * num <= n1 * den)
+                & (F.least(n1 - F.col(f"pos{a}"), n2 - F.col(f"pos{b}")) >= overlap))
+
+    def side(frame: DataFrame, suffix: str) -> DataFrame:
+        return frame.select("line", *[F.col(x).alias(x + suffix) for x in frame.columns if x != "line"])
+
+    # 5a. members against their group's lead; each group against the group with the fewest
+    # lone shingles in its posting lists (the text that near copies were made from has none)
+    hub = post.groupBy("line").agg(F.min(F.struct("lone", "g", "lead", "n", "pos")).alias("h"), F.count(F.lit(1)).alias("k"))
+    hub = hub.where("k > 1").select("line", *[F.col(f"h.{x}").alias(x + "2") for x in ("g", "lead", "n", "pos")])
+    stars = (side(post, "1").join(hub, "line").where((F.col("g1") != F.col("g2")) & fits("1", "2"))
+             .select(F.least("lead1", "lead2").alias("u"), F.greatest("lead1", "lead2").alias("v"))
+             .union(members.join(groups.where("size > 1").select("g", "lead"), "g").where("c <> lead")
+                    .select(F.col("lead").alias("u"), F.col("c").alias("v"))).distinct())
+    stars = s.save(stars, "stars")
     edges1 = s.save(_verify(stars, sets, num, den), "edges-1")
-    lab1 = s.save(components(edges1, s, "cc1"), "labels-1")
-
-    def label(frame: DataFrame, labels: DataFrame, col: str, out: str) -> DataFrame:
-        return (frame.join(labels.select(F.col("node").alias(col), F.col("component").alias("_l")), col, "left")
-                .withColumn(out, F.coalesce("_l", F.col(col))).drop("_l"))
-
-    # 5b. first members of groups that aren't connected yet
-    ab = (pairs.join(lead.toDF("g1", "u"), "g1").join(lead.toDF("g2", "v"), "g2").select("u", "v"))
-    ab = label(label(ab, lab1, "u", "lu"), lab1, "v", "lv").where("lu <> lv").select("u", "v")
-    ab = s.save(ab.distinct(), "leads")
+    labels = s.save(components(edges1, s, "cc1"), "labels-1")
+
+    def apart(labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Members with their labels, and pairs of groups that aren't one component. In a
+        posting list only groups outside its largest label meet the others."""
+        mem = (members.select("g", "c").join(labels.select(F.col("node").alias("c"), "component"), "c", "left")
+               .select("g", "c", F.coalesce("component", "c").alias("label")))
+        ends = mem.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+        marked = post.drop("lone").join(ends, "g")
+        per = marked.groupBy("line", "lo").agg(F.max("hi").alias("hi"), F.count(F.lit(1)).alias("k"))
+        open_ = (per.groupBy("line").agg(F.min("lo").alias("a"), F.max("hi").alias("b"), F.max_by("lo", "k").alias("main"))
+                 .where("a <> b").select("line", "main"))
+        marked = s.save(marked.join(open_, "line"), f"open-{uuid.uuid4().hex[:6]}")
+        small = side(marked.where("lo <> main or lo <> hi").drop("main"), "1")
+        met = (small.join(side(marked.drop("main"), "2"), "line")
+               .where((F.col("g1") != F.col("g2")) & fits("1", "2") & ~F.expr("lo1 = hi1 and lo2 = hi2 and lo1 = lo2")))
+        return mem, met
+
+    # 5b. leads of groups that aren't connected yet
+    mem, met = apart(labels)
+    ab = s.save(met.select(F.least("lead1", "lead2").alias("u"), F.greatest("lead1", "lead2").alias("v")).distinct()
+                .join(stars, ["u", "v"], "left_anti"), "leads")
     edges2 = s.save(_verify(ab, sets, num, den), "edges-2")
-    lab2 = s.save(components(edges1.union(edges2), s, "cc2"), "labels-2")
-
-    # 5c. all member pairs between what is still apart: (group, component) parts first
-    mem = label(members.select("g", "c"), lab2, "c", "l")
-    split = mem.groupBy("g").agg(F.min("l").alias("lo"), F.max("l").alias("hi"))
-    ends = split.select(F.col("g").alias("g1"), F.col("lo").alias("lo1"), F.col("hi").alias("hi1"))
-    ends2 = split.select(F.col("g").alias("g2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
-    apart = (pairs.join(ends, "g1").join(ends2, "g2")
-             .where("not (lo1 = hi1 and lo2 = hi2 and lo1 = lo2)").select("g1", "g2")
-             .union(split.where("lo <> hi").select(F.col("g").alias("g1"), F.col("g").alias("g2"))))
-    m1 = mem.select(F.col("g").alias("g1"), F.col("c").alias("u"), F.col("l").alias("lu"))
-    m2 = mem.select(F.col("g").alias("g2"), F.col("c").alias("v"), F.col("l").alias("lv"))
-    rest = apart.join(m1, "g1").join(m2, "g2").where("lu <> lv and (g1 <> g2 or u < v)").select("u", "v").distinct()
+    if not edges2.isEmpty():
+        labels = s.save(components(edges1.union(edges2), s, "cc2"), "labels-2")
+
+    # 5c. all member pairs between what is still apart
+    mem, met = apart(labels)
+    wide = (met.where("size1 > 1 or size2 > 1").select("g1", "g2")
+            .union(mem.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+                   .where("lo <> hi").select(F.col("g").alias("g1"), F.col("g").alias("g2"))).distinct())
+    m1 = mem.select(F.col("g").alias("g1"), F.col("c").alias("u"), F.col("label").alias("l1"))
+    m2 = mem.select(F.col("g").alias("g2"), F.col("c").alias("v"), F.col("label").alias("l2"))
+    rest = (wide.join(m1, "g1").join(m2, "g2").where("l1 <> l2")
+            .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     rest = s.save(rest, "expanded")
     edges3 = s.save(_verify(rest, sets, num, den), "edges-3")
-    lab3 = components(lab2.select(F.col("node").alias("u"), F.col("component").alias("v")).union(edges3), s, "cc3")
+    if not edges3.isEmpty():
+        labels = s.save(components(edges1.union(edges2).union(edges3), s, "cc3"), "labels-3")
 
     # smallest id of each component, back to the classes and to every row
-    linked = classes.join(lab3.select(F.col("node").alias("c"), "component"), "c")
+    linked = classes.join(labels.select(F.col("node").alias("c"), "component"), "c")
     least = linked.groupBy("component").agg(F.min("rep").alias("least"))
     found = linked.join(least, "component").select("sig", "least")
     per_class = classes.join(found, "sig", "left").select("sig", F.coalesce("least", "rep").alias("least"))

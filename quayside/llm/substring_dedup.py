@@ -184,6 +184,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = 50, id_c
         classes.select("sig", F.col("rep").alias("id")), ["sig", "id"], "left_semi")
     marks = firsts.select("id", F.explode("shorts").alias("h"))
     twice = marks.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h")
+    twice = s.save(twice, "repeated-shorts")  # a stored side lets Spark split a hot key of the join
     live = s.save(marks.join(twice, "h").groupBy("id").agg(F.collect_set("h").alias("shorts")), "live")
 
     # level 2: full windows that a repeated short window stands for
@@ -195,6 +196,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = 50, id_c
             .select("id", F.explode(F.arrays_zip("pos", "one", "two")).alias("w"))
             .select("id", "w.pos", "w.one", "w.two"))
     owner = wins.groupBy("one", "two").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").drop("hi")
+    owner = s.save(owner, "owners")
     gone = (wins.join(owner, ["one", "two"]).where("lo < id").groupBy("id").agg(F.collect_set("pos").alias("pos")))
     cut = (texts_.select("id", "sig", "text").join(gone, "id").select("sig", "text", "pos")
            .mapInArrow(_cut(window), "sig binary, kept_text string, n_removed bigint, kept_sha256 string")

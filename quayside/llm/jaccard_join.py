@@ -131,18 +131,18 @@ def _prefixes(num: int, den: int):
     return run
 
 
-def _overlap_ok(num: int, den: int):
-    """Arrow task: keep the pairs whose whole sets reach the similarity."""
+def _overlaps(num: int, den: int):
+    """Arrow task: overlap of the whole sets of each pair, and whether they link."""
     def run(batches):
         for b in batches:
-            ok = np.zeros(b.num_rows, bool)
+            both, ok = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, bool)
             left, right = b.column(2), b.column(3)
             for r in range(b.num_rows):
                 x = left[r].values.to_numpy(zero_copy_only=False)
                 y = right[r].values.to_numpy(zero_copy_only=False)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok[r] = den * both >= num * (len(x) + len(y) - both)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["u", "v"]).filter(pa.array(ok))
+                both[r] = len(np.intersect1d(x, y, assume_unique=True))
+                ok[r] = den * both[r] >= num * (len(x) + len(y) - both[r])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(both), pa.array(ok)], names=["u", "v", "both", "ok"])
     return run
 
 
@@ -155,12 +155,11 @@ def _thin(sets: DataFrame, only: np.ndarray) -> DataFrame:
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Verified edges (u, v) of candidate class pairs (u, v)."""
-    pairs = pairs.where("u <> v")
+    """Candidate class pairs (u, v) with their overlap and whether they link."""
     a = _thin(sets, U.id_filter(pairs, "u")).select(F.col("c").alias("u"), F.col("tokens").alias("x"))
     b = _thin(sets, U.id_filter(pairs, "v")).select(F.col("c").alias("v"), F.col("tokens").alias("y"))
     return (pairs.join(a, "u").join(b, "v").select("u", "v", "x", "y")
-            .mapInArrow(_overlap_ok(num, den), "u bigint, v bigint"))
+            .mapInArrow(_overlaps(num, den), "u bigint, v bigint, both bigint, ok boolean"))
 
 
 def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
@@ -233,7 +232,8 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = 5, num: in
              .union(members.join(groups.where("size > 1").select("g", "lead"), "g").where("c <> lead")
                     .select(F.col("lead").alias("u"), F.col("c").alias("v"))).distinct())
     stars = s.save(stars, "stars")
-    edges1 = s.save(_verify(stars, sets, num, den), "edges-1")
+    seen1 = s.save(_verify(stars, sets, num, den), "verified-1")
+    edges1 = seen1.where("ok").select("u", "v")
     labels = s.save(components(edges1, s, "cc1"), "labels-1")
 
     def apart(labels: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -256,21 +256,33 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = 5, num: in
     mem, met = apart(labels)
     ab = s.save(met.select(F.least("lead1", "lead2").alias("u"), F.greatest("lead1", "lead2").alias("v")).distinct()
                 .join(stars, ["u", "v"], "left_anti"), "leads")
-    edges2 = s.save(_verify(ab, sets, num, den), "edges-2")
+    seen2 = s.save(_verify(ab, sets, num, den), "verified-2")
+    edges2 = seen2.where("ok").select("u", "v")
     if not edges2.isEmpty():
         labels = s.save(components(edges1.union(edges2), s, "cc2"), "labels-2")
 
-    # 5c. all member pairs between what is still apart
+    # 5c. all member pairs between what is still apart. A member shares with another no more
+    # than the leads share and both have beyond their lead (lone shingles don't count).
     mem, met = apart(labels)
-    wide = (met.where("size1 > 1 or size2 > 1").select("g1", "g2")
-            .union(mem.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-                   .where("lo <> hi").select(F.col("g").alias("g1"), F.col("g").alias("g2"))).distinct())
-    m1 = mem.select(F.col("g").alias("g1"), F.col("c").alias("u"), F.col("label").alias("l1"))
-    m2 = mem.select(F.col("g").alias("g2"), F.col("c").alias("v"), F.col("label").alias("l2"))
-    rest = (wide.join(m1, "g1").join(m2, "g2").where("l1 <> l2")
+    pair = [F.least("lead1", "lead2").alias("u"), F.greatest("lead1", "lead2").alias("v")]
+    wide = (met.where("size1 > 1 or size2 > 1").select("g1", "g2", "n1", "n2", *pair).distinct()
+            .join(seen1.union(seen2).select("u", "v", "both"), ["u", "v"]).select("g1", "g2", "n1", "n2", "both")
+            .union(mem.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+                   .join(groups.select("g", "n", "lone"), "g")
+                   .select(F.col("g").alias("g1"), F.col("g").alias("g2"), F.col("n").alias("n1"), F.col("n").alias("n2"),
+                           (F.col("n") - F.col("lone")).alias("both"))))
+    wide = s.save(wide, "wide")
+    own = members.join(groups.where("size > 1").select("g", "lead"), "g").where("c <> lead").select(
+        F.col("lead").alias("u"), F.col("c").alias("v"), "n", "lone")
+    beyond = own.join(seen1, ["u", "v"]).select(F.col("v").alias("c"), (F.col("n") - F.col("both") - F.col("lone")).alias("extra"))
+    mem = s.save(mem.join(beyond, "c", "left").select("g", "c", "label", F.coalesce("extra", F.lit(0)).alias("extra")), "expandable")
+    m1 = mem.select(F.col("g").alias("g1"), F.col("c").alias("u"), F.col("label").alias("l1"), F.col("extra").alias("e1"))
+    m2 = mem.select(F.col("g").alias("g2"), F.col("c").alias("v"), F.col("label").alias("l2"), F.col("extra").alias("e2"))
+    need = F.floor((num * (F.col("n1") + F.col("n2")) + num + den - 1) / (num + den))
+    rest = (wide.join(m1, "g1").join(m2, "g2").where((F.col("l1") != F.col("l2")) & (F.col("both") + F.col("e1") + F.col("e2") >= need))
             .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     rest = s.save(rest, "expanded")
-    edges3 = s.save(_verify(rest, sets, num, den), "edges-3")
+    edges3 = s.save(_verify(rest, sets, num, den), "verified-3").where("ok").select("u", "v")
     if not edges3.isEmpty():
         labels = s.save(components(edges1.union(edges2).union(edges3), s, "cc3"), "labels-3")
 

@@ -189,7 +189,7 @@ class ZipRanges:
         tail = self.read(self.size - span, span)
         at = tail.rfind(b"PK\x05\x06")
         while at >= 0:
-            if at + 22 + struct.unpack_from("<H", tail, at + 20)[0] == len(tail):
+            if at + 22 <= len(tail) and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] == len(tail):
                 break
             at = tail.rfind(b"PK\x05\x06", 0, at)
         if at < 0:

@@ -9,6 +9,29 @@ from __future__ import annotations
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLE_SQL = {
+    "op8_jaccard_join": rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[p:p + 3], ' ') AS shingle
+  FROM d, unnest(range(1, greatest(len(words) - 2, 2))) AS u(p) WHERE len(words) > 0
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), o AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+), e AS (
+  SELECT x, y FROM o JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * k >= 85 * (nx.n + ny.n - k)
+), link AS (
+  SELECT x, y FROM e UNION ALL SELECT y, x FROM e
+), reach AS (
+  SELECT doc_id AS node, doc_id AS origin FROM documents
+  UNION SELECT link.y, reach.origin FROM reach JOIN link ON reach.node = link.x
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT node, min(origin) AS component_id FROM reach GROUP BY node) c ON c.node = d.doc_id
+""",
     "op9_exact_dedup": r"""
 WITH t AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents

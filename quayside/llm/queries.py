@@ -64,7 +64,7 @@ def op7_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jaccard_components(spark, _table(spark, sf_dir, "documents"), k=4, num=85, den=100)
-    return out.select("doc_id", "n_shingles", "component_id", F.lower(F.hex("class_sig")).alias("class_id"))
+    return out.select("doc_id", "n_shingles", "component_id")
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -115,8 +115,6 @@ DQ_STATUS = ([(">=", 95, "PASS"), (">=", 80, "WARN")], "FAIL")
 
 # Order pricing rule: tax is 5 % of the discounted subtotal.
 TAX_RATE = 0.05
-# Orders in these statuses get a delivery record.
-DELIVERABLE_STATUSES = ["Out for Delivery", "Delivered"]
 
 # Day names by Spark's dayofweek (1 = Sunday).
 DAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]

@@ -21,19 +21,8 @@ def ri_filter(df: DataFrame, parents: Sequence[tuple[DataFrame, str]]) -> DataFr
     return df
 
 
-def ri_quarantine(df: DataFrame, parents: Sequence[tuple[DataFrame, str]]) -> DataFrame:
-    """Rows rejected by :func:`ri_filter`, with ``_reject_reason`` naming the first missing parent."""
-    out = None
-    for i, (parent, key) in enumerate(parents):
-        # rows that pass all earlier checks but fail this one
-        part = ri_filter(df, parents[:i]).join(parent.select(key), key, "left_anti")
-        part = part.withColumn("_reject_reason", F.lit(f"unknown_{key}"))
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
 def ri_split(df: DataFrame, parents: Sequence[tuple[DataFrame, str]]) -> DataFrame:
-    """One-pass variant: every input row once, with ``_reject_reason`` NULL when valid.
+    """Every input row once; ``_reject_reason`` names the first missing parent, NULL when valid.
 
     Parent keys are reduced to distinct values first (a partial aggregate), so
     the left join cannot multiply child rows.

@@ -15,13 +15,6 @@ from quayside import contracts as K
 from quayside.functions.columns import bucket
 
 
-def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, quarantined rows with ``_reject_reason``) from a ``with_rejects`` frame."""
-    valid = df.where(F.col("_reject_reason").isNull()).drop("_reject_reason", "_nulls_filled")
-    rejected = df.where(F.col("_reject_reason").isNotNull()).drop("_nulls_filled")
-    return valid, rejected
-
-
 def dq_metrics(table: str, raw: DataFrame, checked: DataFrame) -> DataFrame:
     """One row: input, output, duplicates removed, nulls filled, quarantined, pass rate.
 

@@ -46,6 +46,9 @@ def run_bronze(spark: SparkSession, landings: dict[str, str], target_root: str,
                                          merge_keys=K.PRIMARY_KEYS.get(entity), loaded_at=loaded_at)
             assert_non_empty(out, entity)
             tables[entity] = out
+            broken = [r["column"] for r in L.check_not_null(out, K.SCHEMAS[entity]).where("null_rows > 0").collect()]
+            if broken:
+                raise ValueError(f"{entity}: NULL in NOT NULL columns {broken}")
             parts.append(out.agg(F.count(F.lit(1)).alias("records")).select(
                 F.lit(entity).alias("table"), F.lit("SUCCESS").alias("status"), F.lit(mode).alias("mode"),
                 "records", F.lit(None).cast("string").alias("error")))

@@ -3,8 +3,8 @@
 Each ``silver_*`` function takes the bronze (or landing-shaped) frame and
 returns the valid rows. With ``with_rejects=True`` it returns every
 deduplicated row once, plus ``_reject_reason`` (NULL when valid) and
-``_nulls_filled``; :func:`quayside.operators.quality.split_rejects` turns that
-into the silver table and its quarantine in one pass.
+``_nulls_filled``; the runner writes that once as the silver table and its
+quarantine.
 
 No action runs inside; timestamps are parsed to ``timestamp_ntz`` with
 ``try_cast`` (bad text gives NULL, independent of the session time zone).

@@ -221,16 +221,3 @@ def reviews(t: Tables) -> DataFrame:
         F.lit(None).cast("int").alias("upvotes"),
         F.lit(None).cast("boolean").alias("has_photo"),
     ))
-
-
-def entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All five entity frames over one shared set of table readers."""
-    t = Tables(spark, sf_dir)
-    ln = lines(t)
-    return {
-        "customers": customers(t),
-        "restaurants": restaurants(t),
-        "orders": orders(t, ln),
-        "deliveries": deliveries(t, ln),
-        "reviews": reviews(t),
-    }

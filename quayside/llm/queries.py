@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.llm import util as U
 from quayside.llm.ann_permutation import nearest
 from quayside.llm.exact_dedup import exact_dedup
 from quayside.llm.feistel_shard import feistel_shards
@@ -25,6 +26,7 @@ from quayside.llm.warc_zip import round_trip
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    U.reach_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

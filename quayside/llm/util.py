@@ -11,6 +11,7 @@ polynomial over the bytes, so there is no Python loop per word.
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -34,10 +35,21 @@ BASE_B = 0xD1342543DE82EF95
 CHUNK_BYTES = 1 << 21
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it (in a local
+    session or on shared storage; a cluster that installs it needs nothing)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 class Scratch:
     """A private folder under the shared checkpoint folder for one operator call."""
 
     def __init__(self, spark: SparkSession, name: str):
+        reach_workers(spark)
         self.spark = spark
         self.root = scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex[:12]}")
 

@@ -32,7 +32,7 @@ LOWER[65:91] += 32
 # Odd bases (5 modulo 8, so differences of their powers keep few factors of two).
 BASE_A = 0x9E3779B97F4A7C15
 BASE_B = 0xD1342543DE82EF95
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 
 def reach_workers(spark: SparkSession) -> None:

@@ -29,18 +29,21 @@ def _star(pairs: DataFrame, small: bool) -> DataFrame:
     return out.where("u <> v").distinct()
 
 
+def _is_done(pairs: DataFrame) -> bool:
+    """Stars only: every node has one parent, and no parent has one."""
+    ends = pairs.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        pairs.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1").isEmpty()
+
+
 def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFrame:
     """(node, component) for every node of ``edges`` (columns u, v, one orderable
     type, no nulls); the component is its smallest node. No edges: no rows."""
-    pairs = scratch.save(edges.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    pairs = scratch.save(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                          .distinct(), f"{name}-0")
-    seen, i = None, 0
-    while True:
+    i = 0
+    while not _is_done(pairs):
         i += 1
         pairs = scratch.save(_star(_star(pairs, small=False), small=True), f"{name}-{i}")
-        mark = pairs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if mark == seen:
-            break
-        seen = mark
     stars = pairs.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.union(stars.select("component", "component").distinct())

@@ -265,12 +265,12 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = 5, num: in
     # than the leads share and both have beyond their lead (lone shingles don't count).
     mem, met = apart(labels)
     pair = [F.least("lead1", "lead2").alias("u"), F.greatest("lead1", "lead2").alias("v")]
-    wide = (met.where("size1 > 1 or size2 > 1").select("g1", "g2", "n1", "n2", *pair).distinct()
-            .join(seen1.union(seen2).select("u", "v", "both"), ["u", "v"]).select("g1", "g2", "n1", "n2", "both")
+    wide = (met.where("size1 > 1 or size2 > 1")
+            .select(F.least("g1", "g2").alias("g1"), F.greatest("g1", "g2").alias("g2"), (F.col("n1") + F.col("n2")).alias("n"), *pair)
+            .distinct().join(seen1.union(seen2).select("u", "v", "both"), ["u", "v"]).select("g1", "g2", "n", "both")
             .union(mem.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
                    .join(groups.select("g", "n", "lone"), "g")
-                   .select(F.col("g").alias("g1"), F.col("g").alias("g2"), F.col("n").alias("n1"), F.col("n").alias("n2"),
-                           (F.col("n") - F.col("lone")).alias("both"))))
+                   .select(F.col("g").alias("g1"), F.col("g").alias("g2"), (F.col("n") * 2).alias("n"), (F.col("n") - F.col("lone")).alias("both"))))
     wide = s.save(wide, "wide")
     own = members.join(groups.where("size > 1").select("g", "lead"), "g").where("c <> lead").select(
         F.col("lead").alias("u"), F.col("c").alias("v"), "n", "lone")
@@ -278,8 +278,10 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = 5, num: in
     mem = s.save(mem.join(beyond, "c", "left").select("g", "c", "label", F.coalesce("extra", F.lit(0)).alias("extra")), "expandable")
     m1 = mem.select(F.col("g").alias("g1"), F.col("c").alias("u"), F.col("label").alias("l1"), F.col("extra").alias("e1"))
     m2 = mem.select(F.col("g").alias("g2"), F.col("c").alias("v"), F.col("label").alias("l2"), F.col("extra").alias("e2"))
-    need = F.floor((num * (F.col("n1") + F.col("n2")) + num + den - 1) / (num + den))
-    rest = (wide.join(m1, "g1").join(m2, "g2").where((F.col("l1") != F.col("l2")) & (F.col("both") + F.col("e1") + F.col("e2") >= need))
+    need = F.floor((num * F.col("n") + num + den - 1) / (num + den))
+    rest = (wide.join(m1, "g1").join(m2, "g2")
+            .where((F.col("l1") != F.col("l2")) & (F.col("both") + F.col("e1") + F.col("e2") >= need)
+                   & ((F.col("g1") != F.col("g2")) | (F.col("u") < F.col("v"))))
             .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     rest = s.save(rest, "expanded")
     edges3 = s.save(_verify(rest, sets, num, den), "verified-3").where("ok").select("u", "v")

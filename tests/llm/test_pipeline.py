@@ -4,6 +4,7 @@ import collections
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from test_dedup import brute_components, brute_exact, brute_substring
 from test_texts import check_pieces
 
@@ -27,7 +28,7 @@ def rows_of(df):
 
 
 def test_stages_against_brute_force(spark, frame, corpus, labels_dir):
-    docs = frame(corpus).withColumn("n_chars", frame(corpus).doc_id)
+    docs = frame(corpus).withColumn("n_chars", F.col("doc_id"))
     assert [n for n, _ in P.STAGES] == ["toxicity", "exact_dedup", "jaccard_join", "substring_dedup", "packing"]
 
     out = P.toxicity(spark, docs, labels_dir)

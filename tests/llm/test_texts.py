@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm.ann_permutation import nearest, recall
 from quayside.llm.feistel_shard import Permutation, feistel_shards, position_of, row_at
-from quayside.llm.packing import pack, pack_shard
+from quayside.llm.packing import B, K1, Index, pack, pack_shard
 from quayside.llm.spm_trie import TrieEncoder, decode_ids, encode_texts
 from quayside.llm.warc_zip import (INDEX, MEMBER, ZipRanges, package, parse_record, payload_digest, read_packages, record,
                                    records, round_trip, write_packages)
@@ -117,6 +117,25 @@ def test_pack_puts_copies_of_a_text_together(spark, frame):
     assert sum(len(v) for v in mixed.values()) <= len(mixed) + 6
 
 
+def brute_bm25(docs, idf, mean, query):
+    """Score of every document, id by id."""
+    return [sum(idf[t] * d.count(t) * (K1 + 1) / (d.count(t) + K1 * (1 - B + B * len(d) / mean)) for t in set(query) & set(d))
+            for d in docs]
+
+
+def test_every_term_of_a_seed_asks_the_index():
+    rnd = random.Random(4)
+    docs = [[rnd.randrange(int(rnd.choice([20, 100, 900]))) for _ in range(rnd.randrange(1, 300))] for _ in range(40)]
+    df = np.array([sum(t in d for d in docs) for t in range(900)])
+    idf, mean = np.log1p((40 - df + 0.5) / (df + 0.5)), sum(map(len, docs)) / 40
+    index = Index([np.array(d, "<u2") for d in docs], idf, mean)
+    assert max(len(set(d)) for d in docs) > 48 and 0 < len(index.dense) < 900
+    for seed in range(40):
+        want = brute_bm25(docs, idf, mean, docs[seed])
+        assert index.scores(index.terms[seed]) == pytest.approx(want, rel=1e-5)
+        assert [round(want[i], 2) for i in index.neighbours(seed)] == sorted((round(x, 2) for x in want), reverse=True)
+
+
 # --- SentencePiece ---------------------------------------------------------------
 
 ENC = TrieEncoder()

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from quayside.llm.ann_permutation import nearest, recall
 from quayside.llm.feistel_shard import Permutation, feistel_shards, position_of, row_at
-from quayside.llm.packing import B, K1, Index, pack, pack_shard
+from quayside.llm import packing
+from quayside.llm.packing import B, K1, Index, best_links, pack, pack_shard
 from quayside.llm.spm_trie import TrieEncoder, decode_ids, encode_texts
 from quayside.llm.warc_zip import (INDEX, MEMBER, ZipRanges, package, parse_record, payload_digest, read_packages, record,
                                    records, round_trip, write_packages)
@@ -136,6 +137,39 @@ def test_every_term_of_a_seed_asks_the_index():
         assert [round(want[i], 2) for i in index.neighbours(seed)] == sorted((round(x, 2) for x in want), reverse=True)
 
 
+def test_links_are_the_best_of_the_whole_table(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK_TOKENS", 700)
+    monkeypatch.setattr(packing, "SLICE_ROWS", 13)
+    rnd = random.Random(6)
+    docs = [[rnd.randrange(int(rnd.choice([20, 100, 900]))) for _ in range(rnd.randrange(1, 200))] for _ in range(40)]
+    df = np.array([sum(t in d for d in docs) for t in range(900)])
+    idf, mean = np.log1p((40 - df + 0.5) / (df + 0.5)), sum(map(len, docs)) / 40
+    texts = spark.createDataFrame([(i, bytearray(np.array(d, "<u2").tobytes())) for i, d in enumerate(docs)], "uid bigint, ids binary")
+    got = collections.defaultdict(dict)
+    for r in best_links(U.Scratch(spark, "t"), texts, "<u2", idf, mean, sum(map(len, docs))).collect():
+        got[r.u][r.v] = r.score
+    for i in range(40):
+        want = dict(enumerate(brute_bm25(docs, idf, mean, docs[i])))
+        del want[i]
+        best = sorted((x for x in want.values() if x > 0), reverse=True)[:5]
+        assert sorted(got[i].values(), reverse=True) == pytest.approx(best, rel=1e-5)
+        assert all(want[v] == pytest.approx(x, rel=1e-5) for v, x in got[i].items())
+
+
+def test_best_neighbours_share_a_shard(spark, frame):
+    rnd = random.Random(7)
+    rows = []
+    for i in range(120):  # two texts of a pair share 12 words of their own and differ in 30
+        own = random.Random(i // 2)
+        words = ["".join(own.choices("abcdefghij", k=7)) for _ in range(12)] + ["".join(rnd.choices("klmnopqrst", k=7)) for _ in range(30)]
+        rows.append((i, " ".join(rnd.sample(words, 42))))
+    pieces = pack(spark, frame(rows), length=64, shard_tokens=2500).collect()
+    check_pieces(rows, pieces, 64)
+    shard = {p.doc_id: p.sequence_id >> 32 for p in pieces}
+    assert len(set(shard.values())) > 3
+    assert sum(shard[i] == shard[i + 1] for i in range(0, 120, 2)) >= 61 - len(set(shard.values()))
+
+
 # --- SentencePiece ---------------------------------------------------------------
 
 ENC = TrieEncoder()

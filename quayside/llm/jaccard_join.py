@@ -162,6 +162,12 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             .mapInArrow(_overlaps(num, den), "u bigint, v bigint, both bigint, ok boolean"))
 
 
+def class_sigs(texts: DataFrame, k: int) -> DataFrame:
+    """``key, class_sig`` for every row of (key binary, text)."""
+    return (texts.mapInArrow(_scan(k, 0.01), SETS.replace("id bigint", "id binary"))
+            .select(F.col("id").alias("key"), F.col("sig").alias("class_sig")))
+
+
 def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id, class_sig``.

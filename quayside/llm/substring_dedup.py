@@ -171,7 +171,8 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = 50, id_c
                     text_col: str = "text", texts: bool = True) -> DataFrame:
     """One row per input row: ``doc_id, n_words, n_removed, kept_sha256`` and, with
     ``texts``, ``kept_text``: the words that stay joined by one space (null where
-    nothing is removed, so an untouched text is used as it is)."""
+    nothing is removed, so an untouched text is used as it is) and ``words_sig``, the
+    SHA-256 of the input's words joined by one space."""
     s = U.Scratch(spark, "substring")
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     short = (window + 1) // 2
@@ -191,14 +192,15 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = 50, id_c
     texts_ = s.save(src.mapInArrow(_fetch(U.id_filter(live, "id")), "id bigint, sig binary, text string")
                     .join(classes.select("sig", F.col("rep").alias("id")), ["sig", "id"], "left_semi")
                     .join(live, "id"), "texts")
-    wins = (texts_.select("id", "text", "shorts")
-            .mapInArrow(_extend(window, short), "id bigint, pos array<int>, one array<bigint>, two array<bigint>")
-            .select("id", F.explode(F.arrays_zip("pos", "one", "two")).alias("w"))
-            .select("id", "w.pos", "w.one", "w.two"))
+    # the class goes along: one id may stand for several texts
+    wins = (texts_.select(F.struct("id", "sig").alias("id"), "text", "shorts")
+            .mapInArrow(_extend(window, short), "id struct<id: bigint, sig: binary>, pos array<int>, one array<bigint>, two array<bigint>")
+            .select("id.id", "id.sig", F.explode(F.arrays_zip("pos", "one", "two")).alias("w"))
+            .select("id", "sig", "w.pos", "w.one", "w.two"))
     owner = wins.groupBy("one", "two").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").drop("hi")
     owner = s.save(owner, "owners")
-    gone = (wins.join(owner, ["one", "two"]).where("lo < id").groupBy("id").agg(F.collect_set("pos").alias("pos")))
-    cut = (texts_.select("id", "sig", "text").join(gone, "id").select("sig", "text", "pos")
+    gone = (wins.join(owner, ["one", "two"]).where("lo < id").groupBy("id", "sig").agg(F.collect_set("pos").alias("pos")))
+    cut = (texts_.select("id", "sig", "text").join(gone, ["id", "sig"]).select("sig", "text", "pos")
            .mapInArrow(_cut(window), "sig binary, kept_text string, n_removed bigint, kept_sha256 string")
            .dropDuplicates(["sig"]))
     if not texts:
@@ -214,4 +216,5 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = 50, id_c
             F.when(whole, F.lit(EMPTY_SHA)).when(mine, F.col("kept_sha256")).otherwise(F.lower(F.hex("sig"))).alias("kept_sha256")]
     if texts:
         cols.append(F.when(whole, F.lit("")).when(mine, F.col("kept_text")).alias("kept_text"))
+        cols.append(F.col("sig").alias("words_sig"))
     return out.select(*cols)

@@ -64,6 +64,15 @@ def test_stages_against_brute_force(spark, frame, corpus, labels_dir):
     check_pieces(corpus, P.packing(spark, docs, labels_dir).collect(), 2048)
 
 
+def test_an_id_with_two_texts(spark, frame, labels_dir):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(120)) for x in "abc")
+    rows = [(1, a), (5, a + " z"), (5, b), (6, c), (6, b + " z"), (7, None), (7, a + " y")]
+    assert sorted(rows_of(P.near(spark, frame(rows), labels_dir)), key=str) == sorted([(1, a), (5, b), (6, c), (7, None)], key=str)
+    rows = [(1, a), (5, "new " + a), (5, b), (6, "x " + b + " y"), (6, c)]
+    got = rows_of(P.passages(spark, frame(rows), labels_dir))
+    assert sorted(got) == sorted([(1, a), (5, "new"), (5, b), (6, "x y"), (6, c)])
+
+
 @pytest.mark.parametrize("rows", [[], [(None, None)], [(1, None), (1, None), (2, "")]])
 def test_stages_on_edges(spark, frame, labels_dir, rows):
     for _, stage in P.STAGES:

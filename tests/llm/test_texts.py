@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm.ann_permutation import nearest, recall
 from quayside.llm.feistel_shard import Permutation, feistel_shards, position_of, row_at
-from quayside.llm import packing
+from quayside.llm import ann_permutation, packing
 from quayside.llm.packing import B, K1, Index, best_links, pack, pack_shard
 from quayside.llm.spm_trie import TrieEncoder, decode_ids, encode_texts
 from quayside.llm.warc_zip import (INDEX, MEMBER, ZipRanges, package, parse_record, payload_digest, read_packages, record,
@@ -336,6 +336,17 @@ def test_recall_and_norms(spark):
     assert recall(nearest(spark, v), v) >= 0.9
 
 
+def test_recall_where_the_share_applies(spark):
+    n = 5000
+    share, least = ann_permutation.SHARE, ann_permutation.LEAST_BLOCKS
+    assert share * n / least > 2 * 20 + 1  # no block's floor of 2k + 1 rows exceeds the share
+    x = np.random.default_rng(8).normal(size=(n, 64))
+    v = vectors(spark, [(i, r.astype("f4").tolist()) for i, r in enumerate(x)])
+    found = recall(nearest(spark, v), v)
+    print("recall", found)
+    assert found >= 0.9
+
+
 # --- sharding ----------------------------------------------------------------------
 
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 16, 17, 100, 257, 1000, 4097])

@@ -62,5 +62,41 @@ WITH d AS (
 SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(cut.n_removed, 0)::BIGINT AS n_removed,
        sha256(coalesce(cut.kept, '')) AS kept_sha256
 FROM d LEFT JOIN cut USING (doc_id)
+""",
+    "op11_filter_audit": r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS lo FROM documents
+), l AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), d AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(l.toxic, 0) AS toxic,
+         (len(words) < 100)::INT + 2 * (100 * len(list_distinct(words)) < 80 * len(words))::INT
+         + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text))::INT
+         + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(lo < t.doc_id, false)::INT AS mask
+  FROM t LEFT JOIN l ON l.doc_id = t.doc_id
+), f AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit
+), o AS (
+  SELECT '' AS filter_order, 0 AS used UNION ALL
+  SELECT o.filter_order || f.letter, o.used + f.bit FROM o JOIN f ON o.used & f.bit = 0
+), s AS (
+  SELECT filter_order, step::INT AS step, f.bit,
+         (SELECT coalesce(sum(g.bit), 0) FROM f g WHERE position(g.letter IN filter_order) < step) AS before
+  FROM o, unnest(range(1, 6)) AS u(step) JOIN f ON f.letter = filter_order[u.step] WHERE length(filter_order) = 5
+), r AS (
+  SELECT d.part, s.filter_order, s.step, s.bit,
+         count(*) FILTER (mask & (before | bit) = 0) AS kept,
+         count(*) FILTER (mask & before = 0 AND mask & bit > 0) AS removed,
+         count(*) FILTER (mask & before > 0 AND mask & bit > 0) AS redundant,
+         count(*) FILTER (mask = bit) AS unique_fails,
+         count(*) FILTER (mask & before = 0 AND mask & bit > 0 AND good = 1) AS good_lost,
+         count(*) FILTER (mask & before = 0 AND mask & bit > 0 AND toxic = 1) AS toxic_lost
+  FROM d, s GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) OVER (PARTITION BY part, bit)::BIGINT AS shapley
+FROM r
 """,
 }

@@ -15,14 +15,17 @@ from quayside.llm import util as U
 from quayside.llm.ann_permutation import nearest
 from quayside.llm.exact_dedup import exact_dedup
 from quayside.llm.feistel_shard import feistel_shards
+from quayside.llm.filter_audit import filter_audit
 from quayside.llm.jaccard_join import jaccard_components
 from quayside.llm.oracle import ORACLE_SQL as _SQL
 from quayside.llm.packing import pack
 from quayside.llm.quality import fit_quality, score_quality
 from quayside.llm.spm_trie import encode_texts
 from quayside.llm.substring_dedup import substring_dedup
+from quayside.llm.suffix_dedup import suffix_dedup
 from quayside.llm.toxicity import fit_toxicity, score_toxicity
 from quayside.llm.warc_zip import round_trip
+from quayside.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +80,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(spark, _table(spark, sf_dir, "documents"), window=50, texts=False)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whiten(spark, _table(spark, sf_dir, "embeddings"), most=32)
+    return rows.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(spark, _table(spark, sf_dir, "documents"), window=100, texts=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
@@ -88,6 +104,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_whitening": op12_whitening,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 ORACLE_SQL = {k: v for k, v in _SQL.items() if k in QUERIES}

@@ -4,31 +4,30 @@ Every byte covered by a ``window``-byte string that also starts earlier (in a
 document with a smaller id, or earlier in the same document) is removed.
 
 A suffix array need not be sorted past ``window`` bytes, and a position whose prefix
-is unique can never repeat, so ranks are refined at growing lengths and unique
-positions leave at each. A rank here is a name: equal strings, equal names.
+is unique can never repeat, so positions are ranked at growing lengths and leave as
+soon as they are unique. A rank here is a name: equal strings, equal names.
 
 * Up to half the window the doubling is local: the name of ``2h`` bytes is made of
   the pair of names at ``p`` and ``p + h``, from single bytes to 8 (the bytes
   themselves), 16, 32 and ``window / 2``.
-* Level 1, ``window / 2`` bytes: of the short strings in each window the one with the
-  smallest name stands for the window, wherever the window occurs; its rank is settled
-  by Spark over all documents, at about one position in 25. Names in a single place
-  leave, and with them all windows they stand for.
-* Level 2, pairs at offsets beyond: consecutive windows with one stand-in are a run of
-  at most ``RUN`` positions, and the pair of the names at its first and last window,
-  ``window`` bytes each, names the whole run. Spark ranks (stand-in, pair). A run that
-  an earlier document holds as well goes as a whole; a run whose stand-in has no other
-  pair is done.
-* Level 3, ``window`` bytes: only first holders of runs whose stand-in has several
-  pairs (the edges of repeated regions) rank single windows.
-
-Each level repeats only while something is left that isn't unique. Earlier starts in
-the same document are found in the task that holds its text. Documents with equal text
-are one class: all but the row(s) with the smallest id lose everything if they
-are at least ``window`` bytes long, so thousands of copies cost one.
-
-Names are two 64-bit values from a non-linear mix of pairs (one decides only what is
-looked at). Smallest ids are partial aggregates and return by joins, so a passage in
+* First level, ``window / 2`` bytes: of the short strings in each window the one with
+  the smallest name stands for the window, wherever the window occurs. Spark sorts
+  (name, document) of the stand-ins, about one position in 25, over all documents; names
+  of a single document leave, and with them all windows they stand for.
+* Then, at one half, three quarters and all of the window: consecutive windows with one
+  stand-in are a run of at most ``RUN`` positions, named by its stand-in and the pair of
+  the names of its first and last window. Spark ranks (stand-in, pair) over the
+  documents. A run that an earlier document holds as well goes as a whole; a run whose
+  stand-in has no other pair is settled; the rest (the edges of repeated regions) goes on
+  to the next length. At the full length every run is settled, and the levels
+  end as soon as none is left.
+
+Earlier starts in the same document are found in the task that holds its text. Documents
+with equal text are one class: all but the row(s) with the smallest id lose
+everything if they are at least ``window`` bytes long, so thousands of copies cost one.
+
+A name is 64 bits of a non-linear mix of pairs where it only decides what is looked at,
+and 128 bits where it decides what goes. Smallest ids are partial aggregates and return by joins, so a passage in
 very many documents is never gathered in one task. Long texts are read in segments.
 
 Defined results: null counts as empty; texts shorter than ``window`` bytes lose nothing;
@@ -41,6 +40,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -52,28 +52,33 @@ from quayside.llm import util as U
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 LANES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 RUN = 64
-SEGMENT = 1 << 20
+#: Positions named at once (their arrays stay in the processor's cache) and bytes of a piece of a batch.
+SEGMENT, CHUNK = 1 << 16, 1 << 20
 
 
 def pair(x: np.ndarray, y: np.ndarray, lane: int = 0) -> np.ndarray:
     """Name of a pair of names."""
-    z = U.mix(y + U.U64(LANES[lane]))
-    z ^= x
+    z = y * U.U64(LANES[lane])
+    z ^= z >> U.U64(32)
+    z += x
     z *= U.U64(LANES[1 - lane])
-    return U.mix(z)
+    z ^= z >> U.U64(29)
+    return z
 
 
-def names(data: np.ndarray, length: int, lane: int = 0) -> np.ndarray:
-    """Name of the ``length`` bytes at every position, by doubling."""
+def names(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Name of the ``length`` bytes at every position by doubling, and the bytes of the last
+    step below 16 (8 where ``length`` is at least that)."""
     f, h = data.astype(U.U64), 1
     while h < 8 and 2 * h <= length:
         f = f[:max(len(f) - h, 0)] | f[h:] << U.U64(8 * h)
         h *= 2
+    words = f
     while h < length:
         step = min(h, length - h)
-        f = pair(f[:max(len(f) - step, 0)], f[step:], lane)
+        f = pair(f[:max(len(f) - step, 0)], f[step:])
         h += step
-    return f
+    return f, words
 
 
 def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
@@ -87,24 +92,17 @@ def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
 
 
 class Runs:
-    """The runs of one segment: first and last window start (absolute), stand-in, row."""
+    """The runs among the window starts ``ok`` of a segment: first and last start, stand-in."""
 
-    def __init__(self, data: np.ndarray, offs: np.ndarray, x: int, y: int, window: int, short: int):
-        self.x, self.window = x, window
-        self.part = data[x:min(y + window - 1, int(offs[-1]))]
-        self.names, self.width = names(self.part, short), window - short + 1
+    def __init__(self, part: np.ndarray, ok: np.ndarray, window: int, length: int):
+        self.window, self.length = window, length
+        self.names, self.words = names(part, length)
+        self.width = window - length + 1
         m = sliding_min(self.names, self.width)
         n = len(m)
-        a = np.clip(offs[:-1] - x, 0, n)
-        e = np.clip(offs[1:] - window + 1 - x, 0, min(n, y - x))
-        has = e > a
-        edge = np.zeros(n + 1, np.int32)
-        np.add.at(edge, a[has], 1)
-        np.add.at(edge, e[has], -1)
-        ok = np.cumsum(edge[:n]) > 0
+        ok = ok[:n]
         first = ok.copy()
         first[1:] &= ~ok[:-1] | (m[1:] != m[:-1])
-        begin = np.flatnonzero(first)
         # every run is cut after RUN positions
         inside = np.arange(n)
         inside -= np.maximum.accumulate(np.where(first, inside, 0))
@@ -113,37 +111,54 @@ class Runs:
         last[:-1] &= ~ok[1:] | first[1:]
         self.lo, self.hi = np.flatnonzero(first), np.flatnonzero(last)
         self.short = m[self.lo]
-        self.row = np.searchsorted(offs, self.lo + x, side="right") - 1
 
     def keep(self, which: np.ndarray) -> None:
-        self.lo, self.hi, self.short, self.row = (v[which] for v in (self.lo, self.hi, self.short, self.row))
+        self.lo, self.hi, self.short = self.lo[which], self.hi[which], self.short[which]
 
-    def places(self) -> tuple[np.ndarray, np.ndarray]:
-        """(row, stand-in) of every run, and once more if its stand-in occurs twice in the run."""
+    def twice(self) -> np.ndarray:
+        """Runs in which the stand-in occurs twice."""
         inside = np.arange(self.width)
         first, last = ((self.names[at[:, None] + inside] == self.short[:, None]) for at in (self.lo, self.hi))
-        more = self.lo + first.argmax(axis=1) < self.hi + self.width - 1 - last[:, ::-1].argmax(axis=1)
-        return np.concatenate([self.row, self.row[more]]), np.concatenate([self.short, self.short[more]])
-
-    def full(self) -> list[np.ndarray]:
-        """Names of all windows of the segment, both lanes."""
-        return [names(self.part, self.window, lane) for lane in (0, 1)]
-
-    def pairs(self, full: list[np.ndarray]) -> list[np.ndarray]:
+        return self.lo + first.argmax(axis=1) < self.hi + self.width - 1 - last[:, ::-1].argmax(axis=1)
+
+    def full(self, at: np.ndarray) -> list[np.ndarray]:
+        """Names of the windows that start at ``at``, both lanes."""
+        one = pair(self.names[at], self.names[at + self.window - self.length])
+        size = min(8, 1 << self.window.bit_length() - 1)
+        steps = [*range(0, self.window - size, size), self.window - size]
+        two = self.words[at]
+        for k in steps[1:]:
+            two = pair(two, self.words[at + k], 1)
+        return [one, two]
+
+    def pairs(self) -> list[np.ndarray]:
         """Names of the runs, both lanes."""
         size = (self.hi - self.lo).astype(U.U64)
-        return [pair(pair(f[self.lo], f[self.hi], k), size, k) for k, f in enumerate(full)]
+        return [pair(pair(x, y, k), size, k) for k, (x, y) in enumerate(zip(self.full(self.lo), self.full(self.hi), strict=True))]
 
     def positions(self) -> tuple[np.ndarray, np.ndarray]:
-        """All window starts of the runs (in the segment), and the run of each."""
+        """All window starts of the runs, and the run of each."""
         n = self.hi - self.lo + 1
         run = np.repeat(np.arange(len(n)), n)
         return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + self.lo[run], run
 
 
-def segments(data: np.ndarray, offs: np.ndarray, window: int, short: int) -> Iterator[Runs]:
-    for x in range(int(offs[0]), int(offs[-1]), SEGMENT):
-        yield Runs(data, offs, x, min(x + SEGMENT, int(offs[-1])), window, short)
+def every_start(offs: np.ndarray, window: int) -> np.ndarray:
+    """Marks of all bytes of the rows at which a window of a row starts."""
+    base, edge = int(offs[0]), np.zeros(int(offs[-1] - offs[0]) + 1, np.int32)
+    ends = offs[1:] - window + 1
+    has = ends > offs[:-1]
+    edge[offs[:-1][has] - base] += 1
+    edge[ends[has] - base] -= 1
+    return np.cumsum(edge[:-1]) > 0
+
+
+def segments(data: np.ndarray, ok: np.ndarray, window: int, length: int) -> Iterator[tuple[int, Runs]]:
+    """The runs of pieces of ``data`` whose window starts are marked, and where each piece begins."""
+    for x in range(0, len(data), SEGMENT):
+        mine = ok[x:x + SEGMENT]
+        if mine.any():
+            yield x, Runs(data[x:x + SEGMENT + window - 1], mine, window, length)
 
 
 def _distinct(rows: np.ndarray, cols: list[np.ndarray], n: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -163,21 +178,27 @@ def _longs(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
     return U.list_column(U.signed(np.ascontiguousarray(values)), counts, pa.int64())
 
 
+def _stand_ins(data: np.ndarray, cut: np.ndarray, window: int, short: int):
+    """Distinct (row, stand-in) of the rows, how many each row has, and which occur twice in their row."""
+    base = int(cut[0])
+    rows, shorts = [np.zeros(0, np.int64)], [np.zeros(0, U.U64)]
+    for x, r in segments(data[base:cut[-1]], every_start(cut, window), window, short):
+        row, more = np.searchsorted(cut, r.lo + x + base, side="right") - 1, r.twice()
+        rows += [row, row[more]]
+        shorts += [r.short, r.short[more]]
+    keys, n, times = _distinct(np.concatenate(rows), [np.concatenate(shorts)], len(cut) - 1)
+    return keys, n, times > 1
+
+
 def _scan(window: int, short: int):
     """Arrow task: id, text to id, digest, bytes, stand-ins and those that occur twice in the text."""
     def run(batches):
         for b in batches:
             text = b.column(1).fill_null("")
             data, offs = U.text_buffers(text)
-            for i, j in U.chunks(offs, SEGMENT):
+            for i, j in U.chunks(offs, CHUNK):
                 cut = offs[i:j + 1]
-                rows, shorts = [np.zeros(0, np.int64)], [np.zeros(0, U.U64)]
-                for r in segments(data, cut, window, short):
-                    row, stand_in = r.places()
-                    rows.append(row)
-                    shorts.append(stand_in)
-                keys, n, times = _distinct(np.concatenate(rows), [np.concatenate(shorts)], j - i)
-                own = times > 1
+                keys, n, own = _stand_ins(data, cut, window, short)
                 sigs = [hashlib.sha256(data[x:y]).digest() for x, y in zip(cut[:-1], cut[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, j - i), pa.array(sigs, pa.binary()), pa.array(np.diff(cut)), _longs(keys[1], n),
@@ -186,6 +207,19 @@ def _scan(window: int, short: int):
     return run
 
 
+def _shared(batches):
+    """Arrow task: (h, id) in sorted order to those rows whose h several ids hold, or whose h
+    reaches the edge of a batch (its other rows are elsewhere; the next level decides)."""
+    for b in batches:
+        h, i = (b.column(k).to_numpy() for k in (0, 1))
+        if len(h):
+            begin = np.flatnonzero(np.diff(h, prepend=h[0] - 1))
+            end = np.append(begin[1:], len(h)) - 1
+            some = i[begin] != i[end]
+            some[[0, -1]] = True
+            yield b.filter(pa.array(np.repeat(some, end - begin + 1)))
+
+
 def _fetch(only: np.ndarray):
     """Arrow task: texts of ids that the filter may hold, with their digest."""
     def run(batches):
@@ -199,76 +233,6 @@ def _fetch(only: np.ndarray):
     return run
 
 
-def _flat(column: pa.ListArray, i: int, j: int) -> pa.Array:
-    return column.slice(i, j - i).flatten()
-
-
-def _unsigned(values: pa.Array) -> np.ndarray:
-    return values.to_numpy(zero_copy_only=False).astype(np.int64, copy=False).view(U.U64)
-
-
-def _held(values: np.ndarray, among: np.ndarray) -> np.ndarray:
-    return np.isin(values, among) if len(among) else np.zeros(len(values), bool)
-
-
-def _held_pairs(row: np.ndarray, a: np.ndarray, b: np.ndarray, column: pa.ListArray, i: int, j: int) -> np.ndarray:
-    """Which (row, a, b) are among the pairs that ``column`` lists for the rows from i to j."""
-    part = column.slice(i, j - i)
-    among = part.flatten()
-    if not len(among) or not len(row):
-        return np.zeros(len(row), bool)
-    at = np.repeat(np.arange(j - i), part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-    x, y = (_unsigned(among.field(k)) for k in (0, 1))
-    keys = x ^ U.mix(at.astype(U.U64))
-    order = np.argsort(keys)
-    keys, y = keys[order], y[order]
-    want = a ^ U.mix(row.astype(U.U64))
-    found = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
-    return (keys[found] == want) & (y[found] == b)
-
-
-def _live_runs(data, offs, live, window, short) -> Iterator[tuple[Runs, list[np.ndarray]]]:
-    """Runs of the rows whose stand-in is live, and the names of all windows."""
-    for r in segments(data, offs, window, short):
-        r.keep(_held(r.short, live))
-        if len(r.lo):
-            yield r, r.full()
-
-
-def _name_runs(window: int, short: int):
-    """Arrow task: (id, text, live) to the names of the runs with a live stand-in."""
-    def run(batches):
-        for b in batches:
-            data, offs = U.text_buffers(b.column(1))
-            for i, j in U.chunks(offs, SEGMENT):
-                rows, cols = [np.zeros(0, np.int64)], [[np.zeros(0, U.U64)] * 3]
-                for r, full in _live_runs(data, offs[i:j + 1], np.unique(_unsigned(_flat(b.column(2), i, j))), window, short):
-                    rows.append(r.row)
-                    cols.append([r.short, *r.pairs(full)])
-                keys, n, _ = _distinct(np.concatenate(rows), [np.concatenate(c) for c in zip(*cols, strict=True)], j - i)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), *[_longs(k, n) for k in keys[1:]]],
-                                                 names=["id", "s", "a", "b"])
-    return run
-
-
-def _name_windows(window: int, short: int):
-    """Arrow task: (id, text, live, open runs) to the names of the windows of the open runs."""
-    def run(batches):
-        for b in batches:
-            data, offs = U.text_buffers(b.column(1))
-            for i, j in U.chunks(offs, SEGMENT):
-                rows, cols = [np.zeros(0, np.int64)], [[np.zeros(0, U.U64)] * 2]
-                for r, full in _live_runs(data, offs[i:j + 1], np.unique(_unsigned(_flat(b.column(2), i, j))), window, short):
-                    r.keep(_held_pairs(r.row, *r.pairs(full), b.column(3), i, j))
-                    at, of = r.positions()
-                    rows.append(r.row[of])
-                    cols.append([f[at] for f in full])
-                keys, n, _ = _distinct(np.concatenate(rows), [np.concatenate(c) for c in zip(*cols, strict=True)], j - i)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), *[_longs(k, n) for k in keys[1:]]],
-                                                 names=["id", "a", "b"])
-    return run
-
-
 def _again(rows: np.ndarray, cols: list[np.ndarray], at: np.ndarray) -> np.ndarray:
     """The positions ``at`` whose (row, values) occur at a smaller position as well."""
     order = np.lexsort([at, *cols[::-1], rows])
@@ -279,12 +243,9 @@ def _again(rows: np.ndarray, cols: list[np.ndarray], at: np.ndarray) -> np.ndarr
     return at[order[1:]][same]
 
 
-def _kept(sig: pa.Array, data: np.ndarray, offs: np.ndarray, start: np.ndarray, window: int, with_text: bool) -> pa.RecordBatch:
-    """What the windows that begin at ``start`` (marks of every byte) leave of each row."""
+def _kept(sig: pa.Array, data: np.ndarray, offs: np.ndarray, gone: np.ndarray, with_text: bool) -> pa.RecordBatch:
+    """The rows without the bytes marked ``gone``."""
     base = int(offs[0])
-    begun = np.concatenate([[0], np.cumsum(start)])
-    ends = np.arange(1, len(begun))
-    gone = begun[ends] > begun[np.maximum(ends - window, 0)]
     rise = gone.copy()
     rise[1:] &= ~gone[:-1]
     at = offs[:-1][np.diff(offs) > 0] - base
@@ -299,42 +260,129 @@ def _kept(sig: pa.Array, data: np.ndarray, offs: np.ndarray, start: np.ndarray,
     return pa.RecordBatch.from_arrays(cols, names=out)
 
 
-def _cut(window: int, short: int, with_text: bool):
-    """Arrow task: (sig, text, live, gone runs, gone windows) to what stays of each text."""
+def _spans(column: pa.ListArray, i: int, j: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first and last of the spans that ``column`` lists for the rows from i to j."""
+    part = column.slice(i, j - i)
+    row = np.repeat(np.arange(j - i), part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    flat = part.flatten()
+    return row, *(flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
+
+
+def _marked(size: int, lo: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Marks of ``size`` positions that lie in one of the ranges from lo to before end."""
+    edge = np.bincount(lo, minlength=size + 1) - np.bincount(end, minlength=size + 1)
+    return np.cumsum(edge[:size]) > 0
+
+
+class Found:
+    """Runs of several rows: one entry a run, as list columns a row."""
+
+    def __init__(self):
+        self.rows: list[np.ndarray] = [np.zeros(0, np.int64)]
+        self.cols: list[list[np.ndarray]] = [[np.zeros(0, U.U64)] * 3 + [np.zeros(0, np.int64)] * 2]
+
+    def add(self, row: np.ndarray, start: np.ndarray, r: Runs, at: np.ndarray) -> None:
+        """Runs ``r`` of ``row``, which begin at byte ``at`` of a row that begins at ``start``."""
+        self.rows.append(row)
+        lo = at - start
+        self.cols.append([r.short, *r.pairs(), lo, lo + r.hi - r.lo])
+
+    def columns(self, n: int) -> list[pa.ListArray]:
+        row, counts = np.concatenate(self.rows), None
+        order = np.argsort(row, kind="stable")
+        counts = np.bincount(row, minlength=n)
+        cols = [np.concatenate(c)[order] for c in zip(*self.cols, strict=True)]
+        return [*[_longs(c, counts) for c in cols[:3]], *[U.list_column(c, counts, pa.int64()) for c in cols[3:]]]
+
+
+LISTS = ["s", "a", "b", "lo", "hi"]
+
+
+def _first_runs(window: int, short: int):
+    """Arrow task: (id, text, live, d) to the runs with a live stand-in, and the spans of
+    window starts (from, to) whose string starts earlier in the same text."""
+    def run(batches):
+        for b in batches:
+            data, offs = U.text_buffers(b.column(1))
+            for i, j in U.chunks(offs, CHUNK):
+                cut = offs[i:j + 1]
+                base, live = int(cut[0]), np.unique(b.column(2).slice(i, j - i).flatten().to_numpy(zero_copy_only=False)).view(U.U64)
+                found, places = Found(), []
+                for x, r in segments(data[base:cut[-1]], every_start(cut, window), window, short):
+                    r.keep(np.isin(r.short, live))
+                    if not len(r.lo):
+                        continue
+                    row = np.searchsorted(cut, r.lo + x + base, side="right") - 1
+                    found.add(row, cut[row], r, r.lo + x + base)
+                    places.append((row, r, x, r.twice()))
+                again = np.zeros(int(cut[-1]) - base, bool)
+                if places:
+                    rows = np.concatenate([p[0] for p in places])
+                    stand = np.concatenate([p[1].short for p in places])
+                    more = np.concatenate([p[3] for p in places])
+                    keys, _, times = _distinct(np.concatenate([rows, rows[more]]), [np.concatenate([stand, stand[more]])], j - i)
+                    twice, row, seen, cols = np.unique(keys[1][times > 1]), [], [], []
+                    for r_row, r, x, _ in places:
+                        own = np.isin(r.short, twice)
+                        if own.any():
+                            r.keep(own)
+                            at, of = r.positions()
+                            row.append(r_row[own][of])
+                            seen.append(at + x)
+                            cols.append(r.full(at))
+                    if row:
+                        again[_again(np.concatenate(row), [np.concatenate(c) for c in zip(*cols, strict=True)], np.concatenate(seen))] = True
+                edge = np.diff(again.astype(np.int8), prepend=0, append=0)
+                lo, hi = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
+                row = np.searchsorted(cut, lo + base, side="right") - 1
+                counts = np.bincount(row, minlength=j - i)
+                own = [U.list_column(v + base - cut[row], counts, pa.int64()) for v in (lo, hi)]
+                yield pa.RecordBatch.from_arrays([*(b.column(k).slice(i, j - i) for k in (0, 3)), *found.columns(j - i), *own],
+                                                 names=["id", "d", *LISTS, "own_lo", "own_hi"])
+    return run
+
+
+def _next_runs(window: int, length: int):
+    """Arrow task: (id, text, open spans of window starts, d) to their runs at the next length.
+    Only the bytes of open windows are named."""
+    def run(batches):
+        for b in batches:
+            data, offs = U.text_buffers(b.column(1))
+            for i, j in U.chunks(offs, CHUNK):
+                cut = offs[i:j + 1]
+                base, size = int(cut[0]), int(cut[-1] - cut[0])
+                row, lo, hi = _spans(b.column(2), i, j)
+                lo, hi = lo + cut[row] - base, hi + cut[row] - base
+                ok, need = _marked(size, lo, hi + 1), _marked(size, lo, hi + window)
+                where, found = np.flatnonzero(need), Found()
+                # windows are whole in what is left: their bytes stay side by side
+                for x, r in segments(data[base:base + size][need], ok[need], window, length):
+                    at = where[r.lo + x] + base
+                    of = np.searchsorted(cut, at, side="right") - 1
+                    found.add(of, cut[of], r, at)
+                yield pa.RecordBatch.from_arrays([*(b.column(k).slice(i, j - i) for k in (0, 3)), *found.columns(j - i)],
+                                                 names=["id", "d", *LISTS])
+    return run
+
+
+def _cut(window: int, with_text: bool):
+    """Arrow task: (sig, text, gone spans of window starts) to what stays of each text."""
     def run(batches):
         for b in batches:
             data, offs = U.text_buffers(b.column(1))
-            for i, j in U.chunks(offs, SEGMENT):
+            for i, j in U.chunks(offs, CHUNK):
                 cut = offs[i:j + 1]
-                base, live = int(cut[0]), np.unique(_unsigned(_flat(b.column(2), i, j)))
-                start = np.zeros(int(cut[-1]) - base, bool)
-                rows, shorts = [np.zeros(0, np.int64)], [np.zeros(0, U.U64)]
-                for r in segments(data, cut, window, short):
-                    row, stand_in = r.places()
-                    rows.append(row)
-                    shorts.append(stand_in)
-                keys, _, times = _distinct(np.concatenate(rows), [np.concatenate(shorts)], j - i)
-                twice = np.unique(keys[1][times > 1])
-                rows, cols, seen = [np.zeros(0, np.int64)], [[np.zeros(0, U.U64)] * 2], [np.zeros(0, np.int64)]
-                for r, full in _live_runs(data, cut, live, window, short):
-                    whole = _held_pairs(r.row, *r.pairs(full), b.column(3), i, j)
-                    at, of = r.positions()
-                    named = [f[at] for f in full]
-                    out = whole[of] | _held_pairs(r.row[of], *named, b.column(4), i, j)
-                    start[at[out] + r.x - base] = True
-                    own = _held(r.short, twice)[of]
-                    rows.append(r.row[of][own])
-                    seen.append(at[own] + r.x - base)
-                    cols.append([n[own] for n in named])
-                again = _again(np.concatenate(rows), [np.concatenate(c) for c in zip(*cols, strict=True)], np.concatenate(seen))
-                start[again] = True
-                yield _kept(b.column(0).slice(i, j - i), data, cut, start, window, with_text)
+                row, lo, hi = _spans(b.column(2), i, j)
+                at = cut[row] - cut[0]
+                gone = _marked(int(cut[-1] - cut[0]), lo + at, hi + at + window)
+                yield _kept(b.column(0).slice(i, j - i), data, cut, gone, with_text)
     return run
 
 
-def _pairs_of(when=None):
-    both = F.struct("a", "b")
-    return F.collect_set(both if when is None else F.when(when, both))
+def lengths(window: int) -> list[int]:
+    """Stand-in lengths of the levels: half, three quarters and all of the window."""
+    half = (window + 1) // 2
+    return sorted({half, (half + window + 1) // 2, window})
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, window: int = 100, id_col: str = "doc_id",
@@ -350,41 +398,49 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, window: int = 100, id_col
     base = s.save(src.mapInArrow(_scan(window, short), f"id bigint, sig binary, n bigint, shorts {longs}, own {longs}"), "base")
     classes = s.save(base.where("id is not null").groupBy("sig").agg(F.min("id").alias("rep")), "classes")
     firsts = base.where(F.size("shorts") > 0).join(classes.select("sig", F.col("rep").alias("id")), ["sig", "id"], "left_semi")
+    firsts = s.save(firsts.dropDuplicates(["sig", "id"]).select("id", "shorts", "own"), "firsts")
 
-    # level 1: ranks of the stand-ins; what isn't unique stays
-    marks = firsts.select("id", F.explode("shorts").alias("h"))
-    twice = marks.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h")
-    twice = s.save(twice, "repeated-shorts")  # a stored side lets Spark split a hot key of the join
-    live = marks.join(twice, "h").select("id", "h").union(firsts.select("id", F.explode("own").alias("h")))
+    # first level: stand-ins in sorted order; what isn't unique stays
+    marks = firsts.select(F.explode("shorts").alias("h"), "id")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), src.rdd.getNumPartitions())
+    shared = marks.repartitionByRange(parts, "h", "id").sortWithinPartitions("h", "id").mapInArrow(_shared, "h bigint, id bigint")
+    live = shared.union(firsts.select(F.explode("own").alias("h"), "id"))
     live = s.save(live.groupBy("id").agg(F.collect_set("h").alias("live")), "live")
     found = (src.mapInArrow(_fetch(U.id_filter(live, "id")), "id bigint, sig binary, text string")
              .join(classes.select("sig", F.col("rep").alias("id")), ["sig", "id"], "left_semi").join(live, "id"))
-    found = s.save(found, "texts")
-
-    # level 2: ranks of (stand-in, pair) for whole runs
-    runs = found.select("id", "text", "live").mapInArrow(_name_runs(window, short), f"id bigint, s {longs}, a {longs}, b {longs}")
-    runs = s.save(runs, "runs").select("id", F.explode(F.arrays_zip("s", "a", "b")).alias("r")).select("id", "r.s", "r.a", "r.b")
-    ranks = s.save(runs.groupBy("s", "a", "b").agg(F.min("id").alias("lo"), F.max("id").alias("hi")), "run-ranks")
-    per = ranks.groupBy("s").agg((F.min(F.struct("a", "b")) != F.max(F.struct("a", "b"))).alias("several"))
-    ranks = s.save(ranks.join(per, "s").where("lo < hi or several").select("a", "b", "lo", "several"), "run-owners")
-    mine = runs.select("id", "a", "b").join(ranks, ["a", "b"]).where("lo < id or several")
-    state = s.save(mine.groupBy("id").agg(_pairs_of(F.col("lo") < F.col("id")).alias("gone"),
-                                          _pairs_of(F.col("lo") == F.col("id")).alias("open")), "run-states")
-
-    # level 3: ranks of the single windows at the edges of repeated regions
-    edges = found.select("id", "text", "live").join(state.where(F.size("open") > 0).select("id", "open"), "id")
-    wins = s.save(edges.mapInArrow(_name_windows(window, short), f"id bigint, a {longs}, b {longs}"), "windows")
-    wins = wins.select("id", F.explode(F.arrays_zip("a", "b")).alias("w")).select("id", "w.a", "w.b")
-    owners = s.save(wins.groupBy("a", "b").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").drop("hi"), "owners")
-    lost = wins.join(owners, ["a", "b"]).where("lo < id").groupBy("id").agg(_pairs_of().alias("lost"))
-    lost = s.save(lost, "lost-windows")
-
-    # the bytes that stay, of every text that may lose some
-    own = firsts.where(F.size("own") > 0).select("id").distinct().withColumn("own", F.lit(True))
-    hit = (state.select("id", "gone").join(lost, "id", "full").join(own, "id", "full")
-           .where("size(gone) > 0 or size(lost) > 0 or own").select("id", "gone", "lost"))
-    cut = found.join(hit, "id").select("sig", "text", "live", "gone", "lost").mapInArrow(
-        _cut(window, short, texts), "sig binary, n_removed bigint, n_spans bigint, kept_sha256 string" + (", kept binary" if texts else ""))
+    # an id that several texts use: their positions are kept apart
+    found = s.save(found.withColumn("d", F.xxhash64("sig")), "texts")
+
+    # runs at growing lengths; gone: spans of window starts
+    lists = ", ".join(f"{c} {longs}" for c in LISTS)
+    gone, todo = [], None
+    for length in lengths(window):
+        if todo is None:
+            runs = s.save(found.select("id", "text", "live", "d").mapInArrow(
+                _first_runs(window, length), f"id bigint, d bigint, {lists}, own_lo {longs}, own_hi {longs}"), f"runs-{length}")
+            gone.append(runs.where(F.size("own_lo") > 0).select("id", "d", F.arrays_zip(
+                F.col("own_lo").alias("lo"), F.col("own_hi").alias("hi")).alias("gone")))
+        else:
+            runs = s.save(found.select("id", "d", "text").join(todo, ["id", "d"]).select("id", "text", "open", "d").mapInArrow(
+                _next_runs(window, length), f"id bigint, d bigint, {lists}"), f"runs-{length}")
+        runs = runs.select("id", "d", F.explode(F.arrays_zip(*LISTS)).alias("r")).select("id", "d", *[f"r.{c}" for c in LISTS])
+        ranks = s.save(runs.groupBy("s", "a", "b").agg(F.min("id").alias("first"), F.max("id").alias("last")), f"ranks-{length}")
+        per = ranks.groupBy("s").agg((F.min(F.struct("a", "b")) != F.max(F.struct("a", "b"))).alias("several"))
+        owners = s.save(ranks.join(per, "s").where("first < last or several").select("a", "b", "first", "several"), f"owners-{length}")
+        span = F.struct("lo", "hi")
+        state = (runs.select("id", "d", "a", "b", "lo", "hi").join(owners, ["a", "b"]).where("first < id or several").groupBy("id", "d")
+                 .agg(F.collect_set(F.when(F.col("first") < F.col("id"), span)).alias("gone"),
+                      F.collect_set(F.when(F.col("first") == F.col("id"), span)).alias("open")))
+        state = s.save(state, f"states-{length}")
+        gone.append(state.where(F.size("gone") > 0).select("id", "d", "gone"))
+        todo = state.where(F.size("open") > 0).select("id", "d", "open")
+        if todo.isEmpty():
+            break
+
+    # the bytes that stay, of every text that loses some
+    lost = reduce(DataFrame.union, gone).groupBy("id", "d").agg(F.flatten(F.collect_set("gone")).alias("gone"))
+    cut = found.select("id", "d", "sig", "text").join(lost, ["id", "d"]).select("sig", "text", "gone").mapInArrow(
+        _cut(window, texts), "sig binary, n_removed bigint, n_spans bigint, kept_sha256 string" + (", kept binary" if texts else ""))
     cut = s.save(cut.dropDuplicates(["sig"]), "cut")
 
     out = base.select("id", "sig", "n").join(classes.join(cut, "sig", "left"), "sig", "left")

@@ -213,7 +213,7 @@ def test_suffix_dedup_of_empty_tables(spark, frame):
 def test_doubled_names_are_equal_exactly_for_equal_strings():
     data = np.frombuffer(bytes(random.Random(9).choices(b"ab", k=4000)), np.uint8)
     for length in (1, 3, 8, 13, 50):
-        f = S.names(data, length)
+        f, _ = S.names(data, length)
         by = {}
         for p, x in enumerate(f.tolist()):
             by.setdefault(x, set()).add(data[p:p + length].tobytes())

@@ -406,6 +406,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, window: int = 100, id_col
     shared = marks.repartitionByRange(parts, "h", "id").sortWithinPartitions("h", "id").mapInArrow(_shared, "h bigint, id bigint")
     live = shared.union(firsts.select(F.explode("own").alias("h"), "id"))
     live = s.save(live.groupBy("id").agg(F.collect_set("h").alias("live")), "live")
+    s.drop("firsts")
     found = (src.mapInArrow(_fetch(U.id_filter(live, "id")), "id bigint, sig binary, text string")
              .join(classes.select("sig", F.col("rep").alias("id")), ["sig", "id"], "left_semi").join(live, "id"))
     # an id that several texts use: their positions are kept apart
@@ -418,8 +419,9 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, window: int = 100, id_col
         if todo is None:
             runs = s.save(found.select("id", "text", "live", "d").mapInArrow(
                 _first_runs(window, length), f"id bigint, d bigint, {lists}, own_lo {longs}, own_hi {longs}"), f"runs-{length}")
-            gone.append(runs.where(F.size("own_lo") > 0).select("id", "d", F.arrays_zip(
-                F.col("own_lo").alias("lo"), F.col("own_hi").alias("hi")).alias("gone")))
+            own = runs.where(F.size("own_lo") > 0).select("id", "d", F.arrays_zip(
+                F.col("own_lo").alias("lo"), F.col("own_hi").alias("hi")).alias("gone"))
+            gone.append(s.save(own, "own"))
         else:
             runs = s.save(found.select("id", "d", "text").join(todo, ["id", "d"]).select("id", "text", "open", "d").mapInArrow(
                 _next_runs(window, length), f"id bigint, d bigint, {lists}"), f"runs-{length}")
@@ -432,6 +434,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, window: int = 100, id_col
                  .agg(F.collect_set(F.when(F.col("first") < F.col("id"), span)).alias("gone"),
                       F.collect_set(F.when(F.col("first") == F.col("id"), span)).alias("open")))
         state = s.save(state, f"states-{length}")
+        s.drop(f"runs-{length}", f"ranks-{length}", f"owners-{length}")
         gone.append(state.where(F.size("gone") > 0).select("id", "d", "gone"))
         todo = state.where(F.size("open") > 0).select("id", "d", "open")
         if todo.isEmpty():

@@ -33,6 +33,7 @@ LOWER[65:91] += 32
 BASE_A = 0x9E3779B97F4A7C15
 BASE_B = 0xD1342543DE82EF95
 CHUNK_BYTES = 1 << 20
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def reach_workers(spark: SparkSession) -> None:
@@ -57,10 +58,23 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` once and return the table read back."""
-        df.write.mode("overwrite").parquet(self.path(name))
+        """Write ``df`` once and return the table read back. Spark drops the shuffle files
+        of the write as soon as the table is complete: nothing reads them again."""
+        conf, before = self.spark.conf, self.spark.conf.get(SHUFFLE_CLEANUP, "false")
+        conf.set(SHUFFLE_CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").parquet(self.path(name))
+        finally:
+            conf.set(SHUFFLE_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def drop(self, *names: str) -> None:
+        """Delete written tables that nothing will read again."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for name in names:
+            path = jvm.org.apache.hadoop.fs.Path(self.path(name))
+            path.getFileSystem(conf).delete(path, True)
+
 
 def text_buffers(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of a string or binary column, without copying."""

@@ -98,8 +98,12 @@ class Runs:
         self.window, self.length = window, length
         self.names, self.words = names(part, length)
         self.width = window - length + 1
-        m = sliding_min(self.names, self.width)
-        n = len(m)
+        self.least = sliding_min(self.names, self.width)
+        self.split(ok)
+
+    def split(self, ok: np.ndarray) -> None:
+        """Make the runs of the window starts ``ok``."""
+        m, n = self.least, len(self.least)
         ok = ok[:n]
         first = ok.copy()
         first[1:] &= ~ok[:-1] | (m[1:] != m[:-1])
@@ -136,10 +140,10 @@ class Runs:
         size = (self.hi - self.lo).astype(U.U64)
         return [pair(pair(x, y, k), size, k) for k, (x, y) in enumerate(zip(self.full(self.lo), self.full(self.hi), strict=True))]
 
-    def positions(self) -> tuple[np.ndarray, np.ndarray]:
-        """All window starts of the runs, and the run of each."""
-        n = self.hi - self.lo + 1
-        run = np.repeat(np.arange(len(n)), n)
+    def positions(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All window starts of ``runs``, and the run of each."""
+        n = (self.hi - self.lo + 1)[runs]
+        run = np.repeat(runs, n)
         return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + self.lo[run], run
 
 
@@ -307,31 +311,30 @@ def _first_runs(window: int, short: int):
             for i, j in U.chunks(offs, CHUNK):
                 cut = offs[i:j + 1]
                 base, live = int(cut[0]), np.unique(b.column(2).slice(i, j - i).flatten().to_numpy(zero_copy_only=False)).view(U.U64)
-                found, places = Found(), []
-                for x, r in segments(data[base:cut[-1]], every_start(cut, window), window, short):
+                found, places, ok = Found(), [], every_start(cut, window)
+                for x, r in segments(data[base:cut[-1]], ok, window, short):
                     r.keep(np.isin(r.short, live))
-                    if not len(r.lo):
-                        continue
-                    row = np.searchsorted(cut, r.lo + x + base, side="right") - 1
-                    found.add(row, cut[row], r, r.lo + x + base)
-                    places.append((row, r, x, r.twice()))
+                    if len(r.lo):
+                        places.append((x, r, np.searchsorted(cut, r.lo + x + base, side="right") - 1, r.twice()))
                 again = np.zeros(int(cut[-1]) - base, bool)
                 if places:
-                    rows = np.concatenate([p[0] for p in places])
-                    stand = np.concatenate([p[1].short for p in places])
-                    more = np.concatenate([p[3] for p in places])
+                    rows, stand, more = (np.concatenate(v) for v in zip(*[(p[2], p[1].short, p[3]) for p in places], strict=True))
                     keys, _, times = _distinct(np.concatenate([rows, rows[more]]), [np.concatenate([stand, stand[more]])], j - i)
                     twice, row, seen, cols = np.unique(keys[1][times > 1]), [], [], []
-                    for r_row, r, x, _ in places:
-                        own = np.isin(r.short, twice)
-                        if own.any():
-                            r.keep(own)
-                            at, of = r.positions()
-                            row.append(r_row[own][of])
-                            seen.append(at + x)
-                            cols.append(r.full(at))
-                    if row:
-                        again[_again(np.concatenate(row), [np.concatenate(c) for c in zip(*cols, strict=True)], np.concatenate(seen))] = True
+                    for x, r, at_row, _ in places:
+                        own = np.flatnonzero(np.isin(r.short, twice))
+                        at, of = r.positions(own)
+                        row.append(at_row[of])
+                        seen.append(at + x)
+                        cols.append(r.full(at))
+                    again[_again(np.concatenate(row), [np.concatenate(c) for c in zip(*cols, strict=True)], np.concatenate(seen))] = True
+                for x, r, row, _ in places:
+                    out = again[x:x + SEGMENT]
+                    if out.any():  # the first of them stays and stands for all
+                        r.split(ok[x:x + SEGMENT] & ~out)
+                        r.keep(np.isin(r.short, live))
+                        row = np.searchsorted(cut, r.lo + x + base, side="right") - 1
+                    found.add(row, cut[row], r, r.lo + x + base)
                 edge = np.diff(again.astype(np.int8), prepend=0, append=0)
                 lo, hi = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
                 row = np.searchsorted(cut, lo + base, side="right") - 1

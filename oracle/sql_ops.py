@@ -6,6 +6,7 @@ from oracle.sql import CTES, LINE_COLS, ic, rnd, std, xavg
 from quayside.contracts import SCHEMAS
 
 CUTOFF = "1998-01-01"
+OVERLAP_FROM = "1997-01-01"
 PREV_EXTRACT_BEFORE = "2000-01-01"
 CUR_EXTRACT_FROM = "1995-06-01"
 
@@ -144,6 +145,10 @@ OPS_SQL: dict[str, str] = {
     "load_routing": q("""SELECT 'full' AS first_mode, 'incremental' AS second_mode, count(*) AS first_records,
                             count(*) AS records, count(DISTINCT order_id) AS distinct_keys FROM a_orders"""),
     "merge_upsert": q("SELECT * FROM a_lines", text=["l_shipdate"], bigint=["l_linenumber"]),
+    "merge_bucketed": q(f"""SELECT *, CASE WHEN l_shipdate >= TIMESTAMP '{OVERLAP_FROM}' OR l_shipdate IS NULL THEN 'increment' END AS load_id
+        FROM a_lines""", text=["l_shipdate"], bigint=["l_linenumber"]),
+    "alter_table": q("""SELECT *, CAST(NULL AS VARCHAR) AS loyalty_tier, CAST(NULL AS INTEGER) AS loyalty_points,
+                          true AS files_unchanged FROM gc""", text=["created_date"], bigint=["loyalty_points"], extra_ctes=GUIDE),
     "change_classes": q(f"""
         SELECT coalesce(p.l_orderkey, c.l_orderkey) AS l_orderkey, coalesce(p.l_linenumber, c.l_linenumber) AS l_linenumber,
           CASE WHEN p.l_orderkey IS NULL THEN 'new' WHEN c.l_orderkey IS NULL THEN 'missing'

@@ -24,7 +24,7 @@ from quayside.plans import bronze as B
 from quayside.plans import dashboard as D
 from quayside.plans import gold as G
 from quayside.plans import silver as S
-from quayside.plans.tables import SnapshotTable, publish
+from quayside.plans.tables import publish
 from quayside.session import scratch_path
 from quayside.sources import landing as L
 
@@ -98,17 +98,18 @@ def land_frames(run: Run, frames: Mapping[str, DataFrame]) -> dict[str, str]:
 
 
 def run_bronze(run: Run, landings: Mapping[str, str], load_type: str = "full") -> dict[str, DataFrame]:
-    """Landing files to the bronze tables (contract scan, audit columns, routed load); an
-    empty table stops the run. Returns the tables by entity."""
-    out: dict[str, DataFrame] = {}
-    for name in ENTITIES:
-        def build(name=name):
-            root = run.path("bronze", name)
-            df, _ = B.ingest_to_bronze(run.spark, landings[name], name, root, load_type=load_type,
-                                       merge_keys=K.PRIMARY_KEYS[name], fmt=run.fmt, loaded_at=_loaded_at(run.as_of))
-            Q.assert_non_empty(df, name)
-            return run.put("bronze", name, SnapshotTable(run.spark, root, run.fmt).path())
-        out[name] = run._timed("bronze", f"ingest_{name}", name, build)
+    """Landing files to the bronze tables (contract scan, audit columns, routed load). A table that
+    fails or is empty is recorded as FAILED in the audit and doesn't stop the others; the
+    layers above need all of them, so ``run_silver`` stops. Returns the loaded tables by entity."""
+    names = {n: run.settings.table("bronze", n) for n in ENTITIES} if run.settings is not None else None
+    tables, records = B.load_entities(run.spark, {n: landings[n] for n in ENTITIES}, run.path("bronze", "").rstrip("/"),
+                                      load_type=load_type, loaded_at=_loaded_at(run.as_of), fmt=run.fmt, names=names)
+    out = {}
+    for r in records:
+        run.audit.append({"layer": "bronze", "task": f"ingest_{r['table']}", **{k: r[k] for k in ("table", "status", "load_date", "run_seconds")},
+                          **({"error": r["error"]} if r["error"] else {})})
+        if r["status"] == "SUCCESS":
+            out[r["table"]] = run.tables[f"bronze.{r['table']}"] = tables[r["table"]]
     return out
 
 
@@ -140,6 +141,9 @@ def _observed_metrics(spark: SparkSession, table: str, raw: DataFrame, seen: dic
 
 
 def run_silver(run: Run, bronze: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    missing = [n for n in ENTITIES if n not in bronze]
+    if missing:
+        raise ValueError(f"bronze tables {missing} were not loaded")
     loaded = _loaded_at(run.as_of)
     silver: dict[str, DataFrame] = {}
     for name in ENTITIES:

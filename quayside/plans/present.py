@@ -62,6 +62,7 @@ NULLABLE_OUTPUT: dict[str, dict[str, list[str]]] = {
     "sentiment_label": {"double": ["rating"]},
     "safe_pct": {"double": []},
     "merge_replay": {"double": ["marker"]},
+    "alter_table": {"double": ["loyalty_points"]},
 }
 
 

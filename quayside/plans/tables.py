@@ -207,8 +207,8 @@ class SnapshotTable:
         if not self.exists():
             return self.commit(merge_upsert(None, source, keys, order_cols))
         cur, parts = self.read(), self.partition_columns()
-        if not parts:
-            return self.commit(merge_upsert(cur, source, keys, order_cols))
+        if not parts or set(source.columns) - set(cur.columns):  # new columns: every file gets them
+            return self.commit(merge_upsert(cur, source, keys, order_cols), parts)
         new = source.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
         same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
         touched = cur.join(new, same, "left_semi").select(*parts).union(

@@ -24,6 +24,7 @@ from quayside.plans import bronze as B
 from quayside.plans import pipeline as P
 from quayside.plans import silver as S
 from quayside.plans import tables as TB
+from quayside.plans.bucketed import BucketedTable, add_columns
 from quayside.plans.present import present
 from quayside.sources import guide as GD
 from quayside.sources import landing as L
@@ -166,6 +167,34 @@ def _from(df: DataFrame, col: str, day: str) -> DataFrame:
     return df.where((when >= F.lit(day).cast(df.schema[col].dataType)) | when.isNull())
 
 
+def merge_bucketed_q(spark, sf_dir):
+    """The line history stored by hash bucket of its key, then the one-year-overlap increment
+    merged twice (its buckets are rewritten, the others stay). The increment brings a
+    column of its own, NULL for the rows that it doesn't hold."""
+    t = tpch.Tables(spark, sf_dir)
+    keys, order = ["l_orderkey", "l_linenumber"], ["l_shipdate"]
+    table = BucketedTable(spark, _scratch(spark, "merge_bucketed"), keys)
+    history = t.lineitem.where(F.col("l_shipdate") < F.lit(CUTOFF).cast("timestamp_ntz"))
+    table.replace(dedup_latest(history, keys, order), 64)
+    increment = _from(t.lineitem, "l_shipdate", OVERLAP_FROM).withColumn("load_id", F.lit("increment"))
+    table.merge(increment, order)
+    table.merge(increment, order)
+    return table.detach()
+
+
+def alter_table_q(spark, sf_dir):
+    """Customers by name, two columns added in the catalog: they read NULL, and no file was
+    written or renamed."""
+    _, cust, _ = _guide(spark, sf_dir)
+    name = _unique("customers_alter")
+    before = set(TB.ctas(cust, name, path=_scratch(spark, "customers_alter")).inputFiles())
+    add_columns(spark, name, {"loyalty_tier": "string", "loyalty_points": "int"}, {"loyalty_tier": "customer's tier"})
+    out = spark.table(name)
+    same = set(out.inputFiles()) == before
+    spark.sql(f"DROP TABLE {name}")
+    return out.withColumn("files_unchanged", F.lit(same))
+
+
 def merge_replay_q(spark, sf_dir):
     """A table partitioned by return flag: history, then the same increment merged twice. Its
     key (order, marker) is NULL in part and repeats in the increment. Equals one merge."""
@@ -214,18 +243,19 @@ def _update_cond():
 
 
 def update_where_q(spark, sf_dir):
-    """UPDATE customers SET is_active = false WHERE country = 'NATION_3' AND email has a 1."""
+    """UPDATE customers SET is_active = false WHERE country = 'NATION_3' AND email has a 1, on a
+    table partitioned by country: the partitions of other countries stay."""
     _, cust, _ = _guide(spark, sf_dir)
     table = TB.SnapshotTable(spark, _scratch(spark, "customers_managed"))
-    table.commit(cust)
+    table.commit(cust, ["country"])
     return table.update({"is_active": False}, _update_cond())
 
 
 def delete_where_q(spark, sf_dir):
-    """The UPDATE above, then DELETE FROM customers WHERE is_active = false."""
+    """The UPDATE above, then DELETE FROM customers WHERE is_active = false, on the partitioned table."""
     _, cust, _ = _guide(spark, sf_dir)
     table = TB.SnapshotTable(spark, _scratch(spark, "customers_managed"))
-    table.commit(cust)
+    table.commit(cust, ["country"])
     table.update({"is_active": False}, _update_cond())
     return table.delete(F.col("is_active") == F.lit(False))
 
@@ -441,12 +471,11 @@ def dq_gate_q(spark, sf_dir):
 
 
 def layer_counts_q(spark, sf_dir):
-    """Row counts of the bronze frames and of the silver and gold tables written by a
-    layer run, of one that was never written (-1), and their total."""
-    c = _chain(spark, sf_dir)
-    run = P.run_pipeline(spark, c.bronze, _scratch(spark, "pipeline"), as_of=_as_of())
-    tables = {f"bronze.{k}": v for k, v in c.bronze.items()}
-    tables.update({k: v for k, v in run.tables.items() if k.split(".")[0] in ("silver", "gold")})
+    """Row counts of the bronze, silver and gold tables written by a layer run from landing
+    files, of one that was never written (-1), and their total."""
+    run = P.Run(spark, _scratch(spark, "pipeline"), _as_of())
+    P.run_gold(run, P.run_silver(run, P.tpch_bronze(run, sf_dir)))
+    tables = {k: v for k, v in run.tables.items() if k.split(".")[0] in ("bronze", "silver", "gold")}
     tables["gold.never_written"] = run.path("gold", "never_written")
     return P.layer_counts(spark, tables)
 
@@ -625,6 +654,8 @@ OP_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _q(v) for
     "bronze_run_status": bronze_run_status_q,
     "load_routing": load_routing_q,
     "merge_upsert": merge_upsert_q,
+    "merge_bucketed": merge_bucketed_q,
+    "alter_table": alter_table_q,
     "merge_replay": merge_replay_q,
     "bronze_ingest": bronze_ingest_q,
     "assert_non_empty": assert_non_empty_q,

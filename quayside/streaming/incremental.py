@@ -2,7 +2,7 @@
 
 New landing files of one entity are picked up by a file stream with the entity
 contract as schema, enriched with the bronze audit columns and upserted into a
-:class:`~quayside.plans.tables.SnapshotTable` by ``foreachBatch``. The upsert is
+:class:`~quayside.plans.bucketed.BucketedTable` by ``foreachBatch``. The upsert is
 idempotent (replaying a micro-batch after a failure gives the same table), and
 the stream checkpoint records which files were consumed, so a restart resumes
 where it stopped. ``availableNow`` processes everything present and stops,
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quayside import contracts as K
 from quayside.functions.columns import row_hash
-from quayside.plans.tables import SnapshotTable
+from quayside.plans.bucketed import BucketedTable
 
 
 def bronze_stream(spark: SparkSession, landing_path: str, entity: str, fmt: str = "parquet",
@@ -40,12 +40,12 @@ def start_incremental_bronze(spark: SparkSession, landing_path: str, entity: str
                              available_now: bool = True):
     """Start the stream; returns the ``StreamingQuery`` (call ``awaitTermination``)."""
     keys = list(keys or K.PRIMARY_KEYS[entity])
-    table = SnapshotTable(spark, table_root, fmt)
+    table = BucketedTable(spark, table_root, keys, fmt=fmt)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        table.merge(batch, keys, ["_bronze_loaded_at"])
+        table.merge(batch, ["_bronze_loaded_at"])
 
     writer = (bronze_stream(spark, landing_path, entity, fmt).writeStream
               .foreachBatch(upsert).option("checkpointLocation", checkpoint))
@@ -60,4 +60,4 @@ def run_incremental_bronze(spark: SparkSession, landing_path: str, entity: str,
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return SnapshotTable(spark, table_root, fmt).read()
+    return BucketedTable(spark, table_root, list(keys or K.PRIMARY_KEYS[entity]), fmt=fmt).read()

@@ -2,7 +2,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from helpers import SF001
 from quayside.config import get_settings
 from quayside.plans import pipeline as P
 from quayside.session import scratch_path

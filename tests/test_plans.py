@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from helpers import SF001
 from quayside.operators.ranks import SortKey, global_ranks
 from quayside.plans import dashboard as D
 from quayside.plans import gold as G

@@ -17,4 +17,7 @@ def _typed(name: str, sql: str) -> str:
     return f"SELECT * REPLACE ({', '.join(rep)}) FROM ({sql}) t" if rep else sql
 
 
-ORACLE_SQL = {name: _typed(name, sql) for name, sql in {**_CORE, **OPS_SQL}.items()}
+# the same rows from another layout
+_SAME = {"fact_bucketed": _CORE["fact_orders"]}
+
+ORACLE_SQL = {name: _typed(name, sql) for name, sql in {**_CORE, **OPS_SQL, **_SAME}.items()}

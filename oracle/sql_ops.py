@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.sql import CTES, LINE_COLS, ic, rnd, std, xavg
+from oracle.sql import CTES, LINE_COLS, ic, msum, rnd, std, xavg
 from quayside.contracts import SCHEMAS
 
 CUTOFF = "1998-01-01"
@@ -145,6 +145,27 @@ OPS_SQL: dict[str, str] = {
     "load_routing": q("""SELECT 'full' AS first_mode, 'incremental' AS second_mode, count(*) AS first_records,
                             count(*) AS records, count(DISTINCT order_id) AS distinct_keys FROM a_orders"""),
     "merge_upsert": q("SELECT * FROM a_lines", text=["l_shipdate"], bigint=["l_linenumber"]),
+    "incremental_gold": q("SELECT * FROM g_daily", text=["order_date"], bigint=["order_year", "order_month"]),
+    "stream_bronze": q(f"SELECT *, 0 AS late_rows, true AS several_batches FROM ({ORDER_CONTRACT})", bigint=["num_items", "late_rows"]),
+    "distinct_rollup": q("""
+        SELECT 'day' AS level, CAST(order_year AS VARCHAR) AS order_year, CAST(order_month AS VARCHAR) AS order_month,
+          CAST(order_date AS VARCHAR) AS order_date, count(DISTINCT customer_id) AS unique_customers, count(DISTINCT restaurant_id) AS active_restaurants
+        FROM g_fact GROUP BY order_year, order_month, order_date
+        UNION ALL SELECT 'month', CAST(order_year AS VARCHAR), CAST(order_month AS VARCHAR), NULL, count(DISTINCT customer_id), count(DISTINCT restaurant_id)
+        FROM g_fact GROUP BY order_year, order_month
+        UNION ALL SELECT 'total', NULL, NULL, NULL, count(DISTINCT customer_id), count(DISTINCT restaurant_id) FROM g_fact"""),
+    "median_sketch": q("""
+        SELECT 'month' AS level, CAST(order_year AS VARCHAR) AS order_year, CAST(order_month AS VARCHAR) AS order_month,
+          count(total_amount) AS n, true AS within_bound
+        FROM s_orders WHERE is_delivered GROUP BY order_year, order_month
+        UNION ALL SELECT 'total', NULL, NULL, count(total_amount), true FROM s_orders WHERE is_delivered"""),
+    "pruned_months": q(f"""
+        SELECT customer_city, order_year, order_month, count(order_id) AS orders, {rnd(msum('total_amount'), 2)} AS gmv
+        FROM g_fact JOIN (SELECT order_year, order_month FROM g_revenue WHERE gmv_growth_pct > 10) USING (order_year, order_month)
+        WHERE is_delivered GROUP BY customer_city, order_year, order_month""", bigint=["order_year", "order_month"]),
+    "landing_corrupt": q("""
+        SELECT order_id, CASE WHEN order_id % 97 = 0 OR order_id % 89 = 0 THEN 'bad' ELSE 'good' END AS landed,
+          CASE WHEN order_id % 97 <> 0 AND order_id % 89 <> 0 THEN total_amount END AS total_amount FROM a_orders"""),
     "merge_bucketed": q(f"""SELECT *, CASE WHEN l_shipdate >= TIMESTAMP '{OVERLAP_FROM}' OR l_shipdate IS NULL THEN 'increment' END AS load_id
         FROM a_lines""", text=["l_shipdate"], bigint=["l_linenumber"]),
     "alter_table": q("""SELECT *, CAST(NULL AS VARCHAR) AS loyalty_tier, CAST(NULL AS INTEGER) AS loyalty_points,

@@ -23,6 +23,8 @@ import hashlib
 import re
 from collections.abc import Sequence
 from contextlib import contextmanager
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,6 +110,17 @@ class BucketedTable:
          .write.format(self.fmt).mode("overwrite").partitionBy(column).option("path", self.path).saveAsTable(self.name))
         return self.read()
 
+    def matching(self, source: DataFrame) -> DataFrame:
+        """The table's rows whose key is in ``source``; reads its buckets only."""
+        table = self._table()
+        column, n = self._bucket(table)
+        keys = source.select(*[F.col(k).cast(table.schema[k].dataType).alias(f"_k_{k}") for k in self.keys]).distinct()
+        keys = keys.withColumn("_b", bucket_of([f"_k_{k}" for k in self.keys], n))
+        # at most n numbers
+        touched = [r[0] for r in keys.select("_b").distinct().collect()]
+        same = reduce(and_, [table[k].eqNullSafe(keys[f"_k_{k}"]) for k in self.keys])
+        return table.where(F.col(column).isin(touched)).join(keys, same, "left_semi").drop(column)
+
     def merge(self, source: DataFrame, order_cols: Sequence[str] = (), buckets: int = LEAST_BUCKETS) -> DataFrame:
         """Upsert on the keys (see :func:`merge_upsert`) that rewrites only the buckets of
         ``source``. A table that doesn't exist yet is made from it."""

@@ -62,6 +62,8 @@ NULLABLE_OUTPUT: dict[str, dict[str, list[str]]] = {
     "sentiment_label": {"double": ["rating"]},
     "safe_pct": {"double": []},
     "merge_replay": {"double": ["marker"]},
+    "fact_bucketed": {"double": ["num_items", "delivery_time_mins", "delivery_rating"]},
+    "stream_bronze": {"double": ["num_items"]},
     "alter_table": {"double": ["loyalty_points"]},
 }
 

@@ -15,12 +15,17 @@ from pyspark.sql import functions as F
 from quayside import contracts as K
 from quayside.functions.columns import (bucket, clamp_negative, money, null_safe_row_hash, row_hash, safe_pct,
                                         standardize_text_columns, surrogate_key)
+from quayside.operators import distinct as DI
 from quayside.operators import quality as Q
+from quayside.operators import quantiles as QU
 from quayside.operators.dedup import dedup_latest, first_per_key
 from quayside.operators.integrity import ri_filter
 from quayside.operators.ranks import SortKey, global_ranks
 from quayside.operators.upsert import change_classes, merge_upsert
 from quayside.plans import bronze as B
+from quayside.plans import colocated as CO
+from quayside.plans import gold as G
+from quayside.plans import incremental as IN
 from quayside.plans import pipeline as P
 from quayside.plans import silver as S
 from quayside.plans import tables as TB
@@ -30,10 +35,12 @@ from quayside.sources import guide as GD
 from quayside.sources import landing as L
 from quayside.sources import tpch
 from quayside.session import scratch_path
+from quayside.streaming.incremental import run_incremental_bronze
 
 # Fixed dates of the incremental-load scenarios (inside the data's 1995-2001 range).
 CUTOFF = "1998-01-01"
 OVERLAP_FROM = "1997-01-01"
+MONTH = ("order_year", "order_month")
 PREV_EXTRACT_BEFORE = "2000-01-01"
 CUR_EXTRACT_FROM = "1995-06-01"
 
@@ -416,6 +423,144 @@ def global_ranks_q(spark, sf_dir):
     return out
 
 
+# ------------------------------------------------- incremental layers, stream
+
+def order_increments(orders: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(history, first, second increment) of landed orders. In the history one month has wrong
+    amounts and half of another is dated a month early; the increments bring the right rows
+    and all later orders, so after both the table holds ``orders``."""
+    month, id_ = F.substring("order_placed_at", 1, 7), F.col("order_id").cast("bigint")
+    wrong, moved = month == "1997-05", (month == "1996-02") & (id_ % 2 == 0)
+    history = orders.where(month < "1998-01").withColumns({
+        "total_amount": F.when(wrong, F.col("total_amount") + 1).otherwise(F.col("total_amount")),
+        "order_placed_at": F.when(moved, F.concat(F.lit("1996-01"), F.substring("order_placed_at", 8, 30)))
+                            .otherwise(F.col("order_placed_at"))})
+    first = orders.where(wrong | (month >= "1998-01") & (month < "1999-01"))
+    second = orders.where(moved | (month >= "1999-01") | month.isNull())
+    return history, first, second
+
+
+def incremental_layers(spark, sf_dir, root: str, database: str) -> IN.IncrementalGold:
+    """Layers built from the history, then two increments of orders."""
+    c = _chain(spark, sf_dir)
+    delivered = P.write_table(G.first_delivery(c.kept["deliveries"]), f"{root}/first_deliveries")
+    orders = P.write_table(c.bronze["orders"], f"{root}/landed_orders")
+    layers = IN.IncrementalGold(spark, database, f"{root}/bronze", c.kept["customers"], c.kept["restaurants"], delivered, _as_of())
+    history, *increments = order_increments(orders)
+    layers.build(history, 32)
+    for i in increments:
+        layers.apply(i)
+    return layers
+
+
+def incremental_gold_q(spark, sf_dir):
+    """Daily city metrics after a full load of an older state and two increments of orders that
+    recompute their months only."""
+    root, db = _scratch(spark, "incremental_gold"), _unique("qs_incremental")
+    out = P.write_table(incremental_layers(spark, sf_dir, root, db).daily.read(), f"{root}/out")
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    return out
+
+
+def stream_bronze_q(spark, sf_dir):
+    """Bronze orders by stream: two micro-batches, a restart from the checkpoint, then further
+    files that also send a third of the earlier rows again."""
+    root = _scratch(spark, "stream_bronze")
+    orders = P.write_table(_contract_cast(_chain(spark, sf_dir).bronze["orders"], "orders"), f"{root}/orders")
+    key = F.col("order_id").cast("bigint")
+    where = {k: f"{root}/{k}" for k in ("landing", "bronze", "checkpoint")}
+    args = (spark, where["landing"], "orders", where["bronze"], where["checkpoint"])
+    seen: list[dict] = []
+    for part in (orders.where(key % 2 == 0), orders.where((key % 2 == 1) | (key % 3 == 0))):
+        part.repartition(2).write.mode("append").parquet(where["landing"])
+        out = run_incremental_bronze(*args, max_files_per_trigger=1, resend_window="1 hour", progress=seen)
+    late, batches = sum(p["late_rows"] for p in seen), min(p["batches"] for p in seen)
+    return out.drop("_source_file", "_row_hash", "_bronze_loaded_at").withColumns(
+        {"late_rows": F.lit(late).cast("bigint"), "several_batches": F.lit(batches > 1)})
+
+
+# ------------------------------------------------- roll-ups, stored layouts
+
+def distinct_rollup_q(spark, sf_dir):
+    """Exact distinct customers and restaurants by day, month and in total, from one pass of
+    the fact: bitmaps over dense ids, merged level by level."""
+    c, root = _chain(spark, sf_dir), _scratch(spark, "distinct_rollup")
+
+    def store(name, df):
+        return P.write_table(df, f"{root}/{name}")
+
+    ids = {k: store(k, DI.dense_ids(c.kept[t], k)) for t, k in (("customers", "customer_id"), ("restaurants", "restaurant_id"))}
+    fact = c.gold["fact_orders"].select("order_date", "order_year", "order_month", "customer_id", "restaurant_id")
+    levels = [["order_year", "order_month", "order_date"], ["order_year", "order_month"], []]
+    found = DI.distinct_rollup(fact, levels, {"unique_customers": "customer_id", "active_restaurants": "restaurant_id"}, ids, store)
+    out = None
+    for level, keys, counts in zip(("day", "month", "total"), levels, found, strict=True):
+        part = counts.select(F.lit(level).alias("level"), *[
+            (F.col(k) if k in keys else F.lit(None)).cast("string").alias(k) for k in levels[0]], "unique_customers", "active_restaurants")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def median_sketch_q(spark, sf_dir):
+    """Median order value of delivered orders by month and in total, from sketches per day
+    merged upwards: whether its exact rank lies within the stated bound."""
+    c, root = _chain(spark, sf_dir), _scratch(spark, "median_sketch")
+    orders = P.write_table(c.kept["orders"].where("is_delivered").select("order_date", "order_year", "order_month", "total_amount"), f"{root}/orders")
+    days = P.write_table(QU.sketches(orders, ["order_year", "order_month", "order_date"], "total_amount"), f"{root}/days")
+    months = P.write_table(QU.merge_sketches(days, ["order_year", "order_month"]), f"{root}/months")
+    out = None
+    for level, keys in (("month", ["order_year", "order_month"]), ("total", [])):
+        held = months if keys else QU.merge_sketches(months, [])
+        answers = held.select(*keys, QU.quantile().alias("median"))
+        part = QU.rank_check(orders, answers, keys, "total_amount", "median")
+        part = part.select(F.lit(level).alias("level"), *[(F.col(k) if keys else F.lit(None)).cast("string").alias(k)
+                                                          for k in ("order_year", "order_month")], "n", "within_bound")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def fact_bucketed_q(spark, sf_dir):
+    """The order fact from orders and first deliveries that are stored in the same buckets:
+    their join needs no exchange on order_id."""
+    c, root = _chain(spark, sf_dir), _scratch(spark, "fact_bucketed")
+    frames = {"orders": c.kept["orders"], "deliveries": G.first_delivery(c.kept["deliveries"])}
+    names = {k: _unique(f"co_{k}") for k in frames}
+    held = {k: CO.store_bucketed(df, names[k], ["order_id"], 16, f"{root}/{k}") for k, df in frames.items()}
+    out = CO.colocated_fact(held["orders"], c.kept["customers"], c.kept["restaurants"], held["deliveries"], as_of=_as_of())
+    out.schema  # resolved: the files stay when the names go
+    for name in names.values():
+        spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+def pruned_months_q(spark, sf_dir):
+    """GMV per city in the months whose GMV grew by over 10 %: the month list prunes the
+    partitions of the fact while the query runs."""
+    c, root = _chain(spark, sf_dir), _scratch(spark, "pruned_months")
+    fact = P.write_table(c.gold["fact_orders"].select("order_id", "customer_city", "total_amount", "is_delivered", *MONTH),
+                         f"{root}/fact", partition_by=list(MONTH))
+    months = P.write_table(c.gold["agg_revenue_summary"].select(*MONTH, "gmv_growth_pct"), f"{root}/months")
+    grown = months.where("gmv_growth_pct > 10").select(*MONTH)
+    return (fact.join(grown, list(MONTH)).where("is_delivered").groupBy("customer_city", *MONTH)
+            .agg(F.count("order_id").alias("orders"), F.round(F.sum(money("total_amount")), 2).cast("double").alias("gmv")))
+
+
+def landing_corrupt_q(spark, sf_dir):
+    """Orders landed as JSON lines, every 97th order cut in the middle and every 89th with a
+    text for its amount: good orders and the raw text of the others, by key."""
+    c, path = _chain(spark, sf_dir), f"{_scratch(spark, 'landing_corrupt')}/orders"
+    orders = _contract_cast(c.bronze["orders"], "orders")
+    line = F.to_json(F.struct(*orders.columns))
+    broken = (F.when(F.col("order_id") % 97 == 0, F.expr("substr(line, 1, cast(length(line) / 2 as int))"))
+              .when(F.col("order_id") % 89 == 0, F.regexp_replace("line", '"total_amount":', '"total_amount":"x",\n"was":'.replace("\n", "")))
+              .otherwise(F.col("line")))
+    orders.select("order_id", line.alias("line")).select(broken.alias("value")).write.text(path)
+    good, bad = L.scan_with_rejects(spark, path, "orders", "json")
+    key = F.regexp_extract("raw_text", '"order_id":"?([0-9]+)', 1).cast("bigint")
+    return good.select(F.col("order_id").cast("bigint").alias("order_id"), F.lit("good").alias("landed"), "total_amount").unionByName(
+        bad.select(key.alias("order_id"), F.lit("bad").alias("landed"), F.lit(None).cast("double").alias("total_amount")))
+
+
 # ------------------------------------------------------------------ quality
 
 def _checked(c) -> dict[str, DataFrame]:
@@ -654,6 +799,13 @@ OP_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _q(v) for
     "bronze_run_status": bronze_run_status_q,
     "load_routing": load_routing_q,
     "merge_upsert": merge_upsert_q,
+    "incremental_gold": incremental_gold_q,
+    "stream_bronze": stream_bronze_q,
+    "distinct_rollup": distinct_rollup_q,
+    "median_sketch": median_sketch_q,
+    "fact_bucketed": fact_bucketed_q,
+    "pruned_months": pruned_months_q,
+    "landing_corrupt": landing_corrupt_q,
     "merge_bucketed": merge_bucketed_q,
     "alter_table": alter_table_q,
     "merge_replay": merge_replay_q,

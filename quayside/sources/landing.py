@@ -35,6 +35,35 @@ def scan_contract(spark: SparkSession, path: str, entity: str | T.StructType, fm
     return reader.load(path)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def scan_with_rejects(spark: SparkSession, path: str, entity: str | T.StructType, fmt: str = "json",
+                      options: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """CSV or JSON landing files, one record a line, as (good rows, unreadable rows).
+
+    A line that can't be read as the contract (broken syntax, a value of another type, too
+    few or too many fields) isn't loaded with NULLs: it goes to the second frame as
+    ``source_file, raw_text``. Every line is parsed whole, so whether it is good doesn't
+    hang on the columns that a query uses. Parquet has no such lines.
+    """
+    if fmt not in ("csv", "json"):
+        raise ValueError(f"unreadable rows exist in csv and json landings, not in {fmt!r}")
+    schema = K.SCHEMAS[entity] if isinstance(entity, str) else entity
+    full = T.StructType([*[T.StructField(f.name, f.dataType, True) for f in schema.fields], T.StructField(CORRUPT, T.StringType())])
+    given = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **(options or {})}
+    lines = spark.read.text(path)
+    if fmt == "csv":
+        lines = lines.where(F.col("value") != ",".join(f.name for f in schema.fields))  # headers
+        row = F.from_csv("value", full.simpleString()[len("struct<"):-1].replace(":", " "), given)
+    else:
+        row = F.from_json("value", full, given)
+    read = lines.select(row.alias("row"), "value", F.col("_metadata.file_path").alias("source_file"))
+    broken = F.col(f"row.{CORRUPT}").isNotNull() | F.col("row").isNull()
+    return (read.where(~broken).select(*[F.col(f"row.`{f.name}`") for f in schema.fields]),
+            read.where(broken).select("source_file", F.col("value").alias("raw_text")))
+
+
 def with_lineage(df: DataFrame, name: str = "_source_file") -> DataFrame:
     """Add the originating file of each row (file-source scans only)."""
     return df.withColumn(name, F.col("_metadata.file_path"))

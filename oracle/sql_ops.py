@@ -299,9 +299,11 @@ OPS_SQL: dict[str, str] = {
     "ri_filter": q("SELECT order_id, customer_id, restaurant_id FROM s_orders"),
     "ddl_tables": q("\nUNION ALL ".join(
         f"SELECT '{n}' AS \"table\", (SELECT count(*) FROM a_{n}) AS rows, 'parquet' AS provider, true AS has_property, "
+        f"'{n} of a layer' AS table_comment, 'tables of one layer' AS database_comment, "
         f"{len(SCHEMAS[n].fields)} AS columns" for n in ENTITIES), bigint=["columns"]),
     "catalog_inventory": q("\nUNION ALL ".join(
         f"SELECT '{n}' AS \"table\", '{f.name}' AS \"column\", '{f.dataType.simpleString()}' AS data_type, "
+        f"{str(f.nullable).lower()} AS nullable, '{'' if f.nullable else 'required'}' AS comment, "
         f"(SELECT count({f.name}) FROM a_{n}) AS non_null_rows" for n in ENTITIES for f in SCHEMAS[n].fields)),
     "global_ranks": f"""
         WITH t AS (

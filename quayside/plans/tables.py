@@ -21,6 +21,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from quayside.operators.upsert import merge_upsert
 
@@ -263,11 +264,20 @@ def set_properties(spark: SparkSession, table: str, values: dict[str, str]) -> N
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({_properties(values)})")
 
 
+# Table property with the contract's NOT NULL columns: file tables read every column as
+# nullable, whatever their DDL says, so the catalog keeps the contract here.
+REQUIRED = "not_null_columns"
+
+
 def create_tables(spark: SparkSession, layer: str, schemas: dict, fmt: str = "parquet") -> list[str]:
-    create_schemas(spark, [layer])
+    """The tables of a layer by DDL, idempotent: comments on layer, table and NOT NULL columns."""
+    create_schemas(spark, [layer], {layer: "tables of one layer"})
     out = []
     for name, schema in schemas.items():
-        spark.sql(ddl_from_schema(f"`{layer}`.`{name}`", schema, f"{layer} {name}", fmt))
+        fields = [f if f.nullable or "comment" in f.metadata else StructField(f.name, f.dataType, False, {"comment": "required"})
+                  for f in schema.fields]
+        required = {REQUIRED: ",".join(f.name for f in fields if not f.nullable)}
+        spark.sql(ddl_from_schema(f"`{layer}`.`{name}`", StructType(fields), f"{name} of a layer", fmt, properties=required))
         out.append(f"{layer}.{name}")
     return out
 
@@ -308,8 +318,10 @@ def catalog_inventory(spark: SparkSession, databases: Sequence[str]) -> DataFram
         for t in spark.catalog.listTables(db):
             if t.isTemporary:
                 continue
+            held = spark.sql(f"SHOW TBLPROPERTIES `{db}`.`{t.name}`").where(F.col("key") == REQUIRED).first()
+            required = set(held["value"].split(",")) if held else set()
             for c in spark.catalog.listColumns(f"{db}.{t.name}"):
-                rows.append((db, t.name, c.name, c.dataType, c.nullable, c.description, t.tableType))
+                rows.append((db, t.name, c.name, c.dataType, c.nullable and c.name not in required, c.description, t.tableType))
     return spark.createDataFrame(rows, "database string, table string, column string, data_type string, "
                                        "nullable boolean, comment string, table_type string")
 

@@ -297,17 +297,24 @@ def external_table_q(spark, sf_dir):
     _, _, so = _guide(spark, sf_dir)
     path = _scratch(spark, "ext_sales_orders")
     so.write.mode("overwrite").parquet(path)
-    name = f"ext_sales_orders_{uuid.uuid4().hex[:12]}"
-    return TB.register_external(spark, name, path)
+    name = _unique("ext_sales_orders")
+    return _by_name(spark, name, TB.register_external(spark, name, path))
 
 
 def _unique(name: str) -> str:
     return f"{name}_{uuid.uuid4().hex[:12]}"
 
 
+def _by_name(spark, name: str, df: DataFrame) -> DataFrame:
+    """A scenario's external table as it was read by name; the name goes, the files stay."""
+    spark.sql(f"DROP TABLE {name}")
+    return df
+
+
 def _customer_orders(spark, sf_dir):
     _, cust, so = _guide(spark, sf_dir)
-    return TB.ctas(GD.customer_orders(cust, so), _unique("customer_orders"), path=_scratch(spark, "customer_orders"))
+    name = _unique("customer_orders")
+    return _by_name(spark, name, TB.ctas(GD.customer_orders(cust, so), name, path=_scratch(spark, "customer_orders")))
 
 
 def ctas_join_q(spark, sf_dir):
@@ -317,8 +324,8 @@ def ctas_join_q(spark, sf_dir):
 
 def ctas_aggregate_q(spark, sf_dir):
     """External CTAS: completed revenue per customer over the joined table."""
-    return TB.ctas(GD.customer_revenue_summary(_customer_orders(spark, sf_dir)), _unique("revenue_summary"),
-                   path=_scratch(spark, "customer_revenue_summary"))
+    name, summary = _unique("revenue_summary"), GD.customer_revenue_summary(_customer_orders(spark, sf_dir))
+    return _by_name(spark, name, TB.ctas(summary, name, path=_scratch(spark, "customer_revenue_summary")))
 
 
 def ctas_managed_q(spark, sf_dir):
@@ -326,7 +333,9 @@ def ctas_managed_q(spark, sf_dir):
     name = _unique("revenue_managed")
     summary = GD.customer_revenue_summary(_customer_orders(spark, sf_dir))
     TB.ctas(summary.limit(0), name)
-    return TB.ctas(summary, name)
+    out = P.write_table(TB.ctas(summary, name), _scratch(spark, "revenue_managed"))
+    spark.sql(f"DROP TABLE {name}")  # with its files
+    return out
 
 
 def _ddl_database(spark, sf_dir) -> str:
@@ -342,23 +351,35 @@ def _ddl_database(spark, sf_dir) -> str:
 
 
 def ddl_tables_q(spark, sf_dir):
-    """Tables made by DDL: columns, first comment, property and rows of each."""
+    """Tables made by DDL: columns, comments of table and database, property and rows of each."""
     db = _ddl_database(spark, sf_dir)
     listed = TB.catalog_inventory(spark, [db]).groupBy("table").agg(F.count(F.lit(1)).alias("columns"))
+    about = TB.schema_listing(spark, db).select(F.col("comment").alias("database_comment")).scalar()
     out = None
     for name in K.SCHEMAS:
-        lines = TB.table_details(spark, f"{db}.{name}").where("name in ('Provider', 'Table Properties')")
+        lines = TB.table_details(spark, f"{db}.{name}").where("name in ('Provider', 'Comment', 'Table Properties')")
+
+        def line(key, lines=lines):
+            return lines.where(F.col("name") == key).select("value").scalar()
+
         part = (spark.table(f"{db}.{name}").agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit(name))
-                .withColumn("provider", lines.where("name = 'Provider'").select("value").scalar())
-                .withColumn("has_property", lines.where("name = 'Table Properties'").select("value").scalar().contains("quality=bronze")))
+                .withColumns({"provider": line("Provider"), "table_comment": line("Comment"), "database_comment": about,
+                              "has_property": line("Table Properties").contains("quality=bronze")}))
         out = part if out is None else out.unionByName(part)
-    return out.join(listed, "table")
+    return _then_drop(spark, out.join(listed, "table"), db)
+
+
+def _then_drop(spark, df: DataFrame, database: str) -> DataFrame:
+    """The result of a scenario whose database goes."""
+    out = P.write_table(df, _scratch(spark, "ddl_result"))
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return out
 
 
 def catalog_inventory_q(spark, sf_dir):
-    """Every column of the tables made by DDL: type, NOT NULL, and its non-NULL rows."""
+    """Every column of the tables made by DDL: type, NOT NULL, comment, and its non-NULL rows."""
     db = _ddl_database(spark, sf_dir)
-    inv = TB.catalog_inventory(spark, [db]).select("table", "column", "data_type", "comment")
+    inv = TB.catalog_inventory(spark, [db]).select("table", "column", "data_type", "nullable", F.coalesce("comment", F.lit("")).alias("comment"))
     counts = None
     for name, schema in K.SCHEMAS.items():
         cols = [f.name for f in schema.fields]
@@ -366,7 +387,7 @@ def catalog_inventory_q(spark, sf_dir):
         part = (spark.table(f"{db}.{name}").agg(*[F.count(c).alias(c) for c in cols])
                 .selectExpr(f"'{name}' AS table", f"stack({len(cols)}, {stack}) AS (column, non_null_rows)"))
         counts = part if counts is None else counts.unionByName(part)
-    return inv.drop("comment").join(counts, ["table", "column"])
+    return _then_drop(spark, inv.join(counts, ["table", "column"]), db)
 
 
 def bronze_ingest_q(spark, sf_dir):

@@ -5,8 +5,10 @@
 repeats one step at most, and every executor sees the same rows.
 
 The word functions work on the Arrow buffers of a whole batch of texts: words
-are found with one table look-up per byte and hashed with prefix sums of a
-polynomial over the bytes, so there is no Python loop per word.
+are found with one table look-up per byte, and a word's hash is the sum of one random
+number per (byte, place in the word), taken from prefix sums, so there is no Python
+loop per word. Hashes of consecutive words are mixes of pairs of hashes at doubled
+lengths. Neither is a polynomial, whose values agree on mirrored patterns.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ LOWER[65:91] += 32
 # Odd bases (5 modulo 8, so differences of their powers keep few factors of two).
 BASE_A = 0x9E3779B97F4A7C15
 BASE_B = 0xD1342543DE82EF95
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -148,36 +150,48 @@ def word_spans(data: np.ndarray, offsets: np.ndarray,
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+PLACES = 64
+_RANDOM: dict[int, np.ndarray] = {}
+
+
+def _random(code: np.ndarray, base: int) -> np.ndarray:
+    """The random number of each (place << 8 | byte)."""
+    return mix(code.astype(U64) * U64(0xD6E8FEB86659FD93) + U64(base))
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False, base: int = BASE_A,
                 sep: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of every word of the rows, and each row's first word index."""
     starts, ends, rows = word_spans(data, offsets, sep)
     lo, hi = int(offsets[0]), int(offsets[-1])
-    pw, inv = powers(base, hi - lo + 1)
-    part = data[lo:hi]
-    acc = np.empty(hi - lo + 1, U64)
-    acc[0] = 0
-    vals = (LOWER[part] if lower else part).astype(U64)
-    vals += U64(1)
-    vals *= pw[:hi - lo]
-    np.cumsum(vals, out=acc[1:])
-    h = acc[ends - lo] - acc[starts - lo]
-    h *= inv[starts - lo]
-    return mix(h), rows
+    if base not in _RANDOM:
+        _RANDOM[base] = _random(np.arange(PLACES << 8), base)
+    place = np.zeros(hi - lo, np.int64)
+    place[starts - lo] = starts - lo
+    place = np.arange(hi - lo) - np.maximum.accumulate(place)
+    code = place << 8
+    code |= LOWER[data[lo:hi]] if lower else data[lo:hi]
+    acc = np.zeros(hi - lo + 1, U64)
+    vals = acc[1:]
+    np.take(_RANDOM[base], code, mode="clip", out=vals)
+    far = np.flatnonzero(place >= PLACES)
+    vals[far] = _random(code[far], base)
+    np.cumsum(vals, out=vals)
+    return mix(acc[ends - lo] - acc[starts - lo]), rows
 
 
 def window_hashes(h: np.ndarray, size: int, base: int = BASE_B) -> np.ndarray:
     """Hash of every run of ``size`` consecutive values (len(h) - size + 1 of them)."""
-    n = len(h)
-    if n < size:
+    if len(h) < size:
         return np.zeros(0, U64)
-    pw, inv = powers(base, n + 1)
-    acc = np.empty(n + 1, U64)
-    acc[0] = 0
-    np.cumsum(h * pw[:n], out=acc[1:])
-    out = acc[size:] - acc[:-size]
-    out *= inv[:n - size + 1]
-    return mix(out)
+    f, n = h, 1
+    while n < size:
+        step = min(n, size - n)
+        z = f[step:] * U64(base)
+        z ^= z >> U64(32)
+        z += f[:-step]
+        f, n = mix(z), n + step
+    return f
 
 
 def signed(h: np.ndarray) -> np.ndarray:

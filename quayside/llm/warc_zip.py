@@ -311,7 +311,10 @@ def _batch(rows) -> pa.RecordBatch:
 def read_packages(manifest: DataFrame, payloads: bool = True) -> DataFrame:
     """One row per record: ``page_id, url, record_type, payload_bytes, payload_digest,
     refers_to, payload`` (of revisits: 0 bytes, the digest of the full payload, no payload)."""
-    spread = manifest.select("path", "bytes").repartition("path")
+    # as many tasks as packages, up to the cluster's usual number: a given number isn't merged
+    # for being small, as the manifest is
+    tasks = min(max(manifest.count(), 1), max(int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")), 32))
+    spread = manifest.select("path", "bytes").repartition(tasks)
     return spread.mapInArrow(_read(payloads), RECORDS)
 
 

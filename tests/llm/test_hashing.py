@@ -1,6 +1,7 @@
 """Word hashes on mirrored patterns, and packages read by several tasks."""
 
 import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
@@ -56,8 +57,7 @@ def test_packages_are_read_by_several_tasks(spark):
 
     def task(batches):
         for b in batches:
-            import pyarrow as pa
             yield pa.RecordBatch.from_pydict({"task": [TaskContext.get().partitionId()] * b.num_rows})
 
-    tasks = read_packages(manifest, payloads=False).mapInArrow(task, "task int")
+    tasks = read_packages(manifest, payloads=False).mapInArrow(task, "task bigint")
     assert tasks.count() == 400 and tasks.distinct().count() > 8

@@ -10,6 +10,7 @@ from test_texts import check_pieces
 
 import __spark_entry__ as E
 import corpus_pipeline as P
+from quayside.llm.filter_audit import COUNTS
 from quayside.llm.toxicity import fit_toxicity, score_toxicity
 
 SF = "/root/testdata/sf0.001"
@@ -28,7 +29,8 @@ def rows_of(df):
 
 
 def test_stages_against_brute_force(spark, frame, corpus, labels_dir):
-    docs = frame(corpus).withColumn("n_chars", F.col("doc_id"))
+    own = ("_id", "_sha", "_n", "_nth", "_kept", "_sig", "_words", "_twin", "gone_sha", "twin_sha", "key", "_id_")
+    docs = frame(corpus).withColumns({"n_chars": F.col("doc_id"), **{c: F.lit("x") for c in own}})
     assert [n for n, _ in P.STAGES] == ["toxicity", "exact_dedup", "jaccard_join", "substring_dedup", "packing"]
 
     out = P.toxicity(spark, docs, labels_dir)
@@ -120,6 +122,9 @@ CONTRACT = {
     "op8_jaccard_join": ["doc_id", "n_shingles", "component_id"],
     "op9_exact_dedup": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
     "op10_substring_dedup": ["doc_id", "n_words", "n_removed", "kept_sha256"],
+    "op11_filter_audit": ["part", "filter_order", "step", *COUNTS],
+    "op12_whitening": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
+    "op13_suffix_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
 }
 
 
@@ -131,9 +136,11 @@ def test_every_operator_has_a_query():
 def test_contract_columns(spark, name):
     out = E.queries()[name](spark, SF)
     assert out.columns[:len(CONTRACT[name])] == CONTRACT[name]
-    table = {"op4_warc_zip": "pages", "op5_permutation_index": "embeddings"}.get(name, "documents")
+    table = {"op4_warc_zip": "pages", "op5_permutation_index": "embeddings", "op12_whitening": "embeddings"}.get(name, "documents")
     n = spark.read.parquet(f"{SF}/{table}.parquet").count()
     if name == "op5_permutation_index":
         assert out.count() == -(-n // 20) * 20
+    elif name == "op12_whitening":
+        assert out.count() == 32 * n
     elif name != "op3_packing":
         assert out.count() == n

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import threading
 from collections.abc import Sequence
 from contextlib import contextmanager
 from functools import reduce
@@ -33,6 +34,7 @@ from quayside.operators.dedup import dedup_latest
 from quayside.operators.upsert import merge_upsert, table_exists
 
 PREFIX = "_bucket_of_"
+_TURN = threading.RLock()
 BUCKET_BYTES = 256 << 20
 LEAST_BUCKETS, MOST_BUCKETS = 16, 1 << 16
 
@@ -50,15 +52,17 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
 
 
 @contextmanager
-def dynamic_overwrite(spark: SparkSession):
-    """INSERT OVERWRITE replaces only the partitions that it writes."""
+def overwrite_mode(spark: SparkSession, mode: str):
+    """``dynamic``: an overwrite replaces only the partitions that it writes; ``static``: all.
+    It is a setting of the session, so overwrites of one session take turns."""
     key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    with _TURN:
+        before = spark.conf.get(key)
+        spark.conf.set(key, mode)
+        try:
+            yield
+        finally:
+            spark.conf.set(key, before)
 
 
 def add_columns(spark: SparkSession, table: str, columns: dict[str, str], comments: dict[str, str] | None = None) -> None:
@@ -106,8 +110,9 @@ class BucketedTable:
         column = f"{PREFIX}{buckets}"
         if "." in self.name:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.name.split('.')[0]}")
-        (df.withColumn(column, bucket_of(self.keys, buckets)).hint("rebalance", F.col(column))
-         .write.format(self.fmt).mode("overwrite").partitionBy(column).option("path", self.path).saveAsTable(self.name))
+        with overwrite_mode(self.spark, "static"):
+            (df.withColumn(column, bucket_of(self.keys, buckets)).hint("rebalance", F.col(column))
+             .write.format(self.fmt).mode("overwrite").partitionBy(column).option("path", self.path).saveAsTable(self.name))
         return self.read()
 
     def matching(self, source: DataFrame) -> DataFrame:
@@ -141,7 +146,7 @@ class BucketedTable:
         if not touched:
             return self.read()
         merged = merge_upsert(table.where(F.col(column).isin(touched)), src, self.keys, order_cols)
-        with dynamic_overwrite(self.spark):
+        with overwrite_mode(self.spark, "dynamic"):
             (merged.select(*[f"`{c}`" for c in table.columns]).hint("rebalance", F.col(column))
              .write.mode("overwrite").insertInto(self.name))
         return self.read()

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from quayside import contracts as K
 from quayside.plans import gold as G
 from quayside.plans import silver as S
-from quayside.plans.bucketed import BucketedTable, dynamic_overwrite
+from quayside.plans.bucketed import BucketedTable, overwrite_mode
 
 MONTH = ("order_year", "order_month")
 
@@ -53,14 +53,15 @@ class MonthTable:
         return table if months is None else table.where(in_months(months))
 
     def replace(self, df: DataFrame) -> DataFrame:
-        (df.hint("rebalance", *[F.col(c) for c in MONTH]).write.format(self.fmt).mode("overwrite")
-         .partitionBy(*MONTH).saveAsTable(self.name))
+        with overwrite_mode(self.spark, "static"):
+            (df.hint("rebalance", *[F.col(c) for c in MONTH]).write.format(self.fmt).mode("overwrite")
+             .partitionBy(*MONTH).saveAsTable(self.name))
         return self.read()
 
     def swap(self, df: DataFrame, months: Sequence[tuple]) -> DataFrame:
         """``df`` becomes the rows of ``months``; it may read this table."""
         columns = self.read().columns
-        with dynamic_overwrite(self.spark):
+        with overwrite_mode(self.spark, "dynamic"):
             (df.select(*[f"`{c}`" for c in columns]).hint("rebalance", *[F.col(c) for c in MONTH])
              .write.mode("overwrite").insertInto(self.name))
         # months without a new row keep what they had: which ones the input says, a month each

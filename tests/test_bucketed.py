@@ -103,3 +103,14 @@ def test_partitioned_merge_keeps_new_columns(spark):
     t.commit(spark.createDataFrame([(1, "a"), (2, "b")], "k bigint, p string"), ["p"])
     out = t.merge(spark.createDataFrame([(1, "a", "new")], "k bigint, p string, extra string"), ["k"])
     assert {r.k: r.extra for r in out.collect()} == {1: "new", 2: None} and t.partition_columns() == ["p"]
+
+
+def test_a_full_load_leaves_no_old_bucket(spark, table):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(key, "dynamic")
+    try:
+        out = table.replace(spark.createDataFrame([(1, "z", 1)], "k bigint, part string, v int"), 8)
+        assert out.count() == 1 and len(files(table)) == 1 and spark.conf.get(key) == "dynamic"
+        assert BucketedTable(spark, table.path, KEYS, "again_" + uuid.uuid4().hex[:8]).detach().count() == 1
+    finally:
+        spark.conf.unset(key)

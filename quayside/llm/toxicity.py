@@ -11,19 +11,25 @@ so it learns pairs (an insult with the mention of a group, a stem in a short
 text) that no sum of single weights expresses. The pair sum costs one pass:
 half of ``|sum v x|**2 - sum |v x|**2``.
 
+A term's value is ``(1 + log(count)) * idf``, divided by the square root of the
+text's norm, so long texts don't outweigh short ones. Every slot of the table has its
+own weight and factors: no term is picked by its label alone, since a pair can
+matter whose parts say nothing. A slot that no learning row holds has an idf of zero.
+
 Learning uses a bounded, documented sample of labelled rows (``max_rows``, those
-with the smallest id hashes). Terms of the sample are counted by label in Spark;
-the ``max_terms`` that go most with one label (chi-square) are kept, so the model
-has a fixed size whatever the data. It is fitted by mini-batch AdaGrad. Every
-text is then scored whole, in one scan without a shuffle.
+with the smallest id hashes) in one task, by mini-batch AdaGrad that touches only the
+slots of a batch. A fifth of the sample is kept back to calibrate the margin to a
+probability. Every text is then scored whole, in one scan without a shuffle.
 
 Defined results: null, empty and wordless texts get the score of no terms; rows
-with a null id are scored but never learnt from; with labels of one kind only (or
+with a null id are scored but never learnt from; of several texts of one id the one
+with the smallest hash is learnt from; with labels of one kind only (or
 none) every score is the smoothed share of label 1.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -34,15 +40,14 @@ from pyspark.sql import functions as F
 
 from quayside.llm import util as U
 
-#: Labelled rows to learn from, and terms of the model, at most.
+#: Labelled rows to learn from, at most.
 MAX_ROWS = 20_000
-MAX_TERMS = 4096
-#: Least chi-square of a kept term, and least number of sample rows that hold it.
-LEAST_CHI, LEAST_ROWS = 10.0, 5
 BITS = 18
 STEMS = (4, 5, 6, 7, 8)
 LENGTHS = 24
 FACTORS = 8
+#: Factor of all values.
+SCALE = 0.55
 # Separators of terms: every ASCII byte that is no letter or digit.
 TERM_SEP = np.zeros(256, bool)
 TERM_SEP[:128] = True
@@ -50,9 +55,9 @@ for _lo, _hi in ((48, 58), (65, 91), (97, 123)):
     TERM_SEP[_lo:_hi] = False
 
 
-def hashed_terms(data: np.ndarray, offs: np.ndarray, keep: np.ndarray | None = None):
+def hashed_terms(data: np.ndarray, offs: np.ndarray):
     """Row, slot and count of every distinct hashed term, sorted by row, and the
-    number of words per row. ``keep``: table of the slots that matter (None: all)."""
+    number of words per row."""
     starts, ends, rows = U.word_spans(data, offs, TERM_SEP)
     lo, hi = int(offs[0]), int(offs[-1])
     pw, inv = U.powers(U.BASE_A, hi - lo + 1)
@@ -71,38 +76,42 @@ def hashed_terms(data: np.ndarray, offs: np.ndarray, keep: np.ndarray | None = N
         end = ends[some] - lo if stem == 0 else at[some] + stem
         h = (acc[end] - acc[at[some]]) * inv[at[some]]
         slot = (U.mix(h + U.U64(stem)) >> U.U64(64 - BITS)).astype(np.int64)
-        if keep is not None:
-            hit = keep[slot]
-            slot, some = slot[hit], some[hit]
         found.append(owner[some] << BITS | slot)
     key, count = np.unique(np.concatenate(found), return_counts=True)
     return key >> BITS, key & ((1 << BITS) - 1), count, words
 
 
+def inverse_frequencies(slot: np.ndarray, rows: int) -> np.ndarray:
+    """Of every slot of the table, from one entry per row that holds it."""
+    df = np.bincount(slot, minlength=1 << BITS)
+    return np.where(df > 0, np.log((rows + 1.0) / np.maximum(df, 1)), 0).astype(np.float32)
+
+
+def values(idf: np.ndarray, slot: np.ndarray, count: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Values of the terms of rows that start at ``first`` (the last entry is the end)."""
+    x = (1 + np.log(count, dtype=np.float32)) * idf[slot]
+    lens = np.diff(first)
+    norm = np.bincount(np.repeat(np.arange(len(lens)), lens), x * x, minlength=len(lens)) ** 0.25
+    return (SCALE * x / np.repeat(np.where(norm > 0, norm, 1), lens)).astype(np.float32)
+
+
+def length_slot(words: np.ndarray) -> np.ndarray:
+    return (1 << BITS) + np.minimum(np.log2(words + 1.0), LENGTHS - 1).astype(np.int64)
+
+
 @dataclass
 class FactorizationMachine:
-    """``index`` maps a slot to a term of the model or -1; the last ``LENGTHS``
-    rows of ``weights`` and ``factors`` stand for the length of a text."""
-    index: np.ndarray
+    """``weights`` and ``factors`` of every slot of the table; the last ``LENGTHS`` rows
+    stand for the length of a text. ``slope`` and ``shift`` make the margin a probability."""
+    idf: np.ndarray
     bias: float
     weights: np.ndarray
     factors: np.ndarray
-
-    def rows(self, row: np.ndarray, slot: np.ndarray, count: np.ndarray, words: np.ndarray):
-        """Terms of the model in each row: (first position per row, term, value)."""
-        term = self.index[slot]
-        some = term >= 0
-        row, term, value = row[some], term[some], 1 + np.log(count[some])
-        n = len(words)
-        size = np.minimum(np.log2(words + 1.0), LENGTHS - 1).astype(np.int64) + len(self.weights) - LENGTHS
-        row = np.concatenate([row, np.arange(n)])
-        order = np.argsort(row, kind="stable")
-        term = np.concatenate([term, size])[order]
-        value = np.concatenate([value, np.ones(n)])[order]
-        return np.searchsorted(row[order], np.arange(n)), term, value
+    slope: float = 1.0
+    shift: float = 0.0
 
     def margins(self, first: np.ndarray, term: np.ndarray, value: np.ndarray):
-        """Scores before the logistic, and the parts that the gradient needs."""
+        """Margins of the rows that start at ``first``, and the parts that the gradient needs."""
         if not len(first):
             return np.zeros(0), None, None
         v = self.factors[term] * value[:, None]
@@ -111,55 +120,106 @@ class FactorizationMachine:
         line = np.add.reduceat(self.weights[term] * value, first)
         return self.bias + line + 0.5 * ((total * total).sum(axis=1) - square), total, v
 
+    def raw(self, row: np.ndarray, slot: np.ndarray, count: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Margin of every row."""
+        first = np.searchsorted(row, np.arange(len(words) + 1))
+        return self.margins(*with_length(first, slot, values(self.idf, slot, count, first), words))[0]
+
     def scores(self, row, slot, count, words) -> np.ndarray:
-        return logistic(self.margins(*self.rows(row, slot, count, words))[0])
+        return logistic(self.slope * self.raw(row, slot, count, words).astype(np.float64) + self.shift)
 
     def score_texts(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
         out = [np.zeros(0)]
-        keep = self.index >= 0
         for i, j in U.chunks(offs):
-            out.append(self.scores(*hashed_terms(data, offs[i:j + 1], keep)))
+            out.append(self.scores(*hashed_terms(data, offs[i:j + 1])))
         return np.concatenate(out)
 
     @classmethod
-    def fit(cls, index: np.ndarray, row, slot, count, words, labels: np.ndarray, epochs: int = 20,
-            batch: int = 128, rate: float = 0.1, decay: float = 1e-4, seed: int = 7) -> FactorizationMachine:
-        """AdaGrad on the log loss over mini-batches."""
-        size = int(index.max(initial=-1)) + 1 + LENGTHS
-        share = (labels.sum() + 0.5) / (len(labels) + 1.0)
-        model = cls(index, float(np.log(share / (1 - share))), np.zeros(size), np.zeros((size, FACTORS)))
-        if not 0 < labels.sum() < len(labels):
+    def fit(cls, row, slot, count, words, labels: np.ndarray, epochs: int = 8, batch: int = 128, rate: float = 0.1,
+            decay: float = 1e-3, seed: int = 7) -> FactorizationMachine:
+        """AdaGrad on the log loss over mini-batches of four fifths of the rows, then
+        calibration on the others."""
+        size, n = (1 << BITS) + LENGTHS, len(labels)
+        share = (labels.sum() + 0.5) / (n + 1.0)
+        idf = inverse_frequencies(slot, n)
+        model = cls(idf, float(np.log(share / (1 - share))), np.zeros(size, np.float32), np.zeros((size, FACTORS), np.float32))
+        if not 0 < labels.sum() < n:
             return model
         rng = np.random.default_rng(seed)
-        model.factors = rng.normal(0, 0.05, (size, FACTORS))
-        first, term, value = model.rows(row, slot, count, words)
-        last = np.append(first[1:], len(term))
-        gw, gv, gb = np.full(size, 1e-2), np.full((size, FACTORS), 1e-2), 1e-2
+        first = np.searchsorted(row, np.arange(n + 1))
+        value = values(idf, slot, count, first)
+        rows = rng.permutation(n)
+        kept_back, learnt = rows[:n // 5], rows[n // 5:]
+        model.factors = rng.normal(0, 0.02, (size, FACTORS)).astype(np.float32)
+        gw, gv, gb = np.full(size, 1e-2, np.float32), np.full((size, FACTORS), 1e-2, np.float32), 1e-2
+
+        def part(pick: np.ndarray):
+            lens = first[pick + 1] - first[pick]
+            begin = np.append(0, np.cumsum(lens))
+            at = np.repeat(first[pick] - begin[:-1], lens) + np.arange(begin[-1])
+            return with_length(begin, slot[at], value[at], words[pick])
+
         for _ in range(epochs):
-            order = rng.permutation(len(labels))
-            for k in range(0, len(order), batch):
-                pick = order[k:k + batch]
-                lens = last[pick] - first[pick]
-                begin = np.cumsum(lens) - lens
-                at = np.repeat(first[pick] - begin, lens) + np.arange(lens.sum())
-                owner = np.repeat(np.arange(len(pick)), lens)
-                t, x = term[at], value[at]
+            rng.shuffle(learnt)
+            for k in range(0, len(learnt), batch):
+                pick = learnt[k:k + batch]
+                begin, t, x = part(pick)
                 z, total, v = model.margins(begin, t, x)
-                err = logistic(z) - labels[pick]
-                pull = (err[owner] * x) / len(pick)
-                g1 = np.bincount(t, pull, minlength=size) + decay * model.weights
+                err = ((logistic(z) - labels[pick]) / len(pick)).astype(np.float32)
+                owner = np.repeat(np.arange(len(pick)), np.diff(np.append(begin, len(t))))
+                pull = err[owner] * x
+                u, at = np.unique(t, return_inverse=True)
                 pair = pull[:, None] * (total[owner] - v)
-                g2 = np.stack([np.bincount(t, pair[:, f], minlength=size) for f in range(FACTORS)], axis=1)
-                g2 += decay * model.factors
-                gw += g1 * g1
-                gv += g2 * g2
-                gb += float(err.mean()) ** 2
-                model.weights -= rate * g1 / np.sqrt(gw)
-                model.factors -= 0.3 * rate * g2 / np.sqrt(gv)
-                model.bias -= 0.1 * rate * float(err.mean()) / gb ** 0.5
+                g1 = np.bincount(at, pull).astype(np.float32) + decay * model.weights[u]
+                g2 = np.stack([np.bincount(at, pair[:, f]) for f in range(FACTORS)], axis=1).astype(np.float32)
+                g2 += decay * model.factors[u]
+                gw[u] += g1 * g1
+                gv[u] += g2 * g2
+                gb += float(err.sum()) ** 2
+                model.weights[u] -= rate * g1 / np.sqrt(gw[u])
+                model.factors[u] -= 0.3 * rate * g2 / np.sqrt(gv[u])
+                model.bias -= 0.1 * rate * float(err.sum()) / gb ** 0.5
+        margin = [model.margins(*part(kept_back[k:k + 1024]))[0] for k in range(0, len(kept_back), 1024)]
+        model.slope, model.shift = calibration(np.concatenate([np.zeros(0), *margin]), labels[kept_back])
         return model
 
 
+def with_length(first: np.ndarray, slot: np.ndarray, value: np.ndarray, words: np.ndarray):
+    """The rows' terms with the length term before each row's others."""
+    n = len(words)
+    begin = first[:-1] + np.arange(n)
+    term, x = np.empty(len(slot) + n, np.int64), np.full(len(slot) + n, SCALE, np.float32)
+    other = np.ones(len(term), bool)
+    other[begin] = False
+    term[begin], term[other], x[other] = length_slot(words), slot, value
+    return begin, term, x
+
+
+def calibration(margin: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of the logistic curve that fits the labels best (targets a little
+    inside 0 and 1); 1 and 0 without both labels or where the margin doesn't rise with them."""
+    pos = labels.sum()
+    if not 0 < pos < len(labels):
+        return 1.0, 0.0
+    spread = float(margin.std()) or 1.0
+    x = np.stack([margin / spread, np.ones(len(margin))])
+    want = np.where(labels == 1, (pos + 1) / (pos + 2), 1 / (len(labels) - pos + 2))
+    w = np.array([1.0, 0.0])
+
+    def loss(w: np.ndarray) -> float:
+        z = w @ x
+        return float((np.logaddexp(0, z) - want * z).sum() + 1e-3 * (w @ w))
+
+    for _ in range(50):
+        p = logistic(w @ x)
+        step = np.linalg.solve((x * (p * (1 - p))) @ x.T + 2e-3 * np.eye(2), x @ (p - want) + 2e-3 * w)
+        size = 1.0
+        while size > 1e-6 and loss(w - size * step) > loss(w):
+            size /= 2
+        w = w - size * step
+    return (float(w[0] / spread), float(w[1])) if w[0] > 0 else (1.0, 0.0)
+
+
 def logistic(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
@@ -179,9 +239,11 @@ def learning_rows(labels: DataFrame, label: str, max_rows: int) -> DataFrame:
 
 def labelled_texts(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, features: Callable, schema: str) -> DataFrame:
     """Features of the learning rows' texts (columns label, id, text in). The row
-    set is bounded, so it is broadcast."""
+    set is bounded, so it is broadcast; of several texts of one id the one with the
+    smallest hash counts, picked before the shuffle, so a hot id stays one row."""
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return src.join(F.broadcast(rows), "id").select("label", "id", "text").mapInArrow(features, schema)
+    one = src.join(F.broadcast(rows), "id").groupBy("label", "id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return one.select("label", "id", "text").mapInArrow(features, schema)
 
 
 def _terms(batches):
@@ -198,45 +260,34 @@ def _terms(batches):
 
 
 def fit_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
-                 max_terms: int = MAX_TERMS, label: str = "toxic", id_col: str = "doc_id",
-                 text_col: str = "text") -> FactorizationMachine:
-    """Fit on the labelled documents outside the held-out fold."""
+                 label: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> FactorizationMachine:
+    """Fit on the labelled documents outside the held-out fold: at most ``max_rows``
+    rows, in one task, which returns the model."""
     s = U.Scratch(spark, "toxicity")
     sample = s.save(labelled_texts(docs, learning_rows(labels, label, max_rows), id_col, text_col, _terms,
                                    "label int, id bigint, words bigint, slots array<int>, counts array<int>"), "sample")
-    # at most one row per slot of the table
-    seen = (sample.select("label", F.explode("slots").alias("slot")).groupBy("slot")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos")).toPandas())
-    rows, pos = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
-    n, a = seen["n"].to_numpy(float), seen["pos"].to_numpy(float)
-    base = pos / max(rows, 1)
-    chi = (a - n * base) ** 2 / np.maximum(n * base * (1 - base), 1e-9) / np.maximum(1 - n / max(rows, 1), 1e-9)
-    good = np.flatnonzero((n >= LEAST_ROWS) & (chi >= LEAST_CHI))
-    slot = seen["slot"].to_numpy()
-    good = good[np.lexsort((slot[good], -chi[good]))][:max_terms]
-    index = np.full(1 << BITS, -1, np.int32)
-    index[slot[good]] = np.arange(len(good))
-
-    def chosen(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), b.column(2), *_only(b.column(3), b.column(4), index >= 0)], names=b.schema.names)
-
-    got = sample.mapInArrow(chosen, sample.schema).toPandas().sort_values(["id", "words"])
-    sizes = got["slots"].map(len).to_numpy(dtype=np.int64) if len(got) else np.zeros(0, np.int64)
-    row = np.repeat(np.arange(len(got)), sizes)
-    flat = [np.concatenate([np.zeros(0, np.int64), *got[c]]).astype(np.int64) for c in ("slots", "counts")]
-    return FactorizationMachine.fit(index, row, flat[0], flat[1], got["words"].to_numpy(dtype=np.int64),
-                                    got["label"].to_numpy(dtype=np.float64))
-
-
-def _only(slots: pa.Array, counts: pa.Array, keep: np.ndarray) -> list[pa.Array]:
-    """Both lists cut down to the kept slots."""
-    flat, tf = slots.flatten().to_numpy(), counts.flatten().to_numpy()
-    owner = np.repeat(np.arange(len(slots)), slots.value_lengths().to_numpy(zero_copy_only=False))
-    hit = keep[flat]
-    lens = np.bincount(owner[hit], minlength=len(slots))
-    return [U.list_column(x[hit], lens, pa.int32()) for x in (flat, tf)]
+    fitted = sample.coalesce(1).mapInArrow(_fit, "model binary").collect()
+    s.drop("sample")
+    return pickle.loads(fitted[0].model) if fitted else FactorizationMachine.fit(*[np.zeros(0, np.int64)] * 4, np.zeros(0))
+
+
+def _fit(batches):
+    """Arrow task: all learning rows, ordered by id, to the model."""
+    parts = [b for b in batches if b.num_rows]
+    if not parts:
+        return
+    label, ids, words = (np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in parts]) for i in range(3))
+    slot, count = (np.concatenate([b.column(i).flatten().to_numpy() for b in parts]) for i in (3, 4))
+    lens = np.concatenate([b.column(3).value_lengths().to_numpy() for b in parts]).astype(np.int64)
+    del parts
+    order = np.argsort(ids, kind="stable")
+    first = np.cumsum(lens) - lens
+    lens, words, label = lens[order], words[order], label[order].astype(np.float64)
+    at = np.repeat(first[order] - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())
+    slot, count = slot[at], count[at]
+    del at
+    model = FactorizationMachine.fit(np.repeat(np.arange(len(lens)), lens), slot, count, words, label)
+    yield pa.RecordBatch.from_arrays([U.blob_column([pickle.dumps(model)])], names=["model"])
 
 
 def score_toxicity(docs: DataFrame, model: FactorizationMachine, id_col: str = "doc_id",

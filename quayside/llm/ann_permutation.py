@@ -20,9 +20,10 @@ from a bounded sample (``pivots`` rows with the smallest id hashes); every row i
 indexed. Recall against brute force is measured in the tests (``recall``).
 
 Defined results: vectors that are null, empty, zero or hold a null or non-finite
-component, rows with a null id, and vectors whose dimension isn't that of the
-smallest valid id take no part; of repeated ids one row counts; with at most
-``k`` candidates all are returned; an empty table gives no rows.
+component and rows with a null id take no part; vectors meet those of their own
+dimension, which have an index to themselves (an inner product needs equal dimensions);
+of repeated ids one row counts; with at most ``k`` candidates all are returned; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -127,10 +128,6 @@ def nearest(spark: SparkSession, vectors: DataFrame, k: int = 20, every: int = 2
     s = U.Scratch(spark, "ann")
     src = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
     base = s.save(src.mapInArrow(_valid, "id bigint, sig binary, dim int, norm2 double, vec binary"), "base")
-    head = base.agg(F.min_by("dim", "id")).first()[0]
-    if head is None:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    base = base.where(F.col("dim") == head).drop("dim")
     # of repeated ids, the row with the smallest signature counts
     ids = s.save(base.groupBy("id").agg(F.min("sig").alias("sig")), "ids")
     entries = s.save(ids.groupBy("sig").agg(F.min("id").alias("uid")), "entries")
@@ -139,18 +136,36 @@ def nearest(spark: SparkSession, vectors: DataFrame, k: int = 20, every: int = 2
     members = ids.withColumn("n", place).where(F.col("n") <= k + 1).join(entries, "sig").select("uid", F.col("id").alias("vec_id"))
     members = s.save(members, "members")
 
-    unique = (base.join(entries.select("sig", F.col("uid").alias("id"), "uid"), ["sig", "id"]).select("uid", "norm2", "vec")
+    unique = (base.join(entries.select("sig", F.col("uid").alias("id"), "uid"), ["sig", "id"]).select("uid", "dim", "norm2", "vec")
               .withColumn("n", F.row_number().over(W.partitionBy("uid").orderBy("norm2"))).where("n = 1").drop("n"))
-    total, top = unique.agg(F.count(F.lit(1)), F.max("norm2")).first()
+    unique = s.save(unique, "unique")
+    asked = ids.where(F.col("id") % every == 0).join(entries, "sig").select("uid", F.col("id").alias("query_id"))
+    asked = s.save(asked, "asked")
+    found = spark.createDataFrame([], "query bigint, uid bigint, score double")
+    # one row per dimension
+    for dim, total, top in unique.groupBy("dim").agg(F.count(F.lit(1)), F.max("norm2")).orderBy("dim").collect():
+        own = unique.where(F.col("dim") == dim).drop("dim")
+        found = found.unionByName(_search_all(s, own, asked, dim, total, top, k, pivots, prefix, share))
+    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return (asked.join(found.withColumnRenamed("uid", "near"), F.col("uid") == F.col("query")).drop("uid", "query")
+            .join(members.withColumnRenamed("uid", "near"), "near").where("vec_id <> query_id")
+            .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score"))
+
+
+def _search_all(s: U.Scratch, unique: DataFrame, asked: DataFrame, dim: int, total: int, top: float, k: int,
+                pivots: int, prefix: int, share: float) -> DataFrame:
+    """``query, uid, score``: the best entries found for the asked ones among the ``total``
+    vectors of one dimension, whose largest squared norm is ``top``."""
     picked = unique.orderBy(F.xxhash64("uid"), "uid").limit(pivots).toPandas().sort_values("uid")
-    p = _matrix(picked["vec"], head)
+    p = _matrix(picked["vec"], dim)
     p_extra = np.sqrt(np.maximum(top - picked["norm2"].to_numpy(), 0))
     prefix = min(prefix, len(p))
     blocks = max(LEAST_BLOCKS, -(-total // BLOCK_ROWS))
 
     def index(batches):
         for b in batches:
-            x = _matrix(b.column(2).to_pylist(), head)
+            x = _matrix(b.column(2).to_pylist(), dim)
             n2 = b.column(1).to_numpy(zero_copy_only=False)
             as_row = nearest_pivots(x, np.sqrt(np.maximum(top - n2, 0)), p, p_extra, prefix)
             as_query = nearest_pivots(x, np.zeros(len(x)), p, p_extra, prefix)
@@ -158,12 +173,10 @@ def nearest(spark: SparkSession, vectors: DataFrame, k: int = 20, every: int = 2
                 [b.column(0), b.column(2), *[pa.array([r.tobytes() for r in o], pa.binary()) for o in (as_row, as_query)]],
                 names=["uid", "vec", "row_line", "query_line"])
 
-    idx = s.save(unique.mapInArrow(index, "uid bigint, vec binary, row_line binary, query_line binary"), "index")
-    asked = ids.where(F.col("id") % every == 0).join(entries, "sig").select("uid", F.col("id").alias("query_id"))
-    asked = s.save(asked, "asked")
+    idx = s.save(unique.mapInArrow(index, "uid bigint, vec binary, row_line binary, query_line binary"), f"index{dim}")
     asks = (idx.join(asked.select("uid").distinct(), "uid", "left_semi")
             .select(F.col("uid").alias("quid"), F.col("vec").alias("qvec"), F.col("query_line").alias("qline")))
-    slices = max(1, -(-asked.select("uid").distinct().count() // BLOCK_QUERIES))
+    slices = max(1, -(-asks.count() // BLOCK_QUERIES))
 
     def deal(col: str, n: int):
         return F.pmod(F.xxhash64(col, F.lit(n)), F.lit(n)).cast("int")
@@ -174,15 +187,10 @@ def nearest(spark: SparkSession, vectors: DataFrame, k: int = 20, every: int = 2
     left = idx.select("uid", "vec", F.col("row_line").alias("line"), deal("uid", blocks).alias("b"), every_of(slices).alias("q"))
     right = asks.select("*", deal("quid", slices).alias("q"), every_of(blocks).alias("b"))
     found = (left.groupBy("b", "q").cogroup(right.groupBy("b", "q"))
-             .applyInPandas(_search(head, len(p), prefix, share, k), "query bigint, uid bigint, score double"))
+             .applyInPandas(_search(dim, len(p), prefix, share, k), "query bigint, uid bigint, score double"))
     # k + 1 entries of each query suffice: its own entry may hold the query alone
-    found = s.save(found.withColumn("n", F.rank().over(W.partitionBy("query").orderBy(F.desc("score"))))
-                   .where(F.col("n") <= k + 1).drop("n"), "found")
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (asked.join(found.withColumnRenamed("uid", "near"), F.col("uid") == F.col("query")).drop("uid", "query")
-            .join(members.withColumnRenamed("uid", "near"), "near").where("vec_id <> query_id")
-            .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    return s.save(found.withColumn("n", F.rank().over(W.partitionBy("query").orderBy(F.desc("score"))))
+                  .where(F.col("n") <= k + 1).drop("n"), f"found{dim}")
 
 
 def recall(found: DataFrame, vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id",

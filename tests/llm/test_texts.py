@@ -329,6 +329,22 @@ def test_nearest_edges(spark, rows, n):
     assert nearest(spark, vectors(spark, rows)).count() == n
 
 
+def test_every_dimension_has_its_own_index(spark):
+    rng = np.random.default_rng(9)
+    rows = [(0, [1.0, 2.0])] + [(i, rng.normal(size=8).astype("f4").tolist()) for i in range(1, 61)]
+    rows += [(100 + i, rng.normal(size=3).astype("f4").tolist()) for i in range(1, 41)]
+    rows += [(140, [1.0, 0.0]), (141, [0.0, 1.0]), (142, [0.0, 1.0]), (200, [5.0])]
+    got = {}
+    for r in sorted(nearest(spark, vectors(spark, rows), k=20).collect()):
+        got.setdefault(r.query_id, []).append((r.vec_id, round(r.score, 9)))
+    want = {}
+    for q, x in rows:
+        found = sorted((-float(np.dot(x, v)), i) for i, v in rows if i != q and len(v) == len(x)) if q % 20 == 0 else []
+        if found:
+            want[q] = [(i, round(-s, 9)) for s, i in found[:20]]
+    assert got == want and 200 not in got and len(got[0]) == 3 and len(got[20]) == 20
+
+
 def test_recall_and_norms(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(3000, 32)) * rng.uniform(0.2, 3, (3000, 1))  # the inner product is not the angle here

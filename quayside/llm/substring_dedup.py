@@ -4,13 +4,16 @@ A *window* is ``window`` consecutive words of one document. Every word covered b
 a window whose word sequence also starts in a document with a smaller id is
 removed (all windows are judged on the input).
 
-Method: look for repeated short windows first and extend only those.
-
-* Level 1, length ``window / 2``: of the short windows inside each full window
-  the one with the smallest hash stands for it. Equal full windows choose equal
-  short ones, so a full window can only repeat if its short window occurs in two
-  different documents; about one position in 13 is counted instead of all.
-* Level 2, twice that length: only full windows whose short window repeats are
+Method: look for repeated short windows first and extend only those, level by level,
+at lengths that double up to the window (``lengths``), until none survives.
+
+* At a length below the window, the short window with the smallest hash stands for
+  the full window around it. Equal full windows choose equal short ones, so a full
+  window can only repeat if its short window occurs in two different documents. The
+  first level counts the short windows of every full window (about one position in
+  20 at a quarter of the length); each later level only those of full windows whose
+  short window repeated at the level before.
+* The last length is the window itself: full windows whose short window repeats are
   hashed (128 bits) and grouped to the smallest id that holds them.
 * A longer repeated window is covered by its repeated windows of the asked
   length, so a further doubling changes no removed word and none is run.
@@ -35,7 +38,6 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quayside.llm import util as U
@@ -59,6 +61,11 @@ def _stand_ins(h: np.ndarray, window: int, short: int) -> np.ndarray:
     return sliding_min(U.window_hashes(h, short), window - short + 1)
 
 
+def lengths(window: int) -> list[int]:
+    """Window lengths of the levels; each is at most twice the one before."""
+    return sorted({-(-window // 4), -(-window // 2), window})
+
+
 def _runs(values: np.ndarray) -> np.ndarray:
     """First value of every run of equal values, without repeats."""
     if not len(values):
@@ -104,30 +111,45 @@ def _fetch(only: np.ndarray):
     return run
 
 
+def _survivors(b: pa.RecordBatch, window: int, short: int):
+    """Of a batch (id, text, repeated shorts), by pieces of rows: the range of rows, the
+    bounds of their texts, word hashes, first words, and the starts of the full windows
+    that a repeated short window stands for."""
+    data, offs = U.text_buffers(b.column(1))
+    shorts = b.column(2)
+    so = shorts.offsets.to_numpy()
+    sv = shorts.values.to_numpy(zero_copy_only=False).view(U.U64)
+    for i, j in U.chunks(offs):
+        part = offs[i:j + 1]
+        h, rows = U.word_hashes(data, part)
+        m = _stand_ins(h, window, short)
+        ok = np.zeros(len(m), bool)
+        for a, e in zip(rows[:-1], rows[1:] - window + 1, strict=True):
+            ok[a:max(e, a)] = True
+        ok &= np.isin(m, np.unique(sv[so[i]:so[j]]))
+        yield i, j, data, part, h, rows, np.flatnonzero(ok)
+
+
+def _double(window: int, short: int, length: int):
+    """Arrow task: (id, text, repeated shorts) to the short windows of the next length."""
+    def run(batches):
+        for b in batches:
+            for i, j, _, _, h, rows, at in _survivors(b, window, short):
+                m = _stand_ins(h, window, length)[at] if len(at) else np.zeros(0, U.U64)
+                cut = np.searchsorted(at, rows)
+                lists = [_runs(m[x:y]) for x, y in zip(cut[:-1], cut[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(i, j - i), U.list_column(U.signed(np.concatenate(lists)), np.array([len(x) for x in lists]), pa.int64())],
+                    names=["id", "shorts"])
+    return run
+
+
 def _extend(window: int, short: int):
     """Arrow task: (id, text, repeated shorts) to the full windows they stand for."""
     def run(batches):
         for b in batches:
-            data, offs = U.text_buffers(b.column(1))
-            shorts = b.column(2)
-            so = shorts.offsets.to_numpy()
-            sv = shorts.values.to_numpy(zero_copy_only=False).view(U.U64)
-            for i, j in U.chunks(offs):
-                part = offs[i:j + 1]
-                h, rows = U.word_hashes(data, part)
+            for i, j, data, part, h, rows, at in _survivors(b, window, short):
                 g, _ = U.word_hashes(data, part, base=U.BASE_B)
-                m = _stand_ins(h, window, short)
-                live = np.unique(sv[so[i]:so[j]])
-                ok = np.zeros(len(m), bool)
-                for r in range(j - i):
-                    a, e = int(rows[r]), int(rows[r + 1]) - window + 1
-                    ok[a:max(e, a)] = True
-                if len(live) and len(m):
-                    near = np.minimum(np.searchsorted(live, m), len(live) - 1)
-                    ok &= live[near] == m
-                else:
-                    ok[:] = False
-                at = np.flatnonzero(ok)
                 one = U.window_hashes(h, window)[at] if len(at) else np.zeros(0, U.U64)
                 two = U.window_hashes(g, window, base=U.BASE_A)[at] if len(at) else np.zeros(0, U.U64)
                 cut = np.searchsorted(at, rows)
@@ -167,6 +189,13 @@ def _cut(window: int):
     return run
 
 
+def _repeated(s: U.Scratch, marks: DataFrame, length: int) -> DataFrame:
+    """(id, shorts): the short windows of ``marks`` (id, h) that another id holds too."""
+    twice = marks.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h")
+    twice = s.save(twice, f"repeated-{length}")  # a stored side lets Spark split a hot key of the join
+    return s.save(marks.join(twice, "h").groupBy("id").agg(F.collect_set("h").alias("shorts")), f"live-{length}")
+
+
 def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = 50, id_col: str = "doc_id",
                     text_col: str = "text", texts: bool = True) -> DataFrame:
     """One row per input row: ``doc_id, n_words, n_removed, kept_sha256`` and, with
@@ -175,23 +204,32 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = 50, id_c
     SHA-256 of the input's words joined by one space."""
     s = U.Scratch(spark, "substring")
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    short = (window + 1) // 2
+    levels = lengths(window)
+    short = levels[0]
     base = s.save(src.mapInArrow(_scan(window, short), "id bigint, sig binary, n bigint, shorts array<bigint>"), "base")
     classes = base.where("id is not null").groupBy("sig").agg(F.min("id").alias("rep"))
     classes = s.save(classes, "classes")
 
-    # level 1: short windows that occur in two classes
+    # the first level: short windows that occur in two classes
     firsts = base.where(F.size("shorts") > 0).select("sig", "id", "shorts").join(
         classes.select("sig", F.col("rep").alias("id")), ["sig", "id"], "left_semi")
-    marks = firsts.select("id", F.explode("shorts").alias("h"))
-    twice = marks.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h")
-    twice = s.save(twice, "repeated-shorts")  # a stored side lets Spark split a hot key of the join
-    live = s.save(marks.join(twice, "h").groupBy("id").agg(F.collect_set("h").alias("shorts")), "live")
-
-    # level 2: full windows that a repeated short window stands for
+    live = _repeated(s, firsts.select("id", F.explode("shorts").alias("h")), short)
     texts_ = s.save(src.mapInArrow(_fetch(U.id_filter(live, "id")), "id bigint, sig binary, text string")
                     .join(classes.select("sig", F.col("rep").alias("id")), ["sig", "id"], "left_semi")
-                    .join(live, "id"), "texts")
+                    .join(live.select("id"), "id", "left_semi"), "texts")
+
+    # twice the length, for what repeats, until nothing does or the window is reached
+    for length in levels[1:-1]:
+        if live.isEmpty():
+            break
+        found = s.save(texts_.select("id", "text").join(live, "id").select("id", "text", "shorts")
+                       .mapInArrow(_double(window, short, length), "id bigint, shorts array<bigint>"), f"shorts-{length}")
+        live, short = _repeated(s, found.select("id", F.explode("shorts").alias("h")), length), length
+        s.drop(f"shorts-{length}")
+
+    # the last level: full windows that a repeated short window stands for
+    texts_ = s.save(texts_.join(live, "id"), "open")
+    s.drop("texts")
     # the class goes along: one id may stand for several texts
     wins = (texts_.select(F.struct("id", "sig").alias("id"), "text", "shorts")
             .mapInArrow(_extend(window, short), "id struct<id: bigint, sig: binary>, pos array<int>, one array<bigint>, two array<bigint>")

@@ -13,7 +13,7 @@ from quayside.llm import util as U
 from quayside.llm.components import components
 from quayside.llm.exact_dedup import FuseFilter, exact_dedup
 from quayside.llm.jaccard_join import jaccard_components
-from quayside.llm.substring_dedup import sliding_min, substring_dedup
+from quayside.llm.substring_dedup import lengths, sliding_min, substring_dedup
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 LOW = {c: c + 32 for c in range(65, 91)}
@@ -177,6 +177,27 @@ def test_substring_edges(spark, frame, rows):
     assert collections.Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256, r.kept_text) for r in got) == brute_substring(rows, 2)
 
 
+def test_substring_levels_double():
+    for n in range(1, 300):
+        got = lengths(n)
+        assert got[-1] == n and got == sorted(set(got)) and all(b <= 2 * a for a, b in zip(got, got[1:], strict=False))
+
+
+def test_substring_passages_that_end_at_some_level(spark, frame):
+    """Shared runs that stop repeating before, at and after each level's length."""
+    rows, i = [], 0
+    for n in (5, 12, 13, 14, 24, 25, 26, 37, 49, 50, 51, 99, 101):
+        for _ in range(3):
+            own = [f"x{i}_{k}" for k in range(60)]
+            rows.append((i, " ".join([*own[:25], *(f"s{n}_{k}" for k in range(n)), *own[25:]])))
+            i += 1
+    got = substring_dedup(spark, frame(rows), window=50).collect()
+    assert collections.Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256, r.kept_text) for r in got) == brute_substring(rows, 50)
+    assert {r.n_removed for r in got} == {0, 50, 51, 99, 101}
+    none = substring_dedup(spark, frame(rows[::3]), window=50).collect()  # nothing survives the first level
+    assert {r.n_removed for r in none} == {0} and len(none) == 13
+
+
 def test_id_filter_has_no_false_negatives(spark):
     ids = spark.range(0, 3000, 7)
     f = U.id_filter(ids, "id")

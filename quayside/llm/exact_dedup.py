@@ -155,8 +155,10 @@ def _keys(arr: pa.Array) -> np.ndarray:
 
 
 def group_batch(keyed: DataFrame) -> DataFrame:
-    """Duplicates inside one batch: a row per digest with its smallest id and copies."""
-    return keyed.groupBy("digest").agg(F.min("id").alias("keep"), F.count(F.lit(1)).alias("copies"))
+    """Duplicates inside one batch: a row per digest with its smallest id, one row that has
+    it (any, without ids) and copies."""
+    return keyed.groupBy("digest").agg(F.min("id").alias("keep"), F.coalesce(F.min_by("row", "id"), F.min("row")).alias("keep_row"),
+                                       F.count(F.lit(1)).alias("copies"))
 
 
 def _filters(batches) -> Iterator[pa.RecordBatch]:
@@ -261,9 +263,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     s = U.Scratch(spark, "exact-dedup")
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     part = F.pmod(F.xxhash64("id"), F.lit(batches)).cast("int")
-    twin = F.row_number().over(W.partitionBy("id", "digest").orderBy("part"))
-    keyed = s.save(src.select("id", part.alias("part"), digest(F.col("text")).alias("digest"))
-                   .withColumn("twin", twin), "keyed")
+    # the row number tells repeated rows apart; it holds once the table is written
+    keyed = s.save(src.select("id", part.alias("part"), digest(F.col("text")).alias("digest"),
+                              F.monotonically_increasing_id().alias("row")), "keyed")
     total, snaps = None, []
     for i in range(batches):
         batch = src.where(part == i)
@@ -286,9 +288,10 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     home = F.when(F.col("first") < 0, lead).otherwise(F.col("first"))
     per = W.partitionBy("digest", "home")
     total = (total.withColumn("home", home)
-             .select("digest", "part", F.min("keep").over(per).alias("keep_id"), F.sum("copies").over(per).alias("group_size")))
+             .select("digest", "part", F.min("keep").over(per).alias("keep_id"), F.sum("copies").over(per).alias("group_size"),
+                     F.coalesce(F.min_by("keep_row", "keep").over(per), F.min("keep_row").over(per)).alias("keep_row")))
     total = s.save(total, "kept")  # a stored side lets Spark split a hot text of the join
     return (keyed.join(total, ["digest", "part"])
             .select(F.col("id").alias("doc_id"), "keep_id", "group_size",
-                    (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("twin") == 1)).alias("kept"),
+                    (F.col("row") == F.col("keep_row")).alias("kept"),
                     F.lower(F.hex("digest")).alias("text_sha256")))

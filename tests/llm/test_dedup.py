@@ -80,6 +80,16 @@ def test_exact_dedup(spark, frame, corpus, batches):
     assert all(r.doc_id == r.keep_id for r in got if r.kept)
 
 
+@pytest.mark.parametrize("batches", [1, 3])
+def test_exact_dedup_of_repeated_and_idless_rows(spark, frame, batches):
+    """One row of each text stays, however often a row or an empty id repeats."""
+    rows = [(None, "x")] * 50 + [(None, "y")] * 30 + [(9, "y")] * 4 + [(3, "y"), (3, "y"), (8, "z"), (8, "z"), (8, "w"), (7, "z ")]
+    got = exact_dedup(spark, frame(rows), batches=batches).collect()
+    kept = collections.Counter((r.doc_id, r.text_sha256) for r in got if r.kept)
+    want = [(None, "x"), (3, "y"), (8, "z"), (7, "z "), (8, "w")]
+    assert len(got) == len(rows) and kept == {(i, hashlib.sha256(t.encode()).hexdigest()): 1 for i, t in want}
+
+
 @pytest.mark.parametrize("rows", [[], [(None, None)], [(1, None), (2, "")]])
 def test_exact_dedup_edges(spark, frame, rows):
     got = exact_dedup(spark, frame(rows)).collect()

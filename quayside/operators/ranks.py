@@ -69,20 +69,9 @@ def _side(col: Column, key: SortKey) -> Column:
     return F.struct(col.isNull() if nulls_high else col.isNotNull(), col)
 
 
-def _before(left: dict[str, Column], right: dict[str, Column], keys: Sequence[SortKey]) -> Column:
-    """Does ``left`` sort strictly before ``right``?"""
-    out = F.lit(False)
-    for k in reversed(keys):
-        a, b = _side(left[k.column], k), _side(right[k.column], k)
-        if not k.ascending:
-            a, b = b, a
-        out = (a < b) | ((a == b) & out)
-    return out
-
-
 def _cuts(df: DataFrame, keys: Sequence[SortKey], order: list[Column], buckets: int) -> DataFrame:
     """One row: the sorted cut points, at most ``buckets``, as an array of structs."""
-    cols = [F.col(k.column).alias(f"k{i}") for i, k in enumerate(keys)]
+    cols = [_side(F.col(k.column), k).alias(f"k{i}") for i, k in enumerate(keys)]
     sample = (df.select(*[k.column for k in keys], F.xxhash64(*[k.column for k in keys]).alias("_rank_hash"))
               .orderBy("_rank_hash", *order).limit(buckets * SAMPLE_PER_BUCKET))
     picked = (sample.withColumn("_n", F.row_number().over(Window.orderBy(*order)))
@@ -90,21 +79,24 @@ def _cuts(df: DataFrame, keys: Sequence[SortKey], order: list[Column], buckets:
     return picked.agg(F.array_sort(F.collect_list(F.struct("_n", *cols))).alias("cuts"))
 
 
-def _bucket(cuts: Column, keys: Sequence[SortKey], buckets: int) -> Column:
-    """Number of cut points at or before the row, by binary search."""
-    me = {k.column: F.col(k.column) for k in keys}
-    steps, s = [], 1
-    while s <= buckets:
-        steps.insert(0, s)
-        s *= 2
+def _with_bucket(df: DataFrame, cuts: DataFrame, keys: Sequence[SortKey], buckets: int) -> DataFrame:
+    """``df`` with ``_b``, the number of cut points at or before the row, by binary search.
+    What is compared is made once a row and once a cut point, not in every step."""
+    steps = [1 << i for i in reversed(range(buckets.bit_length()))] or [1]
+    mine = {f"_me{i}": _side(F.col(k.column), k) for i, k in enumerate(keys)}
+    out = df.withColumn("_cuts", cuts.scalar()).withColumns(mine)
 
     def step(acc: Column, width: Column) -> Column:
-        cut = F.get(cuts, acc + width - 1)
-        at = {k.column: cut.getField(f"k{i}") for i, k in enumerate(keys)}
-        inside = acc + width <= F.size(cuts)
-        return F.when(inside & ~_before(me, at, keys), acc + width).otherwise(acc)
+        cut = F.get("_cuts", acc + width - 1)
+        before = F.lit(False)
+        for i, k in reversed(list(enumerate(keys))):
+            me, at = F.col(f"_me{i}"), cut.getField(f"k{i}")
+            before = ((me < at) if k.ascending else (at < me)) | ((me == at) & before)
+        return F.when((acc + width <= F.size("_cuts")) & ~before, acc + width).otherwise(acc)
 
-    return F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0), step)
+    # never NULL: no filter tries the search a second time
+    found = F.coalesce(F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0), step), F.lit(0))
+    return out.withColumn("_b", found).drop("_cuts", *mine)
 
 
 def global_ranks(
@@ -130,7 +122,7 @@ def global_ranks(
     all_keys = [*keys, *[SortKey.asc(t) for t in tie]]
     order, peers = _window_order(keys, tie), _window_order(keys, [])
     cuts = _cuts(df, all_keys, order, buckets)
-    work = df.withColumn("_cuts", cuts.scalar()).withColumn("_b", _bucket(F.col("_cuts"), all_keys, buckets)).drop("_cuts")
+    work = _with_bucket(df, cuts, all_keys, buckets)
 
     in_bucket = Window.partitionBy("_b").orderBy(*order)
     peers_in_bucket = Window.partitionBy("_b").orderBy(*peers)

@@ -150,6 +150,10 @@ class SnapshotTable:
         fs, jvm = self._fs()
         cur, path = self.read(), self.path()
         t = touched.select(*[F.col(p).cast(cur.schema[p].dataType).alias(f"_p_{p}") for p in parts]).distinct()
+        # worked out once, a row per touched partition, for the two passes below
+        touched_at = f"{self.root}/_touched-{uuid.uuid4().hex}"
+        t.write.format(self.fmt).save(touched_at)
+        t = self.spark.read.schema(t.schema).format(self.fmt).load(touched_at)
         mine = cur.join(t, reduce(and_, [F.col(p).eqNullSafe(F.col(f"_p_{p}")) for p in parts]), "left_semi")
         # one row per touched partition and directory: metadata
         dirs = mine.select(*parts, F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("_dir")).distinct().collect()
@@ -162,7 +166,8 @@ class SnapshotTable:
         for r in dirs:
             if tuple(r)[:-1] not in filled:  # every row of it is gone
                 fs.delete(jvm.org.apache.hadoop.fs.Path(r["_dir"]), True)
-        fs.delete(jvm.org.apache.hadoop.fs.Path(staged_at), True)
+        for at in (staged_at, touched_at):
+            fs.delete(jvm.org.apache.hadoop.fs.Path(at), True)
         self.spark.catalog.refreshByPath(path)
         return self.read()
 
@@ -210,7 +215,7 @@ class SnapshotTable:
         cur, parts = self.read(), self.partition_columns()
         if not parts or set(source.columns) - set(cur.columns):  # new columns: every file gets them
             return self.commit(merge_upsert(cur, source, keys, order_cols), parts)
-        new = source.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
+        new = source.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
         same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
         touched = cur.join(new, same, "left_semi").select(*parts).union(
             source.select(*[F.col(p).cast(cur.schema[p].dataType) for p in parts]))

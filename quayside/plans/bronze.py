@@ -30,12 +30,13 @@ def ingest_to_bronze(spark: SparkSession, landing_path: str, entity: str, target
     """Load one entity; returns (bronze table as read back, mode used). ``name``: the
     table's name in the catalog."""
     route = load_routing(spark, target_root, load_type, merge_keys, entity)
-    enriched = L.bronze_enrich(L.scan_contract(spark, landing_path, entity, fmt), loaded_at=loaded_at)
+    scanned = L.scan_contract(spark, landing_path, entity, fmt)
     table = BucketedTable(spark, target_root, route["merge_keys"], name, fmt)
-    if route["mode"] == "full":
-        out = table.replace(enriched, bucket_count(spark, landing_path))
+    if route["mode"] == "full":  # the file's name moves with the row, load time and hash are added where it is written
+        out = table.replace(L.with_lineage(scanned), bucket_count(spark, landing_path),
+                            lambda df: L.bronze_audit(df, scanned.columns, loaded_at))
     else:
-        out = table.merge(enriched, ["_bronze_loaded_at"])
+        out = table.merge(L.bronze_enrich(scanned, loaded_at=loaded_at), ["_bronze_loaded_at"])
     return out, route["mode"]
 
 

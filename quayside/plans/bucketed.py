@@ -22,7 +22,7 @@ from __future__ import annotations
 import hashlib
 import re
 import threading
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 from functools import reduce
 from operator import and_
@@ -39,11 +39,11 @@ BUCKET_BYTES = 256 << 20
 LEAST_BUCKETS, MOST_BUCKETS = 16, 1 << 16
 
 
-def bucket_count(spark: SparkSession, path: str, bucket_bytes: int = BUCKET_BYTES) -> int:
+def bucket_count(spark: SparkSession, path: str, bucket_bytes: int = BUCKET_BYTES, least: int = LEAST_BUCKETS) -> int:
     """Buckets of about ``bucket_bytes`` for the files under ``path``, a power of two."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     size = at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
-    return min(max(LEAST_BUCKETS, 1 << (size // bucket_bytes).bit_length()), MOST_BUCKETS)
+    return min(max(least, 1 << (size // bucket_bytes).bit_length()), MOST_BUCKETS)
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
@@ -74,6 +74,10 @@ def add_columns(spark: SparkSession, table: str, columns: dict[str, str], commen
     spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(column(n, k) for n, k in columns.items())})")
 
 
+def _last(df: DataFrame, column: str) -> DataFrame:
+    return df.select(*[f"`{c}`" for c in df.columns if c != column], column)
+
+
 class BucketedTable:
     """A keyed table at ``path``, in the catalog as ``name`` (default: made from the path)."""
 
@@ -105,14 +109,15 @@ class BucketedTable:
         table = self._table()
         return table.drop(self._bucket(table)[0])
 
-    def replace(self, df: DataFrame, buckets: int) -> DataFrame:
-        """Full load: ``df`` becomes the table, dealt into ``buckets``."""
+    def replace(self, df: DataFrame, buckets: int, finish: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+        """Full load: ``df`` becomes the table, dealt into ``buckets``. ``finish`` (row by row)
+        adds columns to the dealt rows, so that those don't move."""
         column = f"{PREFIX}{buckets}"
         if "." in self.name:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.name.split('.')[0]}")
         with overwrite_mode(self.spark, "static"):
-            (df.withColumn(column, bucket_of(self.keys, buckets)).hint("rebalance", F.col(column))
-             .write.format(self.fmt).mode("overwrite").partitionBy(column).option("path", self.path).saveAsTable(self.name))
+            dealt = df.withColumn(column, bucket_of(self.keys, buckets)).hint("rebalance", F.col(column))
+            (_last(finish(dealt) if finish else dealt, column).write.format(self.fmt).mode("overwrite").partitionBy(column).option("path", self.path).saveAsTable(self.name))
         return self.read()
 
     def matching(self, source: DataFrame) -> DataFrame:

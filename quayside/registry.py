@@ -46,6 +46,11 @@ class Frames(Mapping):
             self._built[name] = self._builders[name]()
         return self._built[name]
 
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` (a written copy) takes the place of frame ``name``."""
+        self._built[name] = df
+        return df
+
 
 class Chain:
     """The frames of one dataset directory, built on demand.
@@ -85,11 +90,14 @@ class Chain:
     def _kept(self, name: str) -> DataFrame:
         """A stored silver table; what orders are made of is written at the same time."""
         if name == "orders":
-            needs = [lambda: self.stored("lines", self.lines), lambda: self.kept["customers"], lambda: self.kept["restaurants"]]
-            with ThreadPoolExecutor(len(needs)) as pool:
-                list(pool.map(lambda make: make(), needs))
+            self.together(lambda: self.stored("lines", self.lines), lambda: self.kept["customers"], lambda: self.kept["restaurants"])
         return self.stored(f"silver_{name}", self.silver[name])
 
+    def together(self, *makes: Callable[[], DataFrame]) -> list[DataFrame]:
+        """Frames that don't need each other, written at the same time."""
+        with ThreadPoolExecutor(len(makes)) as pool:
+            return list(pool.map(lambda make: make(), makes))
+
     def stored(self, name: str, df: DataFrame) -> DataFrame:
         """``df`` written once under ``name`` and read back."""
         if name not in self._stored:

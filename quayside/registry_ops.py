@@ -29,7 +29,7 @@ from quayside.plans import incremental as IN
 from quayside.plans import pipeline as P
 from quayside.plans import silver as S
 from quayside.plans import tables as TB
-from quayside.plans.bucketed import BucketedTable, add_columns
+from quayside.plans.bucketed import BucketedTable, add_columns, bucket_count
 from quayside.plans.present import present
 from quayside.sources import guide as GD
 from quayside.sources import landing as L
@@ -43,6 +43,8 @@ OVERLAP_FROM = "1997-01-01"
 MONTH = ("order_year", "order_month")
 PREV_EXTRACT_BEFORE = "2000-01-01"
 CUR_EXTRACT_FROM = "1995-06-01"
+# Landed orders are dealt into files of about this size, half of them a micro-batch.
+STREAM_FILE_BYTES = 8 << 20
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -117,9 +119,9 @@ def _as_of():
     return AS_OF
 
 
-def _landing(spark, sf_dir, entity, root) -> str:
+def _landing(spark, sf_dir, entity, root, chain=None) -> str:
     path = f"{root}/landing/{entity}"
-    L.write_landing(_contract_cast(_chain(spark, sf_dir).bronze[entity], entity), path, K.SCHEMAS[entity])
+    L.write_landing(_contract_cast((chain or _chain(spark, sf_dir)).bronze[entity], entity), path, K.SCHEMAS[entity])
     return path
 
 
@@ -132,7 +134,8 @@ def full_load_q(spark, sf_dir):
 
 
 def _landings(spark, sf_dir, root) -> dict[str, str]:
-    return {entity: _landing(spark, sf_dir, entity, root) for entity in K.SCHEMAS}
+    c = _chain(spark, sf_dir)  # one for all: the newest lines are stored once
+    return {entity: _landing(spark, sf_dir, entity, root, c) for entity in K.SCHEMAS}
 
 
 def bronze_run_status_q(spark, sf_dir):
@@ -464,8 +467,10 @@ def order_increments(orders: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
 def incremental_layers(spark, sf_dir, root: str, database: str) -> IN.IncrementalGold:
     """Layers built from the history, then two increments of orders."""
     c = _chain(spark, sf_dir)
-    delivered = P.write_table(G.first_delivery(c.kept["deliveries"]), f"{root}/first_deliveries")
-    orders = P.write_table(c.bronze["orders"], f"{root}/landed_orders")
+    # the orders are landed once; the silver tables read them there
+    orders = c.bronze.put("orders", P.write_table(c.bronze["orders"], f"{root}/landed_orders"))
+    first = G.first_delivery(c.silver["deliveries"].select("delivery_id", "order_id", *G.FACT_DELIVERY))
+    delivered = P.write_table(first, f"{root}/first_deliveries")
     layers = IN.IncrementalGold(spark, database, f"{root}/bronze", c.kept["customers"], c.kept["restaurants"], delivered, _as_of())
     history, *increments = order_increments(orders)
     layers.build(history, 32)
@@ -492,9 +497,10 @@ def stream_bronze_q(spark, sf_dir):
     where = {k: f"{root}/{k}" for k in ("landing", "bronze", "checkpoint")}
     args = (spark, where["landing"], "orders", where["bronze"], where["checkpoint"])
     seen: list[dict] = []
+    files = bucket_count(spark, f"{root}/orders", STREAM_FILE_BYTES, 1)  # a micro-batch is read by several tasks
     for part in (orders.where(key % 2 == 0), orders.where((key % 2 == 1) | (key % 3 == 0))):
-        part.repartition(2).write.mode("append").parquet(where["landing"])
-        out = run_incremental_bronze(*args, max_files_per_trigger=1, resend_window="1 hour", progress=seen)
+        part.repartition(2 * files).write.mode("append").parquet(where["landing"])
+        out = run_incremental_bronze(*args, max_files_per_trigger=files, resend_window="1 hour", progress=seen)
     late, batches = sum(p["late_rows"] for p in seen), min(p["batches"] for p in seen)
     return out.drop("_source_file", "_row_hash", "_bronze_loaded_at").withColumns(
         {"late_rows": F.lit(late).cast("bigint"), "several_batches": F.lit(batches > 1)})
@@ -544,7 +550,8 @@ def fact_bucketed_q(spark, sf_dir):
     """The order fact from orders and first deliveries that are stored in the same buckets:
     their join needs no exchange on order_id."""
     c, root = _chain(spark, sf_dir), _scratch(spark, "fact_bucketed")
-    frames = {"orders": c.kept["orders"], "deliveries": G.first_delivery(c.kept["deliveries"])}
+    first = G.first_delivery(c.silver["deliveries"].select("delivery_id", "order_id", *G.FACT_DELIVERY))
+    frames = {"orders": c.kept["orders"], "deliveries": first}
     names = {k: _unique(f"co_{k}") for k in frames}
     held = {k: CO.store_bucketed(df, names[k], ["order_id"], 16, f"{root}/{k}") for k, df in frames.items()}
     out = CO.colocated_fact(held["orders"], c.kept["customers"], c.kept["restaurants"], held["deliveries"], as_of=_as_of())
@@ -585,12 +592,20 @@ def landing_corrupt_q(spark, sf_dir):
 # ------------------------------------------------------------------ quality
 
 def _checked(c) -> dict[str, DataFrame]:
-    b, s = c.bronze, c.kept
+    """Silver frames with their rejects. Those that others look keys up in are written once:
+    their valid rows are the silver table."""
+    b, valid = c.bronze, F.col("_reject_reason").isNull()
+
+    def held(name: str, *parents: DataFrame) -> DataFrame:
+        return c.stored(f"checked_{name}", getattr(S, f"silver_{name}")(b[name], *parents, with_rejects=True))
+
+    customers, restaurants, _ = c.together(lambda: held("customers"), lambda: held("restaurants"), lambda: c.stored("lines", c.lines))
+    orders = held("orders", customers.where(valid), restaurants.where(valid))
     return {
-        "customers": S.silver_customers(b["customers"], with_rejects=True),
-        "restaurants": S.silver_restaurants(b["restaurants"], with_rejects=True),
-        "orders": S.silver_orders(b["orders"], s["customers"], s["restaurants"], with_rejects=True),
-        "deliveries": S.silver_deliveries(b["deliveries"], s["orders"], with_rejects=True),
+        "customers": customers,
+        "restaurants": restaurants,
+        "orders": orders,
+        "deliveries": S.silver_deliveries(b["deliveries"], orders.where(valid), with_rejects=True),
         "reviews": S.silver_reviews(b["reviews"], with_rejects=True),
     }
 

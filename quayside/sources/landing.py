@@ -78,12 +78,15 @@ def bronze_enrich(df: DataFrame, loaded_at: Column | None = None, lineage: bool
     fingerprint, not a change detector (see ``change_classes`` for that).
     """
     cols = list(hash_columns) if hash_columns is not None else list(df.columns)
-    out = df.withColumn("_bronze_loaded_at", F.current_timestamp() if loaded_at is None else loaded_at)
-    if lineage:
-        out = with_lineage(out)
-    else:
-        out = out.withColumn("_source_file", F.lit(None).cast("string"))
-    return out.withColumn("_row_hash", row_hash(cols))
+    out = with_lineage(df) if lineage else df.withColumn("_source_file", F.lit(None).cast("string"))
+    return bronze_audit(out, cols, loaded_at)
+
+
+def bronze_audit(df: DataFrame, hash_columns: Sequence[str], loaded_at: Column | None = None) -> DataFrame:
+    """Load time and row hash of rows that carry their ``_source_file``."""
+    loaded = F.current_timestamp() if loaded_at is None else loaded_at
+    rest = [F.col(f"`{c}`") for c in df.columns if c != "_source_file"]
+    return df.select(*rest, loaded.alias("_bronze_loaded_at"), "_source_file", row_hash(hash_columns).alias("_row_hash"))
 
 
 def check_not_null(df: DataFrame, schema: T.StructType) -> DataFrame:

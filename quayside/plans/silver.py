@@ -23,6 +23,7 @@ from quayside.operators.integrity import ri_filter, ri_split
 # Newest load first where the frame carries a load time (bronze tables do; frames
 # straight from an adapter don't).
 LOAD_ORDER = ["_bronze_loaded_at"]
+DROPPED = set(K.SILVER_DROP)
 
 
 # A time of day followed by Z or an offset such as +05:30, +0530 or -08.
@@ -40,7 +41,23 @@ def parse_ts(c: str | Column, zone: str = "UTC") -> Column:
     utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0), instant.cast("decimal(18,6)"))
     there = utc if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
-    return F.when(F.rlike(c.cast("string"), F.lit(OFFSET_TIME)), there).otherwise(c.try_cast("timestamp_ntz"))
+    # the pattern is tried only where a sign or Z comes after the first colon (it needs one)
+    text = c.cast("string")
+    tail = F.substr(text, F.instr(text, ":"))
+    possible = tail.contains("Z") | tail.contains("+") | tail.contains("-")
+    return F.when(possible & F.rlike(text, F.lit(OFFSET_TIME)), there).otherwise(c.try_cast("timestamp_ntz"))
+
+
+def _newest(df: DataFrame, entity: str) -> DataFrame:
+    """One row per key, the newest load first. The technical columns at the end of a bronze
+    table leave silver; as last tie-breaks they would only choose between rows that are equal
+    in all other columns, so they go before the rows move."""
+    names = list(df.columns)
+    while names and names[-1] in DROPPED:
+        names.pop()
+    order = [c for c in LOAD_ORDER if c in df.columns]
+    held = df.select(*[F.col(f"`{c}`") for c in names], *[c for c in order if c not in names])
+    return dedup_latest(held, K.PRIMARY_KEYS[entity], LOAD_ORDER, optional=LOAD_ORDER)
 
 
 def _loaded(loaded_at: Column | None) -> Column:
@@ -66,7 +83,7 @@ def _score(n_defaults: int) -> Column:
 
 def silver_customers(df: DataFrame, *, loaded_at: Column | None = None,
                      with_rejects: bool = False) -> DataFrame:
-    df = dedup_latest(df, K.PRIMARY_KEYS["customers"], LOAD_ORDER, optional=LOAD_ORDER)
+    df = _newest(df, "customers")
     defaults = {"subscription_tier": "Free", "is_active": True, "total_orders_lifetime": 0,
                 "avg_order_value": 0.0}
     filled_cols, filled = _fill(defaults)
@@ -92,7 +109,7 @@ def silver_customers(df: DataFrame, *, loaded_at: Column | None = None,
 
 def silver_restaurants(df: DataFrame, *, loaded_at: Column | None = None,
                        with_rejects: bool = False) -> DataFrame:
-    df = dedup_latest(df, K.PRIMARY_KEYS["restaurants"], LOAD_ORDER, optional=LOAD_ORDER)
+    df = _newest(df, "restaurants")
     defaults = {"is_delivering_now": False, "has_online_delivery": False,
                 "has_table_booking": False, "is_premium_partner": False}
     filled_cols, filled = _fill(defaults)
@@ -116,7 +133,7 @@ def silver_restaurants(df: DataFrame, *, loaded_at: Column | None = None,
 
 def conform_orders(df: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     """Dedup + derived columns of orders, before the referential checks."""
-    df = dedup_latest(df, K.PRIMARY_KEYS["orders"], LOAD_ORDER, optional=LOAD_ORDER)
+    df = _newest(df, "orders")
     return (df
             .withColumns({"order_placed_at": parse_ts("order_placed_at"),
                           "order_status": F.upper(F.trim("order_status")),
@@ -154,7 +171,7 @@ def silver_orders(df: DataFrame, customers: DataFrame, restaurants: DataFrame, *
 
 
 def conform_deliveries(df: DataFrame, loaded_at: Column | None = None) -> DataFrame:
-    df = dedup_latest(df, K.PRIMARY_KEYS["deliveries"], LOAD_ORDER, optional=LOAD_ORDER)
+    df = _newest(df, "deliveries")
     return (df
             .withColumns({"pickup_timestamp": parse_ts("pickup_timestamp"),
                           "delivered_timestamp": parse_ts("delivered_timestamp"),
@@ -180,7 +197,7 @@ def silver_deliveries(df: DataFrame, orders: DataFrame, *, loaded_at: Column | N
 
 def silver_reviews(df: DataFrame, *, loaded_at: Column | None = None,
                    with_rejects: bool = False) -> DataFrame:
-    df = dedup_latest(df, K.PRIMARY_KEYS["reviews"], LOAD_ORDER, optional=LOAD_ORDER)
+    df = _newest(df, "reviews")
     df = (df
           .withColumns({"review_timestamp": parse_ts("review_timestamp"),
                         "rating": nullify_outside("rating", 1, 5),

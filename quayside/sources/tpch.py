@@ -32,7 +32,7 @@ def iso_text(c) -> "F.Column":
     """ISO-8601 text of a ``timestamp_ntz`` that does not pass through the session
     time zone (formatting functions do, and shift wall-clock times in a DST gap)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(c.cast("timestamp_ntz").cast("string"), " ", "T")
+    return F.replace(c.cast("timestamp_ntz").cast("string"), F.lit(" "), F.lit("T"))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -48,6 +48,10 @@ LENGTHS = 24
 FACTORS = 8
 #: Factor of all values.
 SCALE = 0.55
+#: Bytes of text that a task hands back at a time.
+OUT_BYTES = 1 << 22
+#: Terms of the learning rows that are worked on at a time.
+PART = 1 << 20
 # Separators of terms: every ASCII byte that is no letter or digit.
 TERM_SEP = np.zeros(256, bool)
 TERM_SEP[:128] = True
@@ -83,7 +87,9 @@ def hashed_terms(data: np.ndarray, offs: np.ndarray):
 
 def inverse_frequencies(slot: np.ndarray, rows: int) -> np.ndarray:
     """Of every slot of the table, from one entry per row that holds it."""
-    df = np.bincount(slot, minlength=1 << BITS)
+    df = np.zeros(1 << BITS, np.int64)
+    for at in range(0, len(slot), PART):
+        df += np.bincount(slot[at:at + PART], minlength=1 << BITS)
     return np.where(df > 0, np.log((rows + 1.0) / np.maximum(df, 1)), 0).astype(np.float32)
 
 
@@ -146,8 +152,11 @@ class FactorizationMachine:
         if not 0 < labels.sum() < n:
             return model
         rng = np.random.default_rng(seed)
-        first = np.searchsorted(row, np.arange(n + 1))
-        value = values(idf, slot, count, first)
+        first = np.searchsorted(row, np.arange(n + 1, dtype=row.dtype))
+        value = np.empty(len(slot), np.float32)
+        for i, j in U.chunks(first, PART):
+            a, b = first[i], first[j]
+            value[a:b] = values(idf, slot[a:b], count[a:b], first[i:j + 1] - a)
         rows = rng.permutation(n)
         kept_back, learnt = rows[:n // 5], rows[n // 5:]
         model.factors = rng.normal(0, 0.02, (size, FACTORS)).astype(np.float32)
@@ -280,13 +289,14 @@ def _fit(batches):
     slot, count = (np.concatenate([b.column(i).flatten().to_numpy() for b in parts]) for i in (3, 4))
     lens = np.concatenate([b.column(3).value_lengths().to_numpy() for b in parts]).astype(np.int64)
     del parts
+    pa.default_memory_pool().release_unused()  # the copies above are all that is used
     order = np.argsort(ids, kind="stable")
-    first = np.cumsum(lens) - lens
+    ends = np.cumsum(lens)
+    spans = [slice(ends[i] - lens[i], ends[i]) for i in order]
+    slot = np.concatenate([slot[x] for x in spans])
+    count = np.concatenate([count[x] for x in spans])
     lens, words, label = lens[order], words[order], label[order].astype(np.float64)
-    at = np.repeat(first[order] - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())
-    slot, count = slot[at], count[at]
-    del at
-    model = FactorizationMachine.fit(np.repeat(np.arange(len(lens)), lens), slot, count, words, label)
+    model = FactorizationMachine.fit(np.repeat(np.arange(len(lens), dtype=np.int32), lens), slot, count, words, label)
     yield pa.RecordBatch.from_arrays([U.blob_column([pickle.dumps(model)])], names=["model"])
 
 
@@ -310,6 +320,9 @@ def filter_toxic(docs: DataFrame, model: FactorizationMachine, threshold: float
 
     def run(batches):
         for b in batches:
-            yield b.filter(pa.array(model.score_texts(*U.text_buffers(b.column(at))) < threshold))
+            data, offs = U.text_buffers(b.column(at))
+            for i, j in U.chunks(offs, OUT_BYTES):
+                yield b.slice(i, j - i).filter(pa.array(model.score_texts(data, offs[i:j + 1]) < threshold))
+        pa.default_memory_pool().release_unused()  # the worker waits for other stages
 
     return docs.mapInArrow(run, docs.schema)

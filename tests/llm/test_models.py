@@ -3,6 +3,7 @@
 import collections
 import math
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -194,3 +195,20 @@ def test_edges(spark, labels):
     kept = filter_toxic(docs, model)
     assert kept.columns == docs.columns
     assert kept.count() == sum(r.score < 0.5 for r in score_toxicity(docs, model).collect())
+
+
+def test_fit_needs_few_bytes_a_term():
+    """Beside the table of slots, learning takes a few bytes for each term of the sample."""
+    n, each = 20_000, 400
+    rng = np.random.default_rng(1)
+    slot, count = rng.integers(0, 1 << X.BITS, n * each, dtype=np.int32), np.ones(n * each, np.int32)
+    row, words = np.repeat(np.arange(n, dtype=np.int32), each), np.full(n, each)
+    labels = (np.arange(n) % 2).astype(np.float64)
+    tracemalloc.start()
+    model = FactorizationMachine.fit(row, slot, count, words, labels, epochs=0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 14 * n * each
+    part = slice(0, 3 * each)
+    assert np.array_equal(model.idf, X.inverse_frequencies(slot, n))
+    assert len(model.scores(row[part], slot[part], count[part], words[:3])) == 3

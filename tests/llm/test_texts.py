@@ -2,6 +2,7 @@
 
 import collections
 import io
+import os
 import random
 import zipfile
 import zlib
@@ -156,6 +157,31 @@ def test_links_are_the_best_of_the_whole_table(spark, monkeypatch):
         assert all(want[v] == pytest.approx(x, rel=1e-5) for v, x in got[i].items())
 
 
+def test_search_leaves_the_best_links_only(spark, monkeypatch):
+    """What a round leaves behind doesn't grow with the number of blocks."""
+    monkeypatch.setattr(packing, "BLOCK_TOKENS", 300)
+    monkeypatch.setattr(packing, "SLICE_ROWS", 20)
+    rnd = random.Random(8)
+    docs = [[rnd.randrange(30) for _ in range(40)] for _ in range(50)]
+    idf, mean = np.ones(30), 40
+    texts = spark.createDataFrame([(i, bytearray(np.array(d, "<u2").tobytes())) for i, d in enumerate(docs)], "uid bigint, ids binary")
+    s = U.Scratch(spark, "t")
+    links = best_links(s, texts, "<u2", idf, mean, sum(map(len, docs)))
+    left = [n for n in os.listdir(s.root.removeprefix("file:")) if spark.read.parquet(s.path(n)).count()]
+    assert len(left) == 1 and links.count() == 5 * len(docs) == spark.read.parquet(s.path(left[0])).count()
+    best = {i: sorted(brute_bm25(docs[:i] + docs[i + 1:], idf, mean, d))[-5:] for i, d in enumerate(docs)}
+    assert sorted((r.u, r.score) for r in links.collect()) == [(i, pytest.approx(x, rel=1e-5)) for i, v in best.items() for x in v]
+
+
+def test_best_of_a_block_breaks_ties_and_keeps_a_bound():
+    index = Index([np.array(x, "<u2") for x in ([1, 2], [2, 1], [3, 4], [1, 2], [1, 9])], np.ones(10), 2)
+    ask, none, zero = [np.array([1, 2], "<u2")], np.array([-1]), np.zeros(1)
+    (top, score), = index.best(ask, 2, none, zero)
+    assert top.tolist() == [0, 1] and score[0] == score[1]
+    assert [t.tolist() for t, _ in index.best(ask, 9, np.array([0]), zero)] == [[1, 3, 4]]
+    assert [t.tolist() for t, _ in index.best(ask, 9, none, score[:1])] == [[0, 1, 3]]
+
+
 def test_best_neighbours_share_a_shard(spark, frame):
     rnd = random.Random(7)
     rows = []

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayside.llm import util as U
-from quayside.llm.components import components
+from quayside.llm.components import components, merged
 from quayside.llm.exact_dedup import FuseFilter, exact_dedup
 from quayside.llm.jaccard_join import jaccard_components
 from quayside.llm.substring_dedup import lengths, sliding_min, substring_dedup
@@ -147,6 +147,30 @@ def test_jaccard_edges(spark, frame, rows):
         brute_components(rows, 5, 4, 5)
 
 
+def test_components_join_when_edges_are_added(spark):
+    rnd = random.Random(3)
+    old = [(rnd.randrange(120), rnd.randrange(120)) for _ in range(60)]
+    new = [(rnd.randrange(160), rnd.randrange(160)) for _ in range(25)]
+    s = U.Scratch(spark, "t")
+    frames = [spark.createDataFrame(x, "u bigint, v bigint") for x in (old, new)]
+    got = merged(components(frames[0], s, "old"), frames[1], s, "new").collect()
+    want = components(frames[0].union(frames[1]), s, "all").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_small_tables_are_few_files(spark, monkeypatch):
+    """A task that writes a file starts processes, so 300 of them for a few rows cost time and memory."""
+    monkeypatch.setattr(U, "FILES", 3)
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled", U.SHUFFLE_CLEANUP)
+    before = {k: spark.conf.get(k, None) for k in names}
+    s = U.Scratch(spark, "t", {names[0]: "40", names[1]: "false"})
+    path = spark.range(30).selectExpr("id + 1 as u", "id as v")
+    components(path, s, "cc")
+    assert {k: spark.conf.get(k, None) for k in names} == before
+    rounds = [spark.read.parquet(s.path(f"cc-{i}")) for i in (1, 2)]
+    assert all(r.count() and len(r.inputFiles()) <= 3 for r in rounds)
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 200), (200, 150), (7, 3), (300, 300)]
     random.Random(2).shuffle(edges)

@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 
 from quayside.operators.dedup import dedup_latest
 from quayside.operators.upsert import merge_upsert, table_exists
+from quayside.session import shuffles_dropped
+from quayside.sources.landing import packed
 
 PREFIX = "_bucket_of_"
 _TURN = threading.RLock()
@@ -97,7 +99,8 @@ class BucketedTable:
             merged = self.spark.read.format(self.fmt).option("mergeSchema", "true").load(self.path)
             part = next(c for c in merged.columns if c.startswith(PREFIX))
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in merged.schema.fields)
-            self.spark.sql(f"CREATE TABLE {self.name} ({cols}) USING {self.fmt} PARTITIONED BY ({part}) LOCATION '{self.path}'")
+            options = "".join(f"OPTIONS ({k} '{v}') " for k, v in packed(self.fmt).items())
+            self.spark.sql(f"CREATE TABLE {self.name} ({cols}) USING {self.fmt} {options}PARTITIONED BY ({part}) LOCATION '{self.path}'")
             self.spark.catalog.recoverPartitions(self.name)
         return self.spark.table(self.name)
 
@@ -115,9 +118,9 @@ class BucketedTable:
         column = f"{PREFIX}{buckets}"
         if "." in self.name:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.name.split('.')[0]}")
-        with overwrite_mode(self.spark, "static"):
+        with overwrite_mode(self.spark, "static"), shuffles_dropped(df.sparkSession):
             dealt = df.withColumn(column, bucket_of(self.keys, buckets)).hint("rebalance", F.col(column))
-            (_last(finish(dealt) if finish else dealt, column).write.format(self.fmt).mode("overwrite").partitionBy(column).option("path", self.path).saveAsTable(self.name))
+            (_last(finish(dealt) if finish else dealt, column).write.format(self.fmt).mode("overwrite").options(**packed(self.fmt)).partitionBy(column).option("path", self.path).saveAsTable(self.name))
         return self.read()
 
     def matching(self, source: DataFrame) -> DataFrame:
@@ -151,7 +154,7 @@ class BucketedTable:
         if not touched:
             return self.read()
         merged = merge_upsert(table.where(F.col(column).isin(touched)), src, self.keys, order_cols)
-        with overwrite_mode(self.spark, "dynamic"):
+        with overwrite_mode(self.spark, "dynamic"), shuffles_dropped(merged.sparkSession):
             (merged.select(*[f"`{c}`" for c in table.columns]).hint("rebalance", F.col(column))
              .write.mode("overwrite").insertInto(self.name))
         return self.read()

@@ -26,7 +26,7 @@ from quayside.plans import dashboard as D
 from quayside.plans import gold as G
 from quayside.plans import silver as S
 from quayside.plans.tables import publish
-from quayside.session import scratch_path
+from quayside.session import drop_path, scratch_path, shuffles_dropped
 from quayside.sources import landing as L
 
 ENTITIES = ["customers", "restaurants", "orders", "deliveries", "reviews"]
@@ -39,10 +39,11 @@ def write_table(df: DataFrame, path: str, *, partition_by: list[str] | None = No
     """Write ``df`` to ``path`` and return a frame reading it back."""
     if set(partition_by or ()) - {"_dq_status"}:  # few files per partition value (two of these need no move); a large value is split by AQE
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    w = df.write.format(fmt).mode(mode)
+    w = df.write.format(fmt).mode(mode).options(**L.packed(fmt))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
+    with shuffles_dropped(df.sparkSession):
+        w.save(path)
     return df.sparkSession.read.format(fmt).load(path)
 
 
@@ -85,6 +86,25 @@ class Run:
             raise
 
 
+class Staged:
+    """Steps of one table, each written and read back; a step goes when the next has been made of it."""
+
+    def __init__(self, run: Run, name: str):
+        self.run, self.name, self.steps, self.last = run, name, 0, None
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        path = self.run.path("staging", f"{self.name}_{self.steps}")
+        out = write_table(df, path, fmt=self.run.fmt)
+        self.drop()
+        self.steps, self.last = self.steps + 1, path
+        return out
+
+    def drop(self) -> None:
+        if self.last is not None:
+            drop_path(self.run.spark, self.last)
+        self.last = None
+
+
 def _loaded_at(as_of):
     return F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
 
@@ -117,16 +137,23 @@ def run_bronze(run: Run, landings: Mapping[str, str], load_type: str = "full") -
     return out
 
 
-def tpch_bronze(run: Run, sf_dir: str) -> dict[str, DataFrame]:
+def tpch_bronze(run: Run, sf_dir: str, keep_landing: bool = True) -> dict[str, DataFrame]:
     """Driver tables landed as the five entities, then the bronze layer over the landing files.
-    The newest copy of each line item is staged once for the order and delivery frames."""
+    The newest copy of each line item is staged for the order and delivery frames until both
+    have landed. ``keep_landing=False``: the landing files go once all five tables are loaded."""
     from quayside.sources import tpch
     t = tpch.Tables(run.spark, sf_dir)
     lines = run._timed("landing", "stage_lines", "lines",
                        lambda: write_table(tpch.lines(t), run.path("staging", "lines"), fmt=run.fmt))
     frames = {"customers": tpch.customers(t), "restaurants": tpch.restaurants(t),
               "orders": tpch.orders(t, lines), "deliveries": tpch.deliveries(t, lines), "reviews": tpch.reviews(t)}
-    return run_bronze(run, land_frames(run, frames))
+    paths = land_frames(run, frames)
+    drop_path(run.spark, run.path("staging", "lines"))
+    out = run_bronze(run, paths)
+    if not keep_landing and len(out) == len(ENTITIES):
+        for path in paths.values():
+            drop_path(run.spark, path)
+    return out
 
 
 def _observed_metrics(spark: SparkSession, table: str, raw: DataFrame, seen: dict) -> DataFrame:
@@ -152,12 +179,12 @@ def run_silver(run: Run, bronze: Mapping[str, DataFrame]) -> dict[str, DataFrame
     silver: dict[str, DataFrame] = {}
     for name in ENTITIES:
         def build(name=name):
-            b = bronze[name]
+            b, newest = bronze[name], Staged(run, f"newest_{name}")
             if name == "orders":
                 checked = S.silver_orders(b, silver["customers"], silver["restaurants"], loaded_at=loaded,
-                                          with_rejects=True)
+                                          with_rejects=True, store=newest)
             elif name == "deliveries":
-                checked = S.silver_deliveries(b, silver["orders"], loaded_at=loaded, with_rejects=True)
+                checked = S.silver_deliveries(b, silver["orders"], loaded_at=loaded, with_rejects=True, store=newest)
             else:
                 checked = getattr(S, f"silver_{name}")(b, loaded_at=loaded, with_rejects=True)
             status = F.when(F.col("_reject_reason").isNull(), "valid").otherwise("quarantine")
@@ -170,6 +197,7 @@ def run_silver(run: Run, bronze: Mapping[str, DataFrame]) -> dict[str, DataFrame
                 F.coalesce(F.sum(F.when(F.col("_reject_reason").isNull(), F.col("_nulls_filled"))),
                            F.lit(0)).cast("bigint").alias("nulls_filled"))
             write_table(observed, run.path("silver", name), partition_by=["_dq_status", *MONTHS.get(name, ())], fmt=run.fmt)
+            newest.drop()
             stored = run.put("silver", name, run.path("silver", name))
             run.metrics[name] = _observed_metrics(run.spark, name, b, obs.get)
             valid = stored.where(F.col("_dq_status") == "valid").drop("_dq_status", "_reject_reason",
@@ -193,11 +221,10 @@ def run_gold(run: Run, silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
     s, as_of, gold = silver, run.as_of, {}
 
-    def base(df: DataFrame) -> DataFrame:
-        return write_table(df, run.path("staging", "customer_base"), fmt=run.fmt)
+    joined, base = Staged(run, "fact_orders"), Staged(run, "customer_base")
 
     makers = {
-        "fact_orders": lambda: G.fact_orders(s["orders"], s["customers"], s["restaurants"], G.first_delivery(s["deliveries"]), as_of=as_of),
+        "fact_orders": lambda: G.fact_orders(s["orders"], s["customers"], s["restaurants"], G.first_delivery(s["deliveries"]), as_of=as_of, store=joined),
         "dim_customers": lambda: G.dim_customers(s["customers"], s["orders"], s["reviews"], as_of=as_of, store=base),
         "dim_restaurants": lambda: G.dim_restaurants(s["restaurants"], s["orders"], s["reviews"], s["deliveries"], as_of=as_of),
         "agg_daily_city_metrics": lambda: G.daily_city_metrics(gold["fact_orders"], as_of=as_of),
@@ -208,6 +235,8 @@ def run_gold(run: Run, silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
     for name, make in makers.items():
         gold[name] = build(name, make)
+        if name in ("fact_orders", "dim_customers"):
+            (joined if name == "fact_orders" else base).drop()
     return gold
 
 

@@ -12,6 +12,8 @@ No action runs inside; timestamps are parsed to ``timestamp_ntz`` with
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,11 @@ from quayside.operators.integrity import ri_filter, ri_split
 # straight from an adapter don't).
 LOAD_ORDER = ["_bronze_loaded_at"]
 DROPPED = set(K.SILVER_DROP)
+Store = Callable[[DataFrame], DataFrame]
+
+
+def _as_is(df: DataFrame) -> DataFrame:
+    return df
 
 
 # A time of day followed by Z or an offset such as +05:30, +0530 or -08.
@@ -131,9 +138,9 @@ def silver_restaurants(df: DataFrame, *, loaded_at: Column | None = None,
     return _finish(df, reason, with_rejects)
 
 
-def conform_orders(df: DataFrame, loaded_at: Column | None = None) -> DataFrame:
+def conform_orders(df: DataFrame, loaded_at: Column | None = None, store: Store = _as_is) -> DataFrame:
     """Dedup + derived columns of orders, before the referential checks."""
-    df = _newest(df, "orders")
+    df = store(_newest(df, "orders"))
     return (df
             .withColumns({"order_placed_at": parse_ts("order_placed_at"),
                           "order_status": F.upper(F.trim("order_status")),
@@ -161,17 +168,18 @@ def conform_orders(df: DataFrame, loaded_at: Column | None = None) -> DataFrame:
 
 
 def silver_orders(df: DataFrame, customers: DataFrame, restaurants: DataFrame, *,
-                  loaded_at: Column | None = None, with_rejects: bool = False) -> DataFrame:
-    """Orders whose customer and restaurant exist in the given silver frames."""
-    df = conform_orders(df, loaded_at)
+                  loaded_at: Column | None = None, with_rejects: bool = False, store: Store = _as_is) -> DataFrame:
+    """Orders whose customer and restaurant exist in the given silver frames. ``store`` may
+    write the newest rows and read them back, so that their shuffle files go before the joins."""
+    df = conform_orders(df, loaded_at, store)
     parents = [(customers, "customer_id"), (restaurants, "restaurant_id")]
     if with_rejects:
         return ri_split(df, parents).withColumn("_nulls_filled", F.lit(0))
     return ri_filter(df, parents)
 
 
-def conform_deliveries(df: DataFrame, loaded_at: Column | None = None) -> DataFrame:
-    df = _newest(df, "deliveries")
+def conform_deliveries(df: DataFrame, loaded_at: Column | None = None, store: Store = _as_is) -> DataFrame:
+    df = store(_newest(df, "deliveries"))
     return (df
             .withColumns({"pickup_timestamp": parse_ts("pickup_timestamp"),
                           "delivered_timestamp": parse_ts("delivered_timestamp"),
@@ -187,8 +195,8 @@ def conform_deliveries(df: DataFrame, loaded_at: Column | None = None) -> DataFr
 
 
 def silver_deliveries(df: DataFrame, orders: DataFrame, *, loaded_at: Column | None = None,
-                      with_rejects: bool = False) -> DataFrame:
-    df = conform_deliveries(df, loaded_at)
+                      with_rejects: bool = False, store: Store = _as_is) -> DataFrame:
+    df = conform_deliveries(df, loaded_at, store)
     parents = [(orders, "order_id")]
     if with_rejects:
         return ri_split(df, parents).withColumn("_nulls_filled", F.lit(0))

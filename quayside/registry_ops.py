@@ -655,7 +655,7 @@ def layer_counts_q(spark, sf_dir):
     """Row counts of the bronze, silver and gold tables written by a layer run from landing
     files, of one that was never written (-1), and their total."""
     run = P.Run(spark, _scratch(spark, "pipeline"), _as_of())
-    P.run_gold(run, P.run_silver(run, P.tpch_bronze(run, sf_dir)))
+    P.run_gold(run, P.run_silver(run, P.tpch_bronze(run, sf_dir, keep_landing=False)))
     tables = {k: v for k, v in run.tables.items() if k.split(".")[0] in ("bronze", "silver", "gold")}
     tables["gold.never_written"] = run.path("gold", "never_written")
     return P.layer_counts(spark, tables)

@@ -33,7 +33,8 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str
     src = dedup_latest(source, keys, order_cols)
     if target is None:
         return src
-    new = src.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    # the keys of the newest rows are those of all rows: only the keys move for the anti join
+    new = source.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
     same = reduce(and_, [target[k].eqNullSafe(new[f"_k_{k}"]) for k in keys])
     return target.join(new, same, "left_anti").unionByName(src, allowMissingColumns=True)
 

@@ -488,6 +488,16 @@ def incremental_gold_q(spark, sf_dir):
     return out
 
 
+def land_files(df: DataFrame, path: str, files: int) -> None:
+    """Append ``df`` to a landing folder as more than ``files`` and at most twice as many files
+    (fewer rows than that: one each). A task cuts its rows into files as it writes
+    them, so no row moves."""
+    tasks = max(1, files // 2)  # each may end with a short file
+    df = df.coalesce(tasks)
+    rows = df.count()  # a number
+    df.write.mode("append").option("maxRecordsPerFile", max(1, -(-rows // max(files + 1, 2 * files - tasks)))).options(**L.packed("parquet")).parquet(path)
+
+
 def stream_bronze_q(spark, sf_dir):
     """Bronze orders by stream: two micro-batches, a restart from the checkpoint, then further
     files that also send a third of the earlier rows again."""
@@ -499,7 +509,7 @@ def stream_bronze_q(spark, sf_dir):
     seen: list[dict] = []
     files = bucket_count(spark, f"{root}/orders", STREAM_FILE_BYTES, 1)  # a micro-batch is read by several tasks
     for part in (orders.where(key % 2 == 0), orders.where((key % 2 == 1) | (key % 3 == 0))):
-        part.repartition(2 * files).write.mode("append").parquet(where["landing"])
+        land_files(part, where["landing"], files)
         out = run_incremental_bronze(*args, max_files_per_trigger=files, resend_window="1 hour", progress=seen)
     late, batches = sum(p["late_rows"] for p in seen), min(p["batches"] for p in seen)
     return out.drop("_source_file", "_row_hash", "_bronze_loaded_at").withColumns(
